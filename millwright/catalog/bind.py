@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from millwright import schemas as S
 from millwright.functions.parse import event_key
 from millwright.plans import medallion as M
+from millwright.session import small_side, spread, tune
 from millwright.sources.lake import with_payload
 
 TS = "yyyy-MM-dd HH:mm:ss"
@@ -46,14 +47,14 @@ class Tables:
     """Access to one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder = tune(spark), folder
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     # ------------------------------------------------------------ readings
     def events(self) -> DataFrame:
-        return self.read("events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+        return spread(self.read("events"), "event_id").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
 
     @staticmethod
     def reading_fields() -> dict[str, Column]:
@@ -166,8 +167,10 @@ class Tables:
             "tolerance_max": F.lit("10.5"),
             "quality_score": F.lit(100) - F.round(F.col("l_discount") * 100).cast("int"),
         }
-        lines = self.read("lineitem").join(
-            self.machines().select("s_suppkey", "n_nationkey", "n_regionkey"), F.col("l_suppkey") == F.col("s_suppkey")
+        lines = spread(self.read("lineitem"), "l_orderkey").join(
+            small_side(self.machines().select("s_suppkey", "n_nationkey", "n_regionkey")),
+            F.col("l_suppkey") == F.col("s_suppkey"),
+            "left",
         )
         key = event_key(
             F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"),
@@ -178,7 +181,7 @@ class Tables:
     # ------------------------------------------------------------ energy, maintenance
     def _orders(self, maintenance: bool) -> DataFrame:
         is_work = F.col("o_orderstatus") == "P"
-        return self.read("orders").filter(is_work if maintenance else ~is_work)
+        return spread(self.read("orders"), "o_orderkey").filter(is_work if maintenance else ~is_work)
 
     def bronze_energy(self) -> DataFrame:
         price, level = F.col("o_totalprice").cast("decimal(18,2)"), F.col("o_orderpriority")

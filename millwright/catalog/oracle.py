@@ -214,7 +214,7 @@ SELECT CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partke
   CASE WHEN l_returnflag = 'R' THEN 't' END AS rework_required,
   CAST(CAST(9 AS DECIMAL(4,2)) + CAST(l_quantity AS DECIMAL(4,0)) * 0.04 AS VARCHAR) AS dimension,
   CAST(100 - CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR) AS quality_score
-FROM lineitem JOIN machines ON l_suppkey = s_suppkey"""
+FROM lineitem LEFT JOIN machines ON l_suppkey = s_suppkey"""
 
 SHIFT_ID = """CASE WHEN {s} IN ('matin','morning') THEN 'SHIFT_MATIN'
   WHEN {s} IN ('apres-midi','après-midi','afternoon') THEN 'SHIFT_APRES_MIDI'

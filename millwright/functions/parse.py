@@ -20,8 +20,8 @@ def parse_number(c: Column, trim: bool = True) -> Column:
 
     ``trim=False`` keeps the stricter silver rule, where padding makes text invalid.
     """
-    text = F.btrim(c) if trim else c
-    return F.regexp_extract(text, S.NUMBER_PATTERN, 0).try_cast(S.NUM)
+    matched = F.regexp_extract(F.btrim(c) if trim else c, S.NUMBER_PATTERN, 0)
+    return F.nullif(matched, F.lit("")).try_cast(S.NUM)
 
 
 def parse_int(c: Column, trim: bool = True) -> Column:

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -14,7 +15,11 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM interprets methods above 8000 bytes of bytecode instead of compiling them.
+    # Wide parsing projections exceed that when fused, so Spark is told to split them.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
+RUNTIME = ["spark.sql.codegen.hugeMethodLimit"]
 
 
 def get_session(name: str = "millwright", master: str | None = None, **conf: str) -> SparkSession:
@@ -27,6 +32,34 @@ def get_session(name: str = "millwright", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings that can still change on a running session."""
+    for key in RUNTIME:
+        spark.conf.set(key, DEFAULTS[key])
+    return spark
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on an input with fewer splits than cores, such as one small file.
+
+    Large inputs have more splits than cores and stay as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+BROADCAST_ROWS = 200_000
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a join side for broadcast after counting that it has at most ``rows`` rows.
+
+    A larger side is returned as it is and joined by shuffle. Useful where the optimizer's
+    size estimate, a product over earlier joins, is far above the true size.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
