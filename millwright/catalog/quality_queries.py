@@ -129,7 +129,15 @@ def _odd(t):
     )
 
 
-@query("maturity_score")
+SCORES = f"""SELECT completeness, coherence, 8.0::DOUBLE AS traceability, reliability,
+  greatest(0.0::DOUBLE, least(10.0::DOUBLE, {Q.half_even('(completeness + coherence + 8.0::DOUBLE + reliability) / 4 - 1')})) AS ai_readiness FROM (
+  SELECT *, {Q.half_even('(completeness + coherence) / 2')} AS reliability FROM (
+  SELECT greatest(0.0::DOUBLE, least(10.0::DOUBLE, {Q.half_even('(1.0::DOUBLE - clean_missing_pct) * 10')})) AS completeness,
+    CASE WHEN c = 0 THEN 10.0::DOUBLE ELSE greatest(0.0::DOUBLE, {Q.half_even('10.0::DOUBLE - CAST(c AS DOUBLE) / greatest(r, 1) * 10')}) END AS coherence
+  FROM totals, (SELECT sum(raw_anomalies) AS r, sum(clean_anomalies) AS c FROM anomalies)))"""
+
+
+@query("maturity_score", Q.sql(SCORES, totals=TOTALS, summary=SUMMARY, anomalies=ANOMALIES, **SIDES))
 def _maturity(t):
     p = pairs(t)
     anomalies = A.anomaly_counts({n: r for n, (r, _) in p.items()}, {n: c for n, (_, c) in p.items()}, RULES)

@@ -1 +1,118 @@
-"""Placeholder."""
+"""Streaming jobs replayed over the tables as file streams and run until nothing is left."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from millwright.catalog import oracle as Q
+from millwright.catalog.medallion_queries import HEALTH_SQL
+from millwright.catalog.registry import query
+from millwright.catalog.source_queries import write_lake
+from millwright.operators.ordered import latest_by
+from millwright.plans import medallion as M
+from millwright.session import scratch_path
+from millwright.sources.lake import with_payload
+from millwright.streaming import jobs as J
+
+
+def stream(t, name):
+    return J.read_table(t.spark, t.folder, f"{name}.parquet", t.read(name).schema)
+
+
+def raw_stream(t):
+    return t.as_raw(stream(t, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int")))
+
+
+def bronze_stream(t):
+    return with_payload(raw_stream(t))
+
+
+def done(started) -> None:
+    started.awaitTermination()
+
+
+def places(t, name):
+    return scratch_path(t.spark, name), scratch_path(t.spark, f"{name}-checkpoint")
+
+
+@query("stream_ingest_bronze", Q.sql("SELECT source_file, source_system, count(*) AS n FROM scada_raw GROUP BY 1, 2"))
+def _ingest(t):
+    """The lake's JSON lines into a bronze table."""
+    out, checkpoint = places(t, "bronze")
+    lines = J.read_lines(t.spark, f"{write_lake(t)}/industrial_raw.jsonl", "*")
+    done(J.append_to(J.ingest(lines), out, checkpoint))
+    return t.spark.read.parquet(out).groupBy("source_file", "source_system").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("stream_jsonl_sink", Q.sql("SELECT source_system, count(*) AS n FROM scada_raw GROUP BY 1"))
+def _jsonl(t):
+    out, checkpoint = places(t, "jsonl")
+    done(J.append_to(raw_stream(t), out, checkpoint, "json"))
+    return t.spark.read.json(out).groupBy("source_system").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("stream_dedup", Q.sql("SELECT event_type, k, user_id FROM ev GROUP BY ALL"))
+def _dedup(t):
+    """Events that repeat type, user and content are kept once; the delay covers the whole table."""
+    from millwright.functions.parse import payload_hash
+
+    out, checkpoint = places(t, "dedup")
+    events = stream(t, "events").select(
+        F.col("ts").cast("timestamp").alias("ts"), "event_type", "user_id", F.get_json_object("props", "$.k").cast("int").alias("k")
+    )
+    hashed = events.withColumn("payload_hash", payload_hash(F.to_json(F.struct("event_type", "user_id", "k"))))
+    done(J.append_to(J.deduplicated(hashed, "ts", "400 days"), out, checkpoint))
+    return t.spark.read.parquet(out).select("event_type", "k", "user_id")
+
+
+@query(
+    "stream_bronze_to_silver",
+    Q.sql(f"SELECT bronze_event_id, machine_id, {Q.ts_text('event_ts')} AS event_ts, {Q.dbl('s_temperature_c')} AS temperature_c, quality_status FROM silver"),
+)
+def _silver(t):
+    out, checkpoint = places(t, "silver")
+    done(J.append_to(J.silver(bronze_stream(t)), out, checkpoint))
+    return t.spark.read.parquet(out).select("bronze_event_id", "machine_id", "event_ts", "temperature_c", "quality_status")
+
+
+@query("stream_machine_health", Q.sql(HEALTH_SQL))
+def _health(t):
+    """Daily health as a stream; equals the batch result when nothing is too late."""
+    out, checkpoint = places(t, "health")
+    health = J.machine_health(J.silver(bronze_stream(t)), "60 days")
+    done(J.log_changes(health, out, checkpoint, "update"))
+    log = J.read_log(t.spark, out)
+    measures = [c for c in log.columns if c not in ("snapshot_date", "machine_id", "batch_id")]
+    return J.resolve(log, ["snapshot_date", "machine_id"], measures)
+
+
+@query("stream_alerts", Q.sql("SELECT bronze_event_id, machine_id, alert_severity, alert_reason FROM fact_alerts"))
+def _alerts(t):
+    out, checkpoint = places(t, "alerts")
+    done(J.log_changes(J.alerts(M.staging(bronze_stream(t))), out, checkpoint))
+    return J.read_log(t.spark, out).select("bronze_event_id", "machine_id", "alert_severity", "alert_reason")
+
+
+@query(
+    "stream_latest_reading",
+    Q.sql(f"SELECT machine_id, {Q.ts_text('event_ts')} AS event_ts, bronze_event_id FROM (SELECT *, row_number() OVER (PARTITION BY machine_id ORDER BY event_ts DESC NULLS LAST, bronze_event_id) AS rn FROM silver) WHERE rn = 1"),
+)
+def _latest(t):
+    out, checkpoint = places(t, "latest")
+    readings = J.silver(bronze_stream(t)).select("machine_id", "event_ts", "bronze_event_id")
+    done(J.latest_readings(readings, out, checkpoint, "machine_id", "event_ts", "bronze_event_id"))
+    return latest_by(J.read_log(t.spark, out).drop("batch_id"), "machine_id", "event_ts", "bronze_event_id")
+
+
+@query(
+    "stream_upsert",
+    "SELECT o_custkey, max(o_orderkey) AS last_order, min(o_orderkey) AS first_order FROM orders GROUP BY o_custkey",
+)
+def _upsert(t):
+    """Per-customer upserts of two micro-batch streams: the last order is updated, the first is kept."""
+    out, checkpoint = places(t, "upsert")
+    per_customer = lambda batch: batch.groupBy("o_custkey").agg(
+        F.max("o_orderkey").alias("last_order"), F.min("o_orderkey").alias("first_order")
+    )
+    done(J.log_changes(stream(t, "orders"), out, checkpoint, prepare=per_customer))
+    return J.resolve(J.read_log(t.spark, out), ["o_custkey"], ["last_order"])

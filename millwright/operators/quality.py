@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millwright import schemas as S
 from millwright.functions.parse import coerce_number, missing_to_null
+from millwright.functions.status import half_even
 
 
 def normalise_for_audit(df: DataFrame, numeric: list[str]) -> DataFrame:
@@ -168,38 +169,21 @@ def maturity_score(totals: DataFrame, anomalies: DataFrame) -> DataFrame:
     counts = anomalies.agg(
         F.struct(F.sum("raw_anomalies").alias("raw"), F.sum("clean_anomalies").alias("clean"))
     )
-    ten = F.lit(10.0)
-
-    def clip(c: Column) -> Column:
-        return F.greatest(F.lit(0.0), F.least(ten, c))
-
-    return (
-        totals.withColumn("_a", counts.scalar())
-        .withColumn("completeness", clip(F.round((F.lit(1.0) - F.col("clean_missing_pct")) * 10, 1)))
-        .withColumn(
-            "coherence",
-            F.when(F.col("_a.clean") == 0, ten).otherwise(
-                F.greatest(
-                    F.lit(0.0),
-                    F.round(ten - F.col("_a.clean") / F.greatest(F.col("_a.raw"), F.lit(1)) * 10, 1),
-                )
-            ),
-        )
-        .withColumn("traceability", F.lit(S.TRACEABILITY_SCORE))
-        .withColumn("reliability", F.round((F.col("completeness") + F.col("coherence")) / 2, 1))
-        .withColumn(
-            "ai_readiness",
-            clip(
-                F.round(
-                    (F.col("completeness") + F.col("coherence") + F.col("traceability") + F.col("reliability"))
-                    / 4
-                    - 1,
-                    1,
-                )
-            ),
-        )
-        .select("completeness", "coherence", "traceability", "reliability", "ai_readiness")
-    )
+    zero, ten = F.lit(0.0), F.lit(10.0)
+    share = F.col("_a.clean") / F.greatest(F.col("_a.raw"), F.lit(1))
+    mean = (F.col("completeness") + F.col("coherence") + F.col("traceability") + F.col("reliability")) / 4
+    steps = {
+        "_a": counts.scalar(),
+        "completeness": F.greatest(zero, F.least(ten, half_even((F.lit(1.0) - F.col("clean_missing_pct")) * 10))),
+        "coherence": F.when(F.col("_a.clean") == 0, ten).otherwise(F.greatest(zero, half_even(ten - share * 10))),
+        "traceability": F.lit(S.TRACEABILITY_SCORE),
+        "reliability": half_even((F.col("completeness") + F.col("coherence")) / 2),
+        "ai_readiness": F.greatest(zero, F.least(ten, half_even(mean - 1))),
+    }
+    out = totals
+    for name, value in steps.items():
+        out = out.withColumn(name, value)
+    return out.select("completeness", "coherence", "traceability", "reliability", "ai_readiness")
 
 
 def class_distribution(df: DataFrame, target: str) -> DataFrame:
