@@ -143,6 +143,10 @@ def fit_anomaly_model(normal: DataFrame, features: list[str], medians: dict[str,
     return model
 
 
+def _pick(i: int):
+    return lambda row: row[i]
+
+
 def sequence_features(sequences: DataFrame, features: list[str], column: str = "sequence") -> DataFrame:
     """Mean, last value and slope of each feature over its window, as one vector."""
     steps = F.size(column)
@@ -150,7 +154,7 @@ def sequence_features(sequences: DataFrame, features: list[str], column: str = "
     spread = (steps.cast("double") * (steps * steps - 1)) / 12
     made = {}
     for i, f in enumerate(features):
-        series = F.transform(F.col(column), lambda row, i=i: row[i])
+        series = F.transform(F.col(column), _pick(i))
         total = F.aggregate(series, F.lit(0.0), lambda acc, v: acc + v)
         lean = F.aggregate(
             F.transform(series, lambda v, k: v * (k - middle)), F.lit(0.0), lambda acc, v: acc + v

@@ -18,8 +18,10 @@ DEFAULTS = {
     # The JVM interprets methods above 8000 bytes of bytecode instead of compiling them.
     # Wide parsing projections exceed that when fused, so Spark is told to split them.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Recording a call site per column expression doubles the time to build wide plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
-RUNTIME = ["spark.sql.codegen.hugeMethodLimit"]
+RUNTIME = ["spark.sql.codegen.hugeMethodLimit", "spark.python.sql.dataFrameDebugging.enabled"]
 
 
 def get_session(name: str = "millwright", master: str | None = None, **conf: str) -> SparkSession:
