@@ -15,16 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millwright import schemas as S
-from millwright.functions.parse import event_key
+from millwright.functions.parse import event_key_sql
 from millwright.plans import medallion as M
 from millwright.session import small_side, spread, tune
 from millwright.sources.lake import with_payload
 
 TS = "yyyy-MM-dd HH:mm:ss"
-
-
-def text(c: Column) -> Column:
-    return c.cast("string")
+K = "CAST(get_json_object(props, '$.k') AS int)"
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -54,61 +51,46 @@ class Tables:
 
     # ------------------------------------------------------------ readings
     def events(self) -> DataFrame:
-        return spread(self.read("events"), "event_id").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-
-    @staticmethod
-    def reading_fields() -> dict[str, Column]:
-        k, kind = F.col("k"), F.col("event_type")
-        tenth, hundredth = (k / F.lit(d).cast("decimal(3,0)") for d in (10, 100))
-        return {
-            "timestamp": F.when(k < 1, "").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")),
-            "machine_id": F.when(k > 98, "").otherwise(F.concat(F.lit("S"), "user_id")),
-            "cycle_time_sec": text(k + 15),
-            "Temperature_C": F.col("value").cast("decimal(18,2)"),
-            "Vibration_mms": text(tenth.cast("decimal(10,1)")),
-            "Sound_dB": text(k + 30),
-            "Oil_Level_pct": text(100 - k),
-            "Coolant_Level_pct": F.when(kind == "view", F.concat(F.lit(" "), k, F.lit(" "))).otherwise(text(k)),
-            "Hydraulic_Pressure_bar": text(k * 2 + 30),
-            "Coolant_Flow_L_min": text(k),
-            "Heat_Index": text(k + 25),
-            "Power_Consumption_kW": F.when(k < 95, text((k * F.lit("1.5").cast("decimal(2,1)")).cast("decimal(10,1)"))),
-            "Operational_Hours": text(F.col("event_id")),
-            "Error_Codes_Last_30_Days": text(tenth.cast("decimal(10,1)")),
-            "AI_Override_Events": F.when(kind == "click", "n/a").otherwise(text(F.floor(k / 25))),
-            "Failure_Within_7_Days": F.when(k >= 93, 1).otherwise(0),
-            "Remaining_Useful_Life_days": text(380 - k * 4),
-            "predicted_failure_probability": text(hundredth.cast("decimal(10,2)")),
-            "sensor_anomaly_score": text(((110 - k) / F.lit(100).cast("decimal(3,0)")).cast("decimal(10,2)")),
-            "flag_temperature_high": F.when(F.col("value") > 72, "1").otherwise("0"),
-            "flag_vibration_high": F.when(k >= 80, "true").otherwise("false"),
-            "flag_oil_low": F.when(k >= 88, " Oui "),
-        }
-
-    @staticmethod
-    def event_source() -> tuple[Column, Column]:
-        """(source_file, source_system) of an event."""
-        kind = F.col("event_type")
-        file = (
-            F.when(kind == "purchase", "erp_business.csv")
-            .when(kind == "signup", "crm_sale.csv")
-            .when((kind == "view") & (F.col("k") < 50), "scada_capteurs_sale.csv")
-            .when(kind == "view", "scada_capteurs_business.csv")
-            .otherwise(S.REALTIME_SOURCE_FILE)
-        )
-        system = F.when(kind == "purchase", "erp").when(kind == "signup", "crm").otherwise("scada_capteurs")
-        return file, system
+        return spread(self.read("events"), "event_id").withColumn("k", F.expr(K))
+
+    READING = {
+        "timestamp": "CASE WHEN k < 1 THEN '' ELSE date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\") END",
+        "machine_id": "CASE WHEN k > 98 THEN '' ELSE concat('S', user_id) END",
+        "cycle_time_sec": "CAST(k + 15 AS string)",
+        "Temperature_C": "CAST(value AS decimal(18,2))",
+        "Vibration_mms": "CAST(CAST(k * 0.1 AS decimal(10,1)) AS string)",
+        "Sound_dB": "CAST(k + 30 AS string)",
+        "Oil_Level_pct": "CAST(100 - k AS string)",
+        "Coolant_Level_pct": "CASE WHEN event_type = 'view' THEN concat(' ', k, ' ') ELSE CAST(k AS string) END",
+        "Hydraulic_Pressure_bar": "CAST(k * 2 + 30 AS string)",
+        "Coolant_Flow_L_min": "CAST(k AS string)",
+        "Heat_Index": "CAST(k + 25 AS string)",
+        "Power_Consumption_kW": "CASE WHEN k < 95 THEN CAST(CAST(k * 1.5 AS decimal(10,1)) AS string) END",
+        "Operational_Hours": "CAST(event_id AS string)",
+        "Error_Codes_Last_30_Days": "CAST(CAST(k * 0.1 AS decimal(10,1)) AS string)",
+        "AI_Override_Events": "CASE WHEN event_type = 'click' THEN 'n/a' ELSE CAST(k div 25 AS string) END",
+        "Failure_Within_7_Days": "CASE WHEN k >= 93 THEN 1 ELSE 0 END",
+        "Remaining_Useful_Life_days": "CAST(380 - k * 4 AS string)",
+        "predicted_failure_probability": "CAST(CAST(k * 0.01 AS decimal(10,2)) AS string)",
+        "sensor_anomaly_score": "CAST(CAST((110 - k) * 0.01 AS decimal(10,2)) AS string)",
+        "flag_temperature_high": "CASE WHEN value > 72 THEN '1' ELSE '0' END",
+        "flag_vibration_high": "CASE WHEN k >= 80 THEN 'true' ELSE 'false' END",
+        "flag_oil_low": "CASE WHEN k >= 88 THEN ' Oui ' END",
+    }
+    EVENT_FILE = f"""CASE event_type WHEN 'purchase' THEN 'erp_business.csv' WHEN 'signup' THEN 'crm_sale.csv'
+        WHEN 'view' THEN CASE WHEN k < 50 THEN 'scada_capteurs_sale.csv' ELSE 'scada_capteurs_business.csv' END
+        ELSE '{S.REALTIME_SOURCE_FILE}' END"""
+    EVENT_SYSTEM = "CASE event_type WHEN 'purchase' THEN 'erp' WHEN 'signup' THEN 'crm' ELSE 'scada_capteurs' END"
 
     def raw_events(self) -> DataFrame:
         """Events with their payload as JSON text."""
         return self.as_raw(self.events())
 
     def as_raw(self, events: DataFrame) -> DataFrame:
-        file, system = self.event_source()
-        fields = [c.alias(n) for n, c in self.reading_fields().items()]
-        return events.select(
-            F.col("event_id").alias("bronze_event_id"), file.alias("source_file"), system.alias("source_system"),
-            F.to_json(F.struct(*fields)).alias("payload_json"),
+        fields = ", ".join(f"'{n}', {e}" for n, e in self.READING.items())
+        return events.selectExpr(
+            "event_id AS bronze_event_id", f"{self.EVENT_FILE} AS source_file", f"{self.EVENT_SYSTEM} AS source_system",
+            f"to_json(named_struct({fields})) AS payload_json",
         )
 
     def bronze_events(self) -> DataFrame:
@@ -128,118 +110,108 @@ class Tables:
         )
 
     @staticmethod
-    def _bronze(df: DataFrame, key: Column, file: str, system: str, fields: dict[str, Column]) -> DataFrame:
-        pairs = [x for n, c in fields.items() for x in (F.lit(n), text(c))]
-        return df.select(
-            key.cast("long").alias("bronze_event_id"), F.lit(file).alias("source_file"),
-            F.lit(system).alias("source_system"), F.create_map(*pairs).alias("payload"),
+    def _bronze(df: DataFrame, key: str, file: str, system: str, fields: dict[str, str]) -> DataFrame:
+        pairs = ", ".join(f"'{n}', CAST({e} AS string)" for n, e in fields.items())
+        return df.selectExpr(
+            f"CAST({key} AS bigint) AS bronze_event_id", f"'{file}' AS source_file", f"'{system}' AS source_system",
+            f"map({pairs}) AS payload",
         )
 
+    MES = {
+        "timestamp": f"date_format(l_shipdate + make_dt_interval(0, l_linenumber * 3), '{TS}')",
+        "shift": "CASE WHEN l_returnflag = 'A' THEN CASE WHEN l_linestatus = 'O' THEN ' Matin ' ELSE 'après-midi' END "
+        "WHEN l_returnflag = 'N' THEN 'week end' END",
+        "plant_id": "concat('PL', n_regionkey)",
+        "production_line_id": "concat('LN', n_nationkey)",
+        "machine_id": "concat('S', l_suppkey)",
+        "product_id": "concat('P', l_partkey)",
+        "planned_production_qty": "'60'",
+        "actual_production_qty": "concat(' ', CAST(l_quantity AS int))",
+        "good_qty": "CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS int) - floor(l_quantity / 10) ELSE CAST(l_quantity AS int) END",
+        "scrap_qty": "CASE WHEN l_linenumber = 7 THEN 'n/a' WHEN l_returnflag = 'R' THEN CAST(floor(l_quantity / 10) AS string) ELSE '0' END",
+        "cycle_time_sec": "CAST(CAST(l_extendedprice AS decimal(18,2)) * 0.001 AS decimal(18,5))",
+        "production_speed": "CAST(round(l_tax * 100) AS int) + 80",
+        "downtime_minutes": "CASE WHEN l_discount = 0 THEN '' ELSE CAST(CAST(round(l_discount * 100) AS int) * 10 AS string) END",
+        "setup_time_minutes": "l_linenumber * 5",
+        "defect_type": "CASE l_returnflag WHEN 'R' THEN 'Rayure' WHEN 'A' THEN ' ' END",
+        "defect_category": "CASE WHEN l_linestatus = 'F' THEN 'esthetique' END",
+        "defect_severity": "CASE WHEN l_returnflag = 'R' THEN 'major' END",
+        "is_conforming": "CASE l_returnflag WHEN 'N' THEN 'True' WHEN 'A' THEN ' oui ' ELSE '0' END",
+        "scrap_flag": "CASE WHEN l_returnflag = 'R' THEN 'YES' ELSE '' END",
+        "rework_required": "CASE WHEN l_returnflag = 'R' THEN 't' END",
+        "dimension_measurement": "CAST(9 + CAST(l_quantity AS decimal(4,0)) * 0.04 AS decimal(18,2))",
+        "tolerance_min": "'9.5'",
+        "tolerance_max": "'10.5'",
+        "quality_score": "100 - CAST(round(l_discount * 100) AS int)",
+    }
+
     def bronze_mes(self) -> DataFrame:
-        scrap = F.floor(F.col("l_quantity") / 10).cast("int")
-        qty, returned = F.col("l_quantity").cast("int"), F.col("l_returnflag") == "R"
-        flag = F.col("l_returnflag")
-        fields = {
-            "timestamp": F.date_format(F.col("l_shipdate") + F.make_dt_interval(hours=F.col("l_linenumber") * 3), TS),
-            "shift": F.when(flag == "A", F.when(F.col("l_linestatus") == "O", " Matin ").otherwise("après-midi")).when(
-                flag == "N", "week end"
-            ),
-            "plant_id": F.concat(F.lit("PL"), "n_regionkey"),
-            "production_line_id": F.concat(F.lit("LN"), "n_nationkey"),
-            "machine_id": F.concat(F.lit("S"), "l_suppkey"),
-            "product_id": F.concat(F.lit("P"), "l_partkey"),
-            "planned_production_qty": F.lit("60"),
-            "actual_production_qty": F.concat(F.lit(" "), qty),
-            "good_qty": F.when(returned, qty - scrap).otherwise(qty),
-            "scrap_qty": F.when(F.col("l_linenumber") == 7, "n/a").otherwise(text(F.when(returned, scrap).otherwise(0))),
-            "cycle_time_sec": (F.col("l_extendedprice").cast("decimal(18,2)") * F.lit("0.001").cast("decimal(3,3)")).cast("decimal(18,5)"),
-            "production_speed": F.round(F.col("l_tax") * 100).cast("int") + 80,
-            "downtime_minutes": F.when(F.col("l_discount") == 0, "").otherwise(text(F.round(F.col("l_discount") * 100).cast("int") * 10)),
-            "setup_time_minutes": F.col("l_linenumber") * 5,
-            "defect_type": F.when(returned, "Rayure").when(flag == "A", " "),
-            "defect_category": F.when(F.col("l_linestatus") == "F", "esthetique"),
-            "defect_severity": F.when(returned, "major"),
-            "is_conforming": F.when(flag == "N", "True").when(flag == "A", " oui ").otherwise("0"),
-            "scrap_flag": F.when(returned, "YES").otherwise(""),
-            "rework_required": F.when(returned, "t"),
-            "dimension_measurement": (F.lit(9).cast("decimal(4,2)") + F.col("l_quantity").cast("decimal(4,0)") * F.lit("0.04").cast("decimal(2,2)")).cast("decimal(18,2)"),
-            "tolerance_min": F.lit("9.5"),
-            "tolerance_max": F.lit("10.5"),
-            "quality_score": F.lit(100) - F.round(F.col("l_discount") * 100).cast("int"),
-        }
         lines = spread(self.read("lineitem"), "l_orderkey").join(
             small_side(self.machines().select("s_suppkey", "n_nationkey", "n_regionkey")),
             F.col("l_suppkey") == F.col("s_suppkey"),
             "left",
         )
-        key = event_key(
-            F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"),
-            F.col("l_extendedprice").cast("decimal(18,2)"),
+        key = event_key_sql(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "CAST(l_extendedprice AS decimal(18,2))"
         )
-        return self._bronze(lines, key, "mes_business.csv", "mes", fields)
+        return self._bronze(lines, key, "mes_business.csv", "mes", self.MES)
 
     # ------------------------------------------------------------ energy, maintenance
-    def _orders(self, maintenance: bool) -> DataFrame:
-        is_work = F.col("o_orderstatus") == "P"
-        return spread(self.read("orders"), "o_orderkey").filter(is_work if maintenance else ~is_work)
+    PRICE = "CAST(o_totalprice AS decimal(18,2))"
+    ENERGY = {
+        "timestamp": f"date_format(o_orderdate, '{TS}')",
+        "machine_id": "concat('S', o_custkey)",
+        "energy_consumption_kwh": PRICE,
+        "compressed_air_usage": f"CAST({PRICE} * 0.001 AS decimal(18,5))",
+        "cooling_water_usage": "CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE '12.5' END",
+        "power_peak_kw": "CASE WHEN o_orderpriority = '1-URGENT' THEN '1e3' ELSE concat(substring(o_orderpriority, 1, 1), '00') END",
+        "energy_cost": f"CAST({PRICE} * 0.1 AS decimal(18,3))",
+    }
+    MAINTENANCE = {
+        "timestamp": f"date_format(o_orderdate, '{TS}')",
+        "machine_id": "concat('S', o_custkey)",
+        "maintenance_event_id": "concat('MEV', o_orderkey)",
+        "maintenance_type": "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'corrective' ELSE ' preventive' END",
+        "failure_type": "lower(substring(o_orderpriority, 3))",
+        "failure_code": "concat('F00', substring(o_orderpriority, 1, 1))",
+        "failure_severity": "CASE o_orderpriority WHEN '1-URGENT' THEN 'critical' WHEN '2-HIGH' THEN 'major' ELSE '' END",
+        "repair_time_minutes": f"CAST({PRICE} * 0.001 AS decimal(18,5))",
+        "downtime_minutes": "CASE WHEN o_orderpriority = '5-LOW' THEN 'none' ELSE concat(substring(o_orderpriority, 1, 1), '5') END",
+        "maintenance_cost": PRICE,
+        "predicted_failure_probability": "concat('0.', substring(o_orderpriority, 1, 1))",
+    }
 
     def bronze_energy(self) -> DataFrame:
-        price, level = F.col("o_totalprice").cast("decimal(18,2)"), F.col("o_orderpriority")
-        fields = {
-            "timestamp": F.date_format("o_orderdate", TS),
-            "machine_id": F.concat(F.lit("S"), "o_custkey"),
-            "energy_consumption_kwh": price,
-            "compressed_air_usage": (price * F.lit("0.001").cast("decimal(3,3)")).cast("decimal(18,5)"),
-            "cooling_water_usage": F.when(level == "5-LOW", "").otherwise("12.5"),
-            "power_peak_kw": F.when(level == "1-URGENT", "1e3").otherwise(F.concat(F.substring(level, 1, 1), F.lit("00"))),
-            "energy_cost": (price * F.lit("0.1").cast("decimal(2,1)")).cast("decimal(18,3)"),
-        }
-        return self._bronze(self._orders(False), F.col("o_orderkey"), "energie_business.csv", "energie", fields)
+        orders = spread(self.read("orders"), "o_orderkey").filter("o_orderstatus <> 'P'")
+        return self._bronze(orders, "o_orderkey", "energie_business.csv", "energie", self.ENERGY)
 
     def bronze_maintenance(self) -> DataFrame:
-        price, level = F.col("o_totalprice").cast("decimal(18,2)"), F.col("o_orderpriority")
-        fields = {
-            "timestamp": F.date_format("o_orderdate", TS),
-            "machine_id": F.concat(F.lit("S"), "o_custkey"),
-            "maintenance_event_id": F.concat(F.lit("MEV"), "o_orderkey"),
-            "maintenance_type": F.when(level.isin("1-URGENT", "2-HIGH"), "corrective").otherwise(" preventive"),
-            "failure_type": F.lower(F.substr(level, F.lit(3))),
-            "failure_code": F.concat(F.lit("F00"), F.substring(level, 1, 1)),
-            "failure_severity": F.when(level == "1-URGENT", "critical").when(level == "2-HIGH", "major").otherwise(""),
-            "repair_time_minutes": (price * F.lit("0.001").cast("decimal(3,3)")).cast("decimal(18,5)"),
-            "downtime_minutes": F.when(level == "5-LOW", "none").otherwise(F.concat(F.substring(level, 1, 1), F.lit("5"))),
-            "maintenance_cost": price,
-            "predicted_failure_probability": F.concat(F.lit("0."), F.substring(level, 1, 1)),
-        }
-        return self._bronze(self._orders(True), F.col("o_orderkey"), "gmao_business.csv", "gmao", fields)
+        orders = spread(self.read("orders"), "o_orderkey").filter("o_orderstatus = 'P'")
+        return self._bronze(orders, "o_orderkey", "gmao_business.csv", "gmao", self.MAINTENANCE)
 
     # ------------------------------------------------------------ reference rows
+    PARTS = {"product_id": "concat('P', p_partkey)", "part_name": "p_name", "product_family": "p_type"}
+    LINES = {
+        "production_line_id": "concat('LN', n_nationkey)", "production_line_name": "n_name",
+        "factory_id": "concat('PL', n_regionkey)",
+    }
+    PLANTS = {"factory_id": "concat('PL', r_regionkey)", "factory_name": "r_name", "country": "lower(r_name)"}
+    MACHINES = {
+        "machine_id": "concat('S', s_suppkey)", "machine_type": "s_name",
+        "production_line_id": "concat('LN', n_nationkey)", "factory_id": "concat('PL', n_regionkey)",
+        "installation_year": "CASE WHEN s_acctbal > 0 THEN '2015.5' ELSE 'unknown' END",
+    }
+
     def bronze_reference(self) -> DataFrame:
-        parts = self._bronze(
-            self.read("part"), F.col("p_partkey"), "parts.csv", "parts",
-            {"product_id": F.concat(F.lit("P"), "p_partkey"), "part_name": F.col("p_name"), "product_family": F.col("p_type")},
-        )
-        lines = self._bronze(
-            self.read("nation"), F.col("n_nationkey"), "production_lines.csv", "production_lines",
-            {
-                "production_line_id": F.concat(F.lit("LN"), "n_nationkey"), "production_line_name": F.col("n_name"),
-                "factory_id": F.concat(F.lit("PL"), "n_regionkey"),
-            },
-        )
-        plants = self._bronze(
-            self.read("region"), F.col("r_regionkey"), "factories.csv", "factories",
-            {"factory_id": F.concat(F.lit("PL"), "r_regionkey"), "factory_name": F.col("r_name"), "country": F.lower("r_name")},
-        )
-        machines = self._bronze(
-            self.machines(), F.col("s_suppkey"), "machine_mapping.csv", "machine_mapping",
-            {
-                "machine_id": F.concat(F.lit("S"), "s_suppkey"), "machine_type": F.col("s_name"),
-                "production_line_id": F.concat(F.lit("LN"), "n_nationkey"),
-                "factory_id": F.concat(F.lit("PL"), "n_regionkey"),
-                "installation_year": F.when(F.col("s_acctbal") > 0, F.lit("2015.5")).otherwise("unknown"),
-            },
+        sources = [
+            (self.read("part"), "p_partkey", "parts", self.PARTS),
+            (self.read("nation"), "n_nationkey", "production_lines", self.LINES),
+            (self.read("region"), "r_regionkey", "factories", self.PLANTS),
+            (self.machines(), "s_suppkey", "machine_mapping", self.MACHINES),
+        ]
+        return reduce(
+            DataFrame.unionByName, [self._bronze(df, key, f"{name}.csv", name, f) for df, key, name, f in sources]
         )
-        return reduce(DataFrame.unionByName, [parts, lines, plants, machines])
 
     def bronze(self) -> DataFrame:
         return reduce(

@@ -80,7 +80,7 @@ def _filter(t):
 def _is_biz(t):
     from millwright.functions.parse import is_business_event
 
-    return t.bronze_events().select("bronze_event_id", is_business_event(F.col("source_file")).alias("is_biz"))
+    return t.bronze_events().select("bronze_event_id", is_business_event("source_file").alias("is_biz"))
 
 
 @query(
@@ -219,8 +219,8 @@ def _alert_rule(t):
 def _flags(t):
     from millwright.functions.parse import active_flags, is_business_event
 
-    sensor = t.bronze_events().filter((F.col("source_system") == "scada_capteurs") & is_business_event(F.col("source_file")))
-    return sensor.select("bronze_event_id", active_flags(F.col("payload")).alias("active_flags"))
+    sensor = t.bronze_events().filter((F.col("source_system") == "scada_capteurs") & is_business_event("source_file"))
+    return sensor.select("bronze_event_id", active_flags("payload").alias("active_flags"))
 
 
 # ------------------------------------------------------------------ merges

@@ -38,7 +38,7 @@ def messy():
 def over_messy(name, expr, sql):
     @query(name, Q.sql(f"SELECT event_id, {sql.format(m='m')} AS result FROM (SELECT event_id, k, {MESSY} AS m FROM ev)"))
     def run(t):
-        return t.events().select("event_id", expr(messy()).alias("result"))
+        return t.events().withColumn("m", messy()).select("event_id", expr("m").alias("result"))
 
 
 over_messy("clean_text", P.clean_text, Q.txt("{m}"))
@@ -46,7 +46,7 @@ over_messy("parse_number", P.parse_number, Q.dbl(Q.num("m")))
 over_messy("parse_number_strict", lambda c: P.parse_number(c, trim=False), Q.dbl(Q.num("m", trim=False)))
 over_messy("parse_int", P.parse_int, Q.integer("m"))
 over_messy(
-    "coerce_numeric", P.coerce_number,
+    "coerce_numeric", lambda c: P.coerce_number(F.col(c)),
     "CASE WHEN regexp_full_match(trim(m), '[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?') THEN CAST(trim(m) AS DOUBLE) END",
 )
 
@@ -64,7 +64,7 @@ def words():
 
 @query("parse_bool", Q.sql(f"SELECT event_id, {Q.boolean('w')} AS result FROM (SELECT event_id, {WORDS} AS w FROM ev)"))
 def _parse_bool(t):
-    return t.events().select("event_id", P.parse_bool(words()).alias("result"))
+    return t.events().withColumn("w", words()).select("event_id", P.parse_bool("w").alias("result"))
 
 
 STAMP = """CASE WHEN k < 10 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z' WHEN k < 20 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+02:00'
@@ -86,7 +86,7 @@ PARSED = "CASE WHEN regexp_matches(s, '^[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN CAST(r
 
 @query("parse_timestamp", Q.sql(f"SELECT event_id, {Q.ts_text(PARSED)} AS result FROM (SELECT event_id, {STAMP} AS s FROM ev)"))
 def _parse_timestamp(t):
-    return t.events().select("event_id", P.parse_timestamp(stamp()).alias("result"))
+    return t.events().withColumn("s", stamp()).select("event_id", P.parse_timestamp("s").alias("result"))
 
 
 @query(
@@ -95,7 +95,7 @@ def _parse_timestamp(t):
 )
 def _date_key(t):
     return t.read("orders").select(
-        "o_orderkey", P.date_key(F.col("o_orderdate")).alias("date_id"), F.to_date("o_orderdate").alias("day")
+        "o_orderkey", P.date_key("o_orderdate").alias("date_id"), F.to_date("o_orderdate").alias("day")
     )
 
 
@@ -116,7 +116,8 @@ NAME = "CASE sid WHEN 'SHIFT_MATIN' THEN 'matin' WHEN 'SHIFT_APRES_MIDI' THEN 'a
 def _shift_bucket(t):
     k = F.col("k")
     text = F.when(k < 15, "Matin").when(k < 30, "après-midi").when(k < 45, " NIGHT ").when(k < 60, "week end").when(k < 75, "")
-    out = P.with_shift(t.events(), text, F.when(k < 95, F.col("ts")))
+    events = t.events().select("event_id", text.alias("s"), F.when(k < 95, F.col("ts")).alias("at"))
+    out = P.with_shift(events, "s", "at")
     return out.select("event_id", "shift_id", "shift_name", "start_hour", "end_hour")
 
 
@@ -126,13 +127,13 @@ def _shift_bucket(t):
        WHEN hour(ts) >= 14 AND hour(ts) < 22 THEN 'apres_midi' ELSE 'nuit' END AS shift FROM events""",
 )
 def _shift_from_hour(t):
-    return t.read("events").select("event_id", P.shift_from_hour(F.col("ts")).alias("shift"))
+    return t.read("events").select("event_id", P.shift_from_hour("ts").alias("shift"))
 
 
 @query("defect_slug", f"SELECT p_partkey, {Q.DEFECT.format(a='p_name', b='nullif(p_brand, chr(66))', c='p_type')} AS defect_id FROM part")
 def _defect_slug(t):
     return t.read("part").select(
-        "p_partkey", P.defect_slug(F.col("p_name"), F.nullif("p_brand", F.lit("B")), F.col("p_type")).alias("defect_id")
+        "p_partkey", P.defect_slug("p_name", "nullif(p_brand, 'B')", "p_type").alias("defect_id")
     )
 
 
@@ -141,7 +142,7 @@ def _defect_slug(t):
     Q.sql(f"SELECT event_id, {Q.half_up('event_id', 'nullif(k - 10, 0)', 4)} AS rate FROM ev"),
 )
 def _safe_rate(t):
-    return t.events().select("event_id", P.safe_rate(F.col("event_id"), F.col("k") - 10).alias("rate"))
+    return t.events().select("event_id", P.safe_rate("event_id", "k - 10").alias("rate"))
 
 
 @query(
@@ -150,7 +151,7 @@ def _safe_rate(t):
 )
 def _plausible_range(t):
     return t.events().select(
-        "event_id", R.within(F.col("value"), 0, 100).alias("temperature"), R.within(F.col("k"), 40, 80).alias("level")
+        "event_id", R.within("value", 0, 100).alias("temperature"), R.within("k", 40, 80).alias("level")
     )
 
 
@@ -164,15 +165,15 @@ def _plausible_range(t):
 def _json_field(t):
     p = F.col("payload")
     return t.bronze_events().select(
-        "bronze_event_id", P.parse_number(p["Temperature_C"]).alias("temperature"),
-        p["Coolant_Level_pct"].alias("coolant"), P.parse_number(p["Power_Consumption_kW"]).alias("power"),
+        "bronze_event_id", P.parse_number("payload['Temperature_C']").alias("temperature"),
+        p["Coolant_Level_pct"].alias("coolant"), P.parse_number("payload['Power_Consumption_kW']").alias("power"),
         p["timestamp"].alias("stamp"),
     )
 
 
 @query("json_has_keys", Q.sql("SELECT bronze_event_id, Power_Consumption_kW IS NOT NULL AS complete FROM scada_raw"))
 def _json_has_keys(t):
-    keys = P.json_has_keys(F.col("payload"), S.SENSOR_KEYS_REQUIRED)
+    keys = P.json_has_keys("payload", S.SENSOR_KEYS_REQUIRED)
     return t.bronze_events().select("bronze_event_id", keys.alias("complete"))
 
 
@@ -207,54 +208,57 @@ def _source_system(t):
 
 
 # ------------------------------------------------------------------ status and labels
-def over_events(name, sql, **exprs):
+def over_events(name, sql, given=None, **exprs):
     columns = ", ".join(f"{v} AS {n}" for n, v in sql.items())
 
     @query(name, Q.sql(f"SELECT event_id, {columns} FROM ev"))
     def run(t):
-        return t.events().select("event_id", *[e.alias(n) for n, e in exprs.items()])
+        inputs = t.events().withColumns(given) if given else t.events()
+        return inputs.select("event_id", *[e.alias(n) for n, e in exprs.items()])
 
 
 PCT = "CASE WHEN k < 90 THEN CAST(value AS DOUBLE) / 4 END"
 pct = F.when(F.col("k") < 90, F.col("value") / 4)
-over_events("status_trs", {"status": Q.status_trs(f"({PCT})")}, status=D.status_trs(pct))
-over_events("status_reach", {"status": Q.status_reach(f"({PCT})")}, status=D.status_reach(pct))
-over_events("status_scrap", {"status": Q.status_scrap(f"({PCT})")}, status=D.status_scrap(pct))
-over_events("status_rul", {"status": Q.status_rul(f"({PCT})")}, status=D.status_rul(pct))
+over_events("status_trs", {"status": Q.status_trs(f"({PCT})")}, given={"p": pct}, status=D.status_trs("p"))
+over_events("status_reach", {"status": Q.status_reach(f"({PCT})")}, given={"p": pct}, status=D.status_reach("p"))
+over_events("status_scrap", {"status": Q.status_scrap(f"({PCT})")}, given={"p": pct}, status=D.status_scrap("p"))
+over_events("status_rul", {"status": Q.status_rul(f"({PCT})")}, given={"p": pct}, status=D.status_rul("p"))
 over_events(
     "status_risk",
     {"status": f"CASE WHEN ({PCT}) >= 75 THEN 'crit' WHEN ({PCT}) >= 50 THEN 'warn' ELSE 'good' END"},
-    status=D.status_risk(pct),
+    given={"p": pct}, status=D.status_risk("p"),
 )
 SEV = "CASE WHEN k < 20 THEN 'CRITICAL' WHEN k < 40 THEN 'High' WHEN k < 60 THEN 'warning' WHEN k < 80 THEN event_type END"
 sev = F.when(F.col("k") < 20, "CRITICAL").when(F.col("k") < 40, "High").when(F.col("k") < 60, "warning").when(F.col("k") < 80, F.col("event_type"))
-over_events("severity_map", {"severity": Q.severity(f"({SEV})")}, severity=D.severity_label(sev))
+over_events("severity_map", {"severity": Q.severity(f"({SEV})")}, given={"s": sev}, severity=D.severity_label("s"))
 over_events(
     "risk_score",
     {"score": Q.risk("CASE WHEN k < 95 THEN k / 100.0::DOUBLE END", "(CASE WHEN k > 20 THEN value END)")},
-    score=D.risk_score(F.when(F.col("k") < 95, F.col("k") / 100.0), F.when(F.col("k") > 20, F.col("value"))),
+    given={"p": F.when(F.col("k") < 95, F.col("k") / 100.0), "r": F.when(F.col("k") > 20, F.col("value"))},
+    score=D.risk_score("p", "r"),
 )
 over_events(
     "null_round",
     {"one": Q.half_even("value / 7"), "two": Q.half_even("value", 2), "quarter": Q.half_even("(CASE WHEN k > 5 THEN k / 4.0::DOUBLE END)")},
-    one=D.half_even(F.col("value") / 7), two=D.half_even(F.col("value"), 2),
-    quarter=D.half_even(F.when(F.col("k") > 5, F.col("k") / 4.0)),
+    given={"quarters": F.when(F.col("k") > 5, F.col("k") / 4.0)},
+    one=D.half_even("value / 7"), two=D.half_even("value", 2), quarter=D.half_even("quarters"),
 )
 DID = "(CASE WHEN k < 90 THEN CAST(strftime(ts, '%Y%m%d') AS INTEGER) WHEN k < 95 THEN 123 END)"
-did = F.when(F.col("k") < 90, P.date_key(F.col("ts"))).when(F.col("k") < 95, 123)
+did = F.when(F.col("k") < 90, P.date_key("ts")).when(F.col("k") < 95, 123)
 over_events(
     "fmt_date", {"day": Q.day_label(DID), "full_date": Q.date_label(DID)},
-    day=D.day_label(did), full_date=D.date_label(did),
+    given={"d": did}, day=D.day_label("d"), full_date=D.date_label("d"),
 )
 KIND = "(CASE WHEN k < 50 THEN 'sensor_HEALTH_' || event_type WHEN k < 75 THEN '' END)"
 over_events(
     "alert_title", {"title": Q.title(KIND)},
-    title=D.alert_title(F.when(F.col("k") < 50, F.concat(F.lit("sensor_HEALTH_"), "event_type")).when(F.col("k") < 75, "")),
+    given={"t": F.when(F.col("k") < 50, F.concat(F.lit("sensor_HEALTH_"), "event_type")).when(F.col("k") < 75, "")},
+    title=D.alert_title("t"),
 )
-over_events("state_threshold", {"state": "CASE WHEN k / 100.0 >= 0.5 THEN 'at_risk' ELSE 'normal' END"}, state=D.state_of(F.col("k") / 100))
+over_events("state_threshold", {"state": "CASE WHEN k / 100.0 >= 0.5 THEN 'at_risk' ELSE 'normal' END"}, state=D.state_of("k / 100"))
 over_events(
     "rul_clamp", {"rul": "CASE WHEN k < 90 THEN greatest(CAST(value - 50 AS DOUBLE), 0.0::DOUBLE) END"},
-    rul=D.clamp_rul(F.when(F.col("k") < 90, F.col("value") - 50)),
+    given={"r": F.when(F.col("k") < 90, F.col("value") - 50)}, rul=D.clamp_rul("r"),
 )
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from millwright import schemas as S
 from millwright.catalog import oracle as Q
-from millwright.catalog.bind import TS
 from millwright.catalog.registry import query
 from millwright.session import scratch_path
 from millwright.sources import csv_folder, gold, kafka, lake, sinks

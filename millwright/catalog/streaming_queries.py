@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millwright.catalog import oracle as Q
+from millwright.catalog.bind import K
 from millwright.catalog.medallion_queries import HEALTH_SQL
 from millwright.catalog.registry import query
 from millwright.catalog.source_queries import write_lake
@@ -20,7 +21,7 @@ def stream(t, name):
 
 
 def raw_stream(t):
-    return t.as_raw(stream(t, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int")))
+    return t.as_raw(stream(t, "events").withColumn("k", F.expr(K)))
 
 
 def bronze_stream(t):
@@ -58,7 +59,7 @@ def _dedup(t):
 
     out, checkpoint = places(t, "dedup")
     events = stream(t, "events").select(
-        F.col("ts").cast("timestamp").alias("ts"), "event_type", "user_id", F.get_json_object("props", "$.k").cast("int").alias("k")
+        F.col("ts").cast("timestamp").alias("ts"), "event_type", "user_id", F.expr(K).alias("k")
     )
     hashed = events.withColumn("payload_hash", payload_hash(F.to_json(F.struct("event_type", "user_id", "k"))))
     done(J.append_to(J.deduplicated(hashed, "ts", "400 days"), out, checkpoint))

@@ -2,39 +2,29 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millwright import schemas as S
 
-_COMPARE = {
-    ">": lambda c, t: c > t,
-    ">=": lambda c, t: c >= t,
-    "<": lambda c, t: c < t,
-    "<=": lambda c, t: c <= t,
-}
-
-
 def degradation_flags(flag_set: str = "clean", columns: list[str] | None = None) -> dict[str, Column]:
     """0/1 flags of one named threshold set; a missing measure gives 0."""
-    flags = {}
-    for name, (measure, op, threshold) in S.FLAG_SETS[flag_set].items():
-        if columns is None or measure in columns:
-            hit = _COMPARE[op](F.col(measure), F.lit(threshold))
-            flags[name] = F.coalesce(hit, F.lit(False)).cast("int")
-    return flags
+    return {
+        name: F.expr(f"CAST(coalesce({measure} {op} {threshold}, false) AS int)")
+        for name, (measure, op, threshold) in S.FLAG_SETS[flag_set].items()
+        if columns is None or measure in columns
+    }
 
 
 def degradation_score(flag_set: str = "clean") -> tuple[Column, Column]:
     """Weighted flag sum and its share of the maximum in percent, from flag columns."""
     names = list(S.FLAG_SETS[flag_set])
-    weight = {n: F.lit(S.FLAG_WEIGHTS[n]).cast("decimal(4,1)") for n in names}
-    total = reduce(lambda a, b: a + b, [F.col(n) * weight[n] for n in names])
+    total = " + ".join(f"{n} * {S.FLAG_WEIGHTS[n]}" for n in names)
     top = sum(round(float(S.FLAG_WEIGHTS[n]) * 10) for n in names) / 10
-    pct = total / F.lit(str(top)).cast("decimal(5,1)") * 100
-    return F.round(total, 2), F.round(F.greatest(F.lit(0), F.least(F.lit(100), pct)), 1)
+    return (
+        F.expr(f"round({total}, 2)"),
+        F.expr(f"round(greatest(0, least(100, ({total}) / {top} * 100)), 1)"),
+    )
 
 
 def failure_within_7(rul: Column, probability: Column, degradation_pct: Column) -> Column:

@@ -1,8 +1,11 @@
-"""Turning raw payload text into typed values."""
+"""Turning raw payload text into typed values.
 
-from __future__ import annotations
+Each rule is a piece of SQL over an expression given as text (a column name,
+``payload['x']``, ...). ``*_sql`` returns the text, for ``selectExpr`` lists of many
+columns; the function of the same name returns a Column.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,36 +13,70 @@ from pyspark.sql import functions as F
 from millwright import schemas as S
 
 
-def clean_text(c: Column) -> Column:
+def words(values) -> str:
+    """SQL list of text literals."""
+    return ", ".join("'" + v.replace("'", "\\'") + "'" for v in values)
+
+
+def text_map(pairs: dict[str, str]) -> str:
+    """SQL map literal; looking up another key gives null."""
+    return f"map({words(x for pair in pairs.items() for x in pair)})"
+
+
+def clean_sql(e: str) -> str:
+    return f"nullif(btrim({e}), '')"
+
+
+def number_sql(e: str, trim: bool = True) -> str:
+    text = f"btrim({e})" if trim else e
+    return f"try_cast(nullif(regexp_extract({text}, r'{S.NUMBER_PATTERN}', 0), '') AS {S.NUM.simpleString()})"
+
+
+def int_sql(e: str, trim: bool = True) -> str:
+    return f"try_cast(round({number_sql(e, trim)}, 0) AS int)"
+
+
+def bool_sql(e: str) -> str:
+    return f"lower({clean_sql(e)}) IN ({words(S.TRUE_WORDS)})"
+
+
+def timestamp_sql(e: str) -> str:
+    return f"try_cast(btrim(regexp_extract({e}, r'{S.DATE_PREFIX_PATTERN}', 0)) AS timestamp_ntz)"
+
+
+def date_key_sql(e: str) -> str:
+    return f"CAST(date_format({e}, 'yyyyMMdd') AS int)"
+
+
+def clean_text(e: str) -> Column:
     """Trimmed text; blank becomes null."""
-    return F.nullif(F.btrim(c), F.lit(""))
+    return F.expr(clean_sql(e))
 
 
-def parse_number(c: Column, trim: bool = True) -> Column:
+def parse_number(e: str, trim: bool = True) -> Column:
     """Plain decimal text to a number, anything else to null.
 
     ``trim=False`` keeps the stricter silver rule, where padding makes text invalid.
     """
-    matched = F.regexp_extract(F.btrim(c) if trim else c, S.NUMBER_PATTERN, 0)
-    return F.nullif(matched, F.lit("")).try_cast(S.NUM)
+    return F.expr(number_sql(e, trim))
 
 
-def parse_int(c: Column, trim: bool = True) -> Column:
+def parse_int(e: str, trim: bool = True) -> Column:
     """Number rounded half away from zero."""
-    return F.round(parse_number(c, trim), 0).try_cast("int")
+    return F.expr(int_sql(e, trim))
 
 
-def parse_bool(c: Column) -> Column:
-    return F.lower(clean_text(c)).isin(S.TRUE_WORDS)
+def parse_bool(e: str) -> Column:
+    return F.expr(bool_sql(e))
 
 
-def parse_timestamp(c: Column) -> Column:
+def parse_timestamp(e: str) -> Column:
     """Wall-clock timestamp (any zone offset is dropped) of text that starts with a date."""
-    return F.btrim(F.regexp_extract(c, S.DATE_PREFIX_PATTERN, 0)).try_cast("timestamp_ntz")
+    return F.expr(timestamp_sql(e))
 
 
-def date_key(ts: Column) -> Column:
-    return F.date_format(ts, "yyyyMMdd").cast("int")
+def date_key(e: str) -> Column:
+    return F.expr(date_key_sql(e))
 
 
 def coerce_number(c: Column) -> Column:
@@ -51,60 +88,68 @@ def missing_to_null(c: Column, markers: list[str] = S.MISSING_MARKERS) -> Column
     return F.when(~c.isin(markers), c)
 
 
-def safe_rate(numerator: Column, denominator: Column) -> Column:
+def safe_rate(numerator: str, denominator: str) -> Column:
     """Ratio rounded to 4 digits; null when either side is null or the divisor is 0."""
-    bottom = F.nullif(denominator.cast(S.NUM), F.lit(0).cast(S.NUM))
-    return F.round(numerator.cast(S.NUM) / bottom, 4)
+    kind = S.NUM.simpleString()
+    return F.expr(f"round(CAST({numerator} AS {kind}) / nullif(CAST({denominator} AS {kind}), 0), 4)")
 
 
-def with_shift(df: DataFrame, shift: Column, ts: Column) -> DataFrame:
+def with_shift(df: DataFrame, shift: str, ts: str) -> DataFrame:
     """Adds shift_id, shift_name, start_hour and end_hour, from shift text or else the hour.
 
     A missing timestamp counts as night. Each step is a projection of its own, so its
     result is computed once although the next step uses it several times.
     """
-    words = {w: key for key, (known, *_) in S.SHIFTS.items() for w in known}
+    by_word = text_map({w: key for key, (known, *_) in S.SHIFTS.items() for w in known})
     morning, afternoon, night = S.SHIFTS
-    by_hour = (
-        F.when(F.col("_hour").between(6, 13), morning).when(F.col("_hour").between(14, 21), afternoon).otherwise(night)
-    )
-    other = F.concat(F.lit("SHIFT_"), F.upper(F.replace("_text", F.lit(" "), F.lit("_"))))
-    out = df.withColumns({"_text": F.lower(clean_text(shift)), "_hour": F.hour(ts)})
-    out = out.withColumn("shift_id", F.coalesce(_lookup(words, "_text"), other, by_hour))
-    for position, name, fallback in (
-        (1, "shift_name", F.col("_text")), (2, "start_hour", F.lit("00:00")), (3, "end_hour", F.lit("23:59"))
-    ):
-        known = _lookup({key: details[position] for key, details in S.SHIFTS.items()}, "shift_id")
-        out = out.withColumn(name, F.coalesce(known, fallback))
-    return out.drop("_text", "_hour")
 
+    def detail(position: int, fallback: str) -> str:
+        known = text_map({key: values[position] for key, values in S.SHIFTS.items()})
+        return f"coalesce({known}[shift_id], {fallback})"
 
-def _lookup(pairs: dict[str, str], column: str) -> Column:
-    """Value of a small fixed map, null for other keys."""
-    return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])[F.col(column)]
+    keep = list(df.columns)
+    return (
+        df.selectExpr(*keep, f"lower({clean_sql(shift)}) AS _text", f"hour({ts}) AS _hour")
+        .selectExpr(
+            *keep,
+            "_text",
+            f"""coalesce({by_word}[_text], concat('SHIFT_', upper(replace(_text, ' ', '_'))),
+                CASE WHEN _hour BETWEEN 6 AND 13 THEN '{morning}' WHEN _hour BETWEEN 14 AND 21 THEN '{afternoon}'
+                ELSE '{night}' END) AS shift_id""",
+        )
+        .selectExpr(
+            *keep,
+            "shift_id",
+            f"{detail(1, '_text')} AS shift_name",
+            f"{detail(2, words(['00:00']))} AS start_hour",
+            f"{detail(3, words(['23:59']))} AS end_hour",
+        )
+    )
 
 
-def shift_from_hour(ts: Column) -> Column:
+def shift_from_hour(ts: str) -> Column:
     """Cleaning variant of the shift label; null timestamp gives null."""
-    hour = F.hour(ts)
-    return (
-        F.when((hour >= 6) & (hour < 14), "matin")
-        .when((hour >= 14) & (hour < 22), "apres_midi")
-        .when((hour >= 22) | (hour < 6), "nuit")
+    return F.expr(
+        f"""CASE WHEN hour({ts}) BETWEEN 6 AND 13 THEN 'matin' WHEN hour({ts}) BETWEEN 14 AND 21 THEN 'apres_midi'
+            WHEN {ts} IS NOT NULL THEN 'nuit' END"""
     )
 
 
-def defect_parts(kind: Column, category: Column, severity: Column) -> tuple[Column, Column, Column]:
+def defect_parts_sql(kind: str, category: str, severity: str) -> tuple[str, str, str]:
     return (
-        F.coalesce(clean_text(kind), F.lit("no_defect")),
-        F.coalesce(clean_text(category), F.lit("none")),
-        F.coalesce(clean_text(severity), F.lit("minor")),
+        f"coalesce({clean_sql(kind)}, 'no_defect')",
+        f"coalesce({clean_sql(category)}, 'none')",
+        f"coalesce({clean_sql(severity)}, 'minor')",
     )
 
 
-def defect_slug(kind: Column, category: Column, severity: Column) -> Column:
-    joined = F.lower(F.concat_ws("_", *defect_parts(kind, category, severity)))
-    return F.btrim(F.regexp_replace(joined, "[^a-z0-9]+", "_"), F.lit("_"))
+def defect_slug_sql(kind: str, category: str, severity: str) -> str:
+    joined = ", ".join(defect_parts_sql(kind, category, severity))
+    return f"btrim(regexp_replace(lower(concat_ws('_', {joined})), '[^a-z0-9]+', '_'), '_')"
+
+
+def defect_slug(kind: str, category: str, severity: str) -> Column:
+    return F.expr(defect_slug_sql(kind, category, severity))
 
 
 def payload_map(json_text: Column) -> Column:
@@ -116,9 +161,12 @@ def payload_map(json_text: Column) -> Column:
     return F.parse_json(json_text).cast("map<string,string>")
 
 
-def json_has_keys(payload: Column, keys: list[str]) -> Column:
-    present = [F.map_contains_key(payload, key) for key in keys]
-    return reduce(lambda a, b: a & b, present)
+def has_keys_sql(payload: str, keys: list[str]) -> str:
+    return "(" + " AND ".join(f"map_contains_key({payload}, '{k}')" for k in keys) + ")"
+
+
+def json_has_keys(payload: str, keys: list[str]) -> Column:
+    return F.expr(has_keys_sql(payload, keys))
 
 
 def payload_hash(envelope_json: Column) -> Column:
@@ -126,17 +174,14 @@ def payload_hash(envelope_json: Column) -> Column:
     return F.sha2(F.to_json(F.parse_json(envelope_json)), 256)
 
 
-def active_flags(payload: Column) -> Column:
+def active_flags(payload: str) -> Column:
     """Names of the set ``flag_*`` keys, prefix removed, comma-joined in key order."""
-    on = F.map_filter(
-        payload,
-        lambda k, v: k.startswith("flag_")
-        & F.coalesce(F.lower(F.btrim(v)).isin(S.TRUE_WORDS), F.lit(False)),
+    on = (
+        f"map_filter({payload}, (k, v) -> startswith(k, 'flag_') "
+        f"AND coalesce(lower(btrim(v)) IN ({words(S.TRUE_WORDS)}), false))"
     )
-    names = F.transform(
-        F.array_sort(F.map_keys(on)), lambda k: F.replace(k, F.lit("flag_"), F.lit(""))
-    )
-    return F.when(F.size(on) > 0, F.array_join(names, ","))
+    names = f"transform(array_sort(map_keys({on})), k -> replace(k, 'flag_', ''))"
+    return F.expr(f"nullif(array_join({names}, ','), '')")
 
 
 def source_system_of(file_name: Column) -> Column:
@@ -145,11 +190,15 @@ def source_system_of(file_name: Column) -> Column:
     return F.regexp_replace(stem, "(" + "|".join(S.VARIANT_SUFFIXES) + ")", "")
 
 
-def is_business_event(source_file: Column) -> Column:
-    return source_file.endswith(S.BUSINESS_SUFFIX) | (source_file == S.REALTIME_SOURCE_FILE)
+def business_sql(source_file: str) -> str:
+    return f"(endswith({source_file}, '{S.BUSINESS_SUFFIX}') OR {source_file} = '{S.REALTIME_SOURCE_FILE}')"
+
+
+def is_business_event(source_file: str) -> Column:
+    return F.expr(business_sql(source_file))
 
 
-def event_key(*parts: Column) -> Column:
+def event_key_sql(*parts: str) -> str:
     """A repeatable 60-bit id for rows that have no single key column."""
-    digest = F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+    digest = f"md5(concat_ws('|', {', '.join(parts)}))"
+    return f"CAST(conv(substring({digest}, 1, 15), 16, 10) AS bigint)"

@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from millwright import schemas as S
 
 
-def within(c: Column, low, high, low_open: bool = False) -> Column:
+def within_sql(e: str, low, high, low_open: bool = False) -> str:
+    above = ">" if low_open else ">="
+    return f"CASE WHEN {e} {above} {low} AND {e} <= {high} THEN {e} END"
+
+
+def within(e: str, low, high, low_open: bool = False) -> Column:
     """The value when plausible, else null."""
-    above = c > low if low_open else c >= low
-    return F.when(above & (c <= high), c)
+    return F.expr(within_sql(e, low, high, low_open))
 
 
 def _is(condition: Column) -> Column:

@@ -1,4 +1,7 @@
-"""Status ladders, labels and display values of the dashboards."""
+"""Status ladders, labels and display values of the dashboards.
+
+Arguments are SQL expressions given as text, mostly column names.
+"""
 
 from __future__ import annotations
 
@@ -6,106 +9,106 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from millwright import schemas as S
+from millwright.functions.parse import text_map
+
+
+def half_even_sql(e: str, digits: int = 1) -> str:
+    scale = f"CAST({10**digits} AS DOUBLE)"
+    x = f"CAST({e} AS DOUBLE)"
+    product = f"({x} * {scale})"
+    carrier = f"({x} * CAST(134217729 AS DOUBLE))"
+    high = f"({carrier} - ({carrier} - {x}))"
+    error = f"(({high} * {scale} - {product}) + ({x} - {high}) * {scale})"
+    tie = f"abs({product} - CAST(floor({product}) AS DOUBLE)) = 0.5D"
+    return (
+        f"(CASE WHEN {tie} AND {error} > 0 THEN CAST(ceil({product}) AS DOUBLE) "
+        f"WHEN {tie} AND {error} < 0 THEN CAST(floor({product}) AS DOUBLE) ELSE rint({product}) END / {scale})"
+    )
 
 
-def half_even(c: Column, digits: int = 1) -> Column:
+def half_even(e: str, digits: int = 1) -> Column:
     """Round a double half to even on its binary value, keeping null.
 
     Scaling can land exactly on a half although the true product lies beside it, so
     the rounding error of the product is recovered (split multiplication) and decides.
     """
-    x = c.cast("double")
-    scale = float(10**digits)
-    product = x * F.lit(scale)
-    carrier = x * F.lit(134217729.0)
-    high = carrier - (carrier - x)
-    error = (high * F.lit(scale) - product) + (x - high) * F.lit(scale)
-    tie = F.abs(product - F.floor(product).cast("double")) == 0.5
-    whole = (
-        F.when(tie & (error > 0), F.ceil(product).cast("double"))
-        .when(tie & (error < 0), F.floor(product).cast("double"))
-        .otherwise(F.rint(product))
-    )
-    return whole / F.lit(scale)
+    return F.expr(half_even_sql(e, digits))
+
 
+def whole_sql(e: str) -> str:
+    return f"CAST(rint(CAST({e} AS DOUBLE)) AS BIGINT)"
 
-def whole(c: Column) -> Column:
+
+def whole(e: str) -> Column:
     """Nearest integer, halves to even."""
-    return F.rint(c.cast("double")).cast("long")
+    return F.expr(whole_sql(e))
 
 
-def status_trs(pct: Column) -> Column:
-    return F.when(pct >= 85, "good").when(pct >= 70, "warn").otherwise("crit")
+def status_trs(e: str) -> Column:
+    return F.expr(f"CASE WHEN {e} >= 85 THEN 'good' WHEN {e} >= 70 THEN 'warn' ELSE 'crit' END")
 
 
-def status_reach(pct: Column) -> Column:
-    return F.when(pct >= 90, "good").when(pct >= 80, "warn").otherwise("crit")
+def status_reach(e: str) -> Column:
+    return F.expr(f"CASE WHEN {e} >= 90 THEN 'good' WHEN {e} >= 80 THEN 'warn' ELSE 'crit' END")
 
 
-def status_scrap(pct: Column) -> Column:
-    return F.when(pct.isNull() | (pct < 3), "good").when(pct < 5, "warn").otherwise("crit")
+def status_scrap(e: str) -> Column:
+    return F.expr(f"CASE WHEN {e} IS NULL OR {e} < 3 THEN 'good' WHEN {e} < 5 THEN 'warn' ELSE 'crit' END")
 
 
-def status_rul(days: Column) -> Column:
-    return F.when(days < 30, "crit").when(days < 90, "warn").otherwise("good")
+def status_rul(e: str) -> Column:
+    return F.expr(f"CASE WHEN {e} < 30 THEN 'crit' WHEN {e} < 90 THEN 'warn' ELSE 'good' END")
 
 
-def status_risk(score: Column) -> Column:
-    return F.when(score >= 75, "crit").when(score >= 50, "warn").otherwise("good")
+def status_risk(e: str) -> Column:
+    return F.expr(f"CASE WHEN {e} >= 75 THEN 'crit' WHEN {e} >= 50 THEN 'warn' ELSE 'good' END")
 
 
-def severity_label(c: Column) -> Column:
-    word = F.lower(c)
-    ladder = None
-    for target in dict.fromkeys(S.SEVERITY_WORDS.values()):
-        words = [w for w, t in S.SEVERITY_WORDS.items() if t == target]
-        ladder = F.when(word.isin(words), target) if ladder is None else ladder.when(word.isin(words), target)
-    return ladder.otherwise("mineur")
+def severity_label(e: str) -> Column:
+    return F.expr(f"coalesce({text_map(S.SEVERITY_WORDS)}[lower({e})], 'mineur')")
 
 
-def risk_score(probability: Column, rul_days: Column) -> Column:
+def risk_score(probability: str, rul_days: str) -> Column:
     """0-100 score: equal parts of the classifier output and of how close the end of life is."""
-    classifier = F.coalesce(probability.cast("double"), F.lit(0.0)) * 100
-    urgency = F.greatest(
-        F.lit(0.0),
-        F.least(F.lit(100.0), F.lit(100.0) * (F.lit(1.0) - rul_days.cast("double") / S.RUL_HORIZON_DAYS)),
-    )
-    return F.when(rul_days.isNull(), whole(classifier)).otherwise(
-        whole(F.lit(0.5) * classifier + F.lit(0.5) * urgency)
+    classifier = f"(coalesce(CAST({probability} AS DOUBLE), 0D) * 100)"
+    urgency = f"greatest(0D, least(100D, 100D * (1D - CAST({rul_days} AS DOUBLE) / {S.RUL_HORIZON_DAYS})))"
+    return F.expr(
+        f"CASE WHEN {rul_days} IS NULL THEN {whole_sql(classifier)} "
+        f"ELSE {whole_sql(f'0.5D * {classifier} + 0.5D * {urgency}')} END"
     )
 
 
-def _key_text(date_id: Column, pieces: list[tuple[int, int]]) -> Column:
-    text = date_id.cast("string")
-    shown = F.concat_ws("/", *[F.substring(text, start, n) for start, n in pieces])
-    return F.when(date_id.isNull(), "").when(F.length(text) == 8, shown).otherwise(text)
+def _key_text(e: str, pieces: list[tuple[int, int]]) -> Column:
+    text = f"CAST({e} AS STRING)"
+    shown = ", ".join(f"substring({text}, {start}, {n})" for start, n in pieces)
+    return F.expr(
+        f"CASE WHEN {e} IS NULL THEN '' WHEN length({text}) = 8 THEN concat_ws('/', {shown}) ELSE {text} END"
+    )
 
 
-def day_label(date_id: Column) -> Column:
+def day_label(date_id: str) -> Column:
     return _key_text(date_id, [(7, 2), (5, 2)])
 
 
-def date_label(date_id: Column) -> Column:
+def date_label(date_id: str) -> Column:
     return _key_text(date_id, [(7, 2), (5, 2), (1, 4)])
 
 
-def alert_title(alert_type: Column) -> Column:
-    text = F.replace(
-        F.coalesce(F.nullif(alert_type, F.lit("")), F.lit("Alerte")), F.lit("_"), F.lit(" ")
-    )
-    return F.concat(F.upper(F.substring(text, 1, 1)), F.lower(F.substr(text, F.lit(2))))
+def alert_title(alert_type: str) -> Column:
+    text = f"replace(coalesce(nullif({alert_type}, ''), 'Alerte'), '_', ' ')"
+    return F.expr(f"concat(upper(substring({text}, 1, 1)), lower(substring({text}, 2)))")
 
 
-def model_label(name: Column, version: Column) -> Column:
-    return F.when(
-        F.nullif(name, F.lit("")).isNotNull(),
-        F.when(F.nullif(version, F.lit("")).isNotNull(), F.concat(name, F.lit(" v"), version)).otherwise(name),
+def model_label(name: str, version: str) -> Column:
+    """Name and version; null without a name."""
+    return F.expr(
+        f"CASE WHEN nullif({name}, '') IS NOT NULL THEN concat({name}, coalesce(concat(' v', nullif({version}, '')), '')) END"
     )
 
 
-def state_of(risk: Column, threshold: float = 0.5) -> Column:
-    return F.when(risk >= threshold, "at_risk").otherwise("normal")
+def state_of(risk: str, threshold: float = 0.5) -> Column:
+    return F.expr(f"CASE WHEN {risk} >= {threshold} THEN 'at_risk' ELSE 'normal' END")
 
 
-def clamp_rul(days: Column) -> Column:
-    return F.when(days.isNotNull(), F.greatest(days.cast("double"), F.lit(0.0)))
+def clamp_rul(days: str) -> Column:
+    return F.expr(f"CASE WHEN {days} IS NOT NULL THEN greatest(CAST({days} AS DOUBLE), 0D) END")

@@ -16,7 +16,7 @@ def score_state(model, prepared: DataFrame, threshold: float = 0.5, name: str =
     """State and risk score per machine reading."""
     return risk_scores(model, prepared).select(
         "machine_id",
-        state_of(F.col("risk_score"), threshold).alias("state"),
+        state_of("risk_score", threshold).alias("state"),
         "risk_score",
         F.lit(name).alias("model_name"),
         F.lit(version).alias("model_version"),
@@ -30,7 +30,7 @@ def score_rul(model, prepared: DataFrame, required: list[str], name: str = "rul"
         complete = complete & F.col(c).isNotNull()
     return model.transform(prepared).select(
         "machine_id",
-        F.when(complete, clamp_rul(F.col("prediction"))).alias("remaining_useful_life_days"),
+        F.when(complete, clamp_rul("prediction")).alias("remaining_useful_life_days"),
         F.lit(name).alias("model_name"),
         F.lit(version).alias("model_version"),
     )

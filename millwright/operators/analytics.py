@@ -22,7 +22,16 @@ RISK_LIMIT = 6
 
 
 def mean(c: str, factor: int = 1) -> Column:
-    return F.sum(F.col(c) * factor).cast("double") / F.nullif(F.count(c), F.lit(0))
+    return F.expr(f"CAST(sum({c} * {factor}) AS DOUBLE) / nullif(count({c}), 0)")
+
+
+def pooled_mean() -> Column:
+    """Mean from partial sums and counts."""
+    return F.expr("CAST(sum(_sum) AS DOUBLE) / nullif(sum(_n), 0)")
+
+
+def shown(e: str, name: str, digits: int = 1) -> str:
+    return f"{D.half_even_sql(e, digits)} AS {name}"
 
 
 def _same(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
@@ -49,21 +58,30 @@ def sites_trs(production: DataFrame, plants: DataFrame) -> DataFrame:
     per_site = production.groupBy("plant_id").agg(mean("trs", 100).alias("_v"))
     return with_plant_name(per_site, plants).select(
         "plant_id", "plant_name", "country",
-        D.half_even(F.col("_v")).alias("trs"), D.status_trs(F.col("_v")).alias("status"),
+        D.half_even("_v").alias("trs"), D.status_trs("_v").alias("status"),
     )
 
 
+RATES = {"trs": "trs", "availability": "availability_rate", "performance": "performance_rate", "quality": "quality_rate"}
+
+
+def _kpi_aggregates(extra: dict[str, str]) -> list[Column]:
+    means = [mean(c, 100).alias(f"_{n}") for n, c in {**RATES, "scrap": "scrap_rate"}.items()]
+    return means + [mean(c).alias(f"_{n}") for n, c in extra.items()]
+
+
+def _kpi_columns(extra: dict[str, str]) -> list[str]:
+    return [shown(f"_{n}", n) for n in RATES] + [shown("_scrap", "scrap", 2)] + [shown(f"_{n}", n) for n in extra]
+
+
 def group_kpis(production: DataFrame) -> DataFrame:
-    return production.agg(
-        D.half_even(mean("trs", 100)).alias("trs"),
-        D.half_even(mean("availability_rate", 100)).alias("availability"),
-        D.half_even(mean("performance_rate", 100)).alias("performance"),
-        D.half_even(mean("quality_rate", 100)).alias("quality"),
-        D.half_even(mean("scrap_rate", 100), 2).alias("scrap"),
-        F.coalesce(F.sum("good_qty"), F.lit(0)).cast("long").alias("good"),
+    totals = production.agg(
+        *_kpi_aggregates({}),
+        F.expr("CAST(coalesce(sum(good_qty), 0) AS BIGINT) AS good"),
         F.count_distinct("plant_id").alias("sites"),
         F.count_distinct("machine_id").alias("machines"),
     )
+    return totals.selectExpr(*_kpi_columns({}), "good", "sites", "machines")
 
 
 def site_rates(production: DataFrame) -> DataFrame:
@@ -72,8 +90,8 @@ def site_rates(production: DataFrame) -> DataFrame:
     )
     return per_site.select(
         "plant_id",
-        D.half_even(F.col("_t")).alias("trs"), D.status_trs(F.col("_t")).alias("trs_status"),
-        D.half_even(F.col("_s"), 2).alias("scrap"), D.status_scrap(F.col("_s")).alias("scrap_status"),
+        D.half_even("_t").alias("trs"), D.status_trs("_t").alias("trs_status"),
+        D.half_even("_s", 2).alias("scrap"), D.status_scrap("_s").alias("scrap_status"),
     )
 
 
@@ -88,13 +106,13 @@ def energy_by_site(energy: DataFrame, production: DataFrame) -> DataFrame:
     per_site = (
         per_machine.join(machine_plants(production), "machine_id")
         .groupBy("plant_id")
-        .agg((F.sum("_sum").cast("double") / F.nullif(F.sum("_n"), F.lit(0))).alias("kwh"))
+        .agg(pooled_mean().alias("kwh"))
     )
     overall = F.coalesce(per_site.agg(F.avg("kwh")).scalar(), F.lit(0.0))
     sites = production.select("plant_id").distinct()
     return _same(sites, per_site, "plant_id").select(
         "plant_id",
-        D.half_even(F.col("kwh"), 0).alias("energy"),
+        D.half_even("kwh", 0).alias("energy"),
         F.when(F.coalesce("kwh", F.lit(0.0)) > overall, "warn").otherwise("good").alias("status"),
     )
 
@@ -117,11 +135,11 @@ def _alert_view(df: DataFrame) -> DataFrame:
     reason = F.coalesce(F.nullif("alert_reason", F.lit("")), "alert_type")
     return df.select(
         F.col("bronze_event_id").cast("string").alias("alert_id"),
-        D.alert_title(F.col("alert_type")).alias("title"),
-        D.severity_label(F.col("alert_severity")).alias("severity"),
+        D.alert_title("alert_type").alias("title"),
+        D.severity_label("alert_severity").alias("severity"),
         F.concat("machine_id", F.lit(" — "), reason).alias("description"),
         F.col("plant_name").alias("factory"),
-        D.date_label(F.col("date_id")).alias("date"),
+        D.date_label("date_id").alias("date"),
         F.lit("active").alias("status"),
     )
 
@@ -152,17 +170,13 @@ def recent_alerts(
 # ---------------------------------------------------------------- one site, or each
 def site_kpis(production: DataFrame) -> DataFrame:
     """KPIs of every plant in ``production``."""
-    return production.groupBy("plant_id").agg(
-        D.half_even(mean("trs", 100)).alias("trs"),
-        D.half_even(mean("availability_rate", 100)).alias("availability"),
-        D.half_even(mean("performance_rate", 100)).alias("performance"),
-        D.half_even(mean("quality_rate", 100)).alias("quality"),
-        D.half_even(mean("scrap_rate", 100), 2).alias("scrap"),
-        D.half_even(mean("cycle_time_sec")).alias("cycle_time"),
-        D.half_even(mean("downtime_minutes")).alias("downtime"),
-        F.coalesce(F.sum("good_qty"), F.lit(0)).cast("long").alias("good"),
-        F.coalesce(F.sum("actual_production_qty"), F.lit(0)).cast("long").alias("actual"),
+    extra = {"cycle_time": "cycle_time_sec", "downtime": "downtime_minutes"}
+    totals = production.groupBy("plant_id").agg(
+        *_kpi_aggregates(extra),
+        F.expr("CAST(coalesce(sum(good_qty), 0) AS BIGINT) AS good"),
+        F.expr("CAST(coalesce(sum(actual_production_qty), 0) AS BIGINT) AS actual"),
     )
+    return totals.selectExpr("plant_id", *_kpi_columns(extra), "good", "actual")
 
 
 def kpi_rows(kpis: DataFrame, columns: list[str], key: list[str] | None = None) -> DataFrame:
@@ -191,7 +205,7 @@ def active_alert_count(alerts: DataFrame, production: DataFrame | None = None) -
 def _last_days(per_day: DataFrame, digits: int, days: int) -> DataFrame:
     newest = per_day.orderBy(F.desc_nulls_first("date_id")).limit(days)
     return newest.orderBy(F.asc_nulls_last("date_id")).select(
-        "date_id", D.day_label(F.col("date_id")).alias("label"), D.half_even(F.col("_v"), digits).alias("value")
+        "date_id", D.day_label("date_id").alias("label"), D.half_even("_v", digits).alias("value")
     )
 
 
@@ -205,7 +219,7 @@ def energy_series(energy: DataFrame, production: DataFrame, days: int = SERIES_D
         F.sum("energy_consumption_kwh").alias("_sum"), F.count("energy_consumption_kwh").alias("_n")
     )
     per_day = on_site(per_machine, production).groupBy("date_id").agg(
-        (F.sum("_sum").cast("double") / F.nullif(F.sum("_n"), F.lit(0))).alias("_v")
+        pooled_mean().alias("_v")
     )
     return _last_days(per_day, 0, days)
 
@@ -216,10 +230,10 @@ def line_performance(production: DataFrame) -> DataFrame:
         F.coalesce(F.sum("good_qty"), F.lit(0)).cast("long").alias("production"),
         F.coalesce(F.sum("actual_production_qty"), F.lit(0)).cast("long").alias("target"),
     )
-    reach = F.col("production").cast("double") / F.nullif(F.col("target"), F.lit(0)) * 100
+    per_line = per_line.withColumn("_r", F.expr("CAST(production AS DOUBLE) / nullif(target, 0) * 100"))
     return per_line.select(
-        "plant_id", "production_line_id", D.half_even(F.col("_t")).alias("trs"),
-        "production", "target", D.half_even(reach).alias("reach"), D.status_reach(reach).alias("status"),
+        "plant_id", "production_line_id", D.half_even("_t").alias("trs"),
+        "production", "target", D.half_even("_r").alias("reach"), D.status_reach("_r").alias("status"),
     )
 
 
@@ -272,7 +286,7 @@ def first_model_label(responses: DataFrame, order: str) -> DataFrame:
     named = F.when(F.nullif("model_name", F.lit("")).isNotNull(), F.col(order))
     first = F.min_by(F.struct("model_name", "model_version"), named)
     picked = responses.agg(F.when(F.count(named) > 0, first).alias("m"))
-    label = D.model_label(F.col("m.model_name"), F.col("m.model_version"))
+    label = D.model_label("m.model_name", "m.model_version")
     return picked.select(F.coalesce(label, F.lit("—")).alias("model"))
 
 
@@ -287,9 +301,9 @@ def ia_indicators(predictions: DataFrame) -> DataFrame:
     return agg.select(
         F.concat("at_risk", F.lit("/"), "machines").alias("at_risk_machines"),
         F.when(F.col("at_risk") > 0, "crit").otherwise("good").alias("at_risk_tone"),
-        F.concat(D.whole(F.col("_risk") * 100), F.lit("%")).alias("mean_risk"),
+        F.concat(D.whole("_risk * 100"), F.lit("%")).alias("mean_risk"),
         F.when(F.col("_risk") >= 0.5, "crit").when(F.col("_risk") >= 0.25, "warn").otherwise("good").alias("mean_risk_tone"),
-        F.coalesce(F.concat(D.whole(F.col("_rul")), F.lit(" j")), F.lit("—")).alias("mean_rul"),
+        F.coalesce(F.concat(D.whole("_rul"), F.lit(" j")), F.lit("—")).alias("mean_rul"),
         F.when(F.col("_rul") < 90, "warn").otherwise("good").alias("mean_rul_tone"),
     )
 
@@ -310,20 +324,19 @@ def offline_indicators(kpis: DataFrame, active: DataFrame, machines: DataFrame)
 
 def risk_machines(stats: DataFrame, predictions: DataFrame | None = None, limit: int = RISK_LIMIT) -> DataFrame:
     """Riskiest machines: by predicted score and RUL, or by incidents when no model answered."""
-    base = stats.withColumn("last_intervention", F.coalesce(F.nullif(D.date_label(F.col("last_maint")), F.lit("")), F.lit("—")))
+    base = stats.withColumn("last_intervention", F.coalesce(F.nullif(D.date_label("last_maint"), F.lit("")), F.lit("—")))
     if predictions is None:
         top = F.greatest(F.coalesce(stats.agg(F.max("incidents")).scalar(), F.lit(1)), F.lit(1))
-        score = F.least(F.lit(98), D.whole(F.lit(30) + F.lit(68) * F.col("incidents") / top))
-        scored = base.select(
-            "machine_id", "incidents", "last_intervention", F.lit(None).cast("string").alias("state"),
-            score.cast("long").alias("risk_score"), F.lit(None).cast("long").alias("rul_days"),
+        scored = base.withColumn("_top", top).selectExpr(
+            "machine_id", "incidents", "last_intervention", "CAST(NULL AS STRING) AS state",
+            f"least(98, {D.whole_sql('30 + 68 * incidents / _top')}) AS risk_score", "CAST(NULL AS BIGINT) AS rul_days",
         )
         return scored.orderBy(F.desc("incidents"), "machine_id").limit(limit)
     known = predictions.select("machine_id", "state", F.col("risk_score").alias("_p"), F.col("rul_days").alias("_r"))
     scored = base.join(known, "machine_id", "left").select(
         "machine_id", "incidents", "last_intervention", "state",
-        F.when(F.col("state").isNotNull(), D.risk_score(F.col("_p"), F.col("_r"))).alias("risk_score"),
-        D.whole(F.col("_r")).alias("rul_days"),
+        F.when(F.col("state").isNotNull(), D.risk_score("_p", "_r")).alias("risk_score"),
+        D.whole("_r").alias("rul_days"),
     )
     order = [F.desc(F.coalesce("risk_score", F.lit(0))), F.asc_nulls_last("rul_days"), F.asc("machine_id")]
     return scored.orderBy(*order).limit(limit)
@@ -331,13 +344,13 @@ def risk_machines(stats: DataFrame, predictions: DataFrame | None = None, limit:
 
 def maintenance_plan(predictions: DataFrame, today: date) -> DataFrame:
     """Machines with a predicted RUL, soonest first, with their due date."""
-    days = D.whole(F.col("rul_days"))
+    days = D.whole("rul_days")
     return (
         predictions.filter("rul_days is not null")
         .select(
             "machine_id", "state", days.alias("rul_whole_days"),
             F.date_add(F.lit(today), days.cast("int")).alias("due"),
-            D.status_rul(F.col("rul_days")).alias("status"),
+            D.status_rul("rul_days").alias("status"),
         )
         .withColumn("due", F.date_format("due", "dd/MM/yyyy"))
         .orderBy("rul_whole_days", "machine_id")
@@ -349,7 +362,7 @@ def predictive_alerts(predictions: DataFrame, factory: str, today: str, threshol
     risky = F.col("state") == "at_risk"
     close = F.coalesce(F.col("rul_days") < threshold, F.lit(False))
     severity = F.when(risky & (F.col("rul_days") < 30), "critique").when(risky, "majeur").otherwise("mineur")
-    left = F.concat(F.lit("durée de vie restante "), D.whole(F.col("rul_days")), F.lit(" j"))
+    left = F.concat(F.lit("durée de vie restante "), D.whole("rul_days"), F.lit(" j"))
     reasons = F.concat_ws(", ", F.when(risky, F.lit("panne probable sous 7 j")), left)
     rank = F.when(F.col("severity") == "critique", 0).when(F.col("severity") == "majeur", 1).otherwise(2)
     return (

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millwright import schemas as S
 from millwright.functions.parse import coerce_number, missing_to_null
-from millwright.functions.status import half_even
+from millwright.functions.status import half_even_sql
 
 
 def normalise_for_audit(df: DataFrame, numeric: list[str]) -> DataFrame:
@@ -169,20 +169,19 @@ def maturity_score(totals: DataFrame, anomalies: DataFrame) -> DataFrame:
     counts = anomalies.agg(
         F.struct(F.sum("raw_anomalies").alias("raw"), F.sum("clean_anomalies").alias("clean"))
     )
-    zero, ten = F.lit(0.0), F.lit(10.0)
-    share = F.col("_a.clean") / F.greatest(F.col("_a.raw"), F.lit(1))
-    mean = (F.col("completeness") + F.col("coherence") + F.col("traceability") + F.col("reliability")) / 4
+    rounded = half_even_sql
+    mean = "(completeness + coherence + traceability + reliability) / 4"
     steps = {
-        "_a": counts.scalar(),
-        "completeness": F.greatest(zero, F.least(ten, half_even((F.lit(1.0) - F.col("clean_missing_pct")) * 10))),
-        "coherence": F.when(F.col("_a.clean") == 0, ten).otherwise(F.greatest(zero, half_even(ten - share * 10))),
-        "traceability": F.lit(S.TRACEABILITY_SCORE),
-        "reliability": half_even((F.col("completeness") + F.col("coherence")) / 2),
-        "ai_readiness": F.greatest(zero, F.least(ten, half_even(mean - 1))),
+        "completeness": f"greatest(0D, least(10D, {rounded('(1D - clean_missing_pct) * 10')}))",
+        "coherence": "CASE WHEN _a.clean = 0 THEN 10D ELSE "
+        f"greatest(0D, {rounded('10D - _a.clean / greatest(_a.raw, 1) * 10')}) END",
+        "traceability": f"{S.TRACEABILITY_SCORE}D",
+        "reliability": rounded("(completeness + coherence) / 2"),
+        "ai_readiness": f"greatest(0D, least(10D, {rounded(f'{mean} - 1')}))",
     }
-    out = totals
+    out = totals.withColumn("_a", counts.scalar())
     for name, value in steps.items():
-        out = out.withColumn(name, value)
+        out = out.selectExpr("*", f"{value} AS {name}")
     return out.select("completeness", "coherence", "traceability", "reliability", "ai_readiness")
 
 

@@ -100,8 +100,8 @@ def clean_with_business_rules(df: DataFrame, order: str, rows: int | None = None
 
 
 def _typed(df: DataFrame, order: str) -> DataFrame:
-    """Missing markers to null, numbers parsed, implausible numbers to null: one projection."""
-    numeric = {*QUANTITIES, *PLAIN_NUMBERS, *S.SENSOR_LIMITS}
+    """Missing markers to null, numbers parsed, implausible numbers to null."""
+    numeric = {*QUANTITIES, *PLAIN_NUMBERS, *S.SENSOR_LIMITS, "Failure_Within_7_Days"}
 
     def typed(c: str):
         value = F.col(c)
@@ -113,20 +113,17 @@ def _typed(df: DataFrame, order: str) -> DataFrame:
             return value.try_cast("timestamp_ntz")
         if c in FLAGS:
             return F.lower(value.cast("string")).try_cast("boolean")
-        if c in numeric:
-            value = coerce_number(value)
+        return coerce_number(value) if c in numeric else value
+
+    def checked(c: str) -> str:
         if c in S.SENSOR_LIMITS:
-            return R.within(value, *S.SENSOR_LIMITS[c])
+            return R.within_sql(c, *S.SENSOR_LIMITS[c])
         if c in QUANTITIES:
-            low, high, is_open = QUANTITIES[c]
-            return R.within(value, low, high, is_open)
-        if c == "Error_Codes_Last_30_Days":
-            return F.coalesce(value, F.lit(0.0))
-        if c == "Failure_Within_7_Days":
-            return coerce_number(value)
-        return value
+            return R.within_sql(c, *QUANTITIES[c])
+        return f"coalesce({c}, 0D)" if c == "Error_Codes_Last_30_Days" else f"`{c}`"
 
-    return df.select(*[typed(c).alias(c) for c in df.columns])
+    parsed = df.select(*[typed(c).alias(c) for c in df.columns])
+    return parsed.selectExpr(*[f"{checked(c)} AS `{c}`" for c in df.columns])
 
 
 def _identifiers(t: _Rows) -> None:
@@ -159,7 +156,7 @@ def _measures(t: _Rows) -> None:
         speed = R.speed_fallback(*[F.col(c) for c in ("production_speed", "actual_production_qty", "cycle_time_sec")])
         t.project(production_speed=speed)
     if t.has("shift", "timestamp"):
-        t.project(shift=F.coalesce(shift_from_hour(F.col("timestamp")), F.col("shift")))
+        t.project(shift=F.coalesce(shift_from_hour("timestamp"), F.col("shift")))
 
 
 def _quality(t: _Rows) -> None:

@@ -7,42 +7,38 @@ from pyspark.sql import functions as F
 
 from millwright import schemas as S
 from millwright.functions import parse as P
-from millwright.functions.rules import within
+from millwright.functions.rules import within_sql
 from millwright.operators.merge import energy_per_good_piece, merge
 
 
 # ---------------------------------------------------------------- silver
 def bronze_to_silver(bronze: DataFrame) -> DataFrame:
-    """Typed sensor events; values outside their plausible range are null."""
+    """Typed sensor events; values outside their plausible range are null.
 
-    def raw(key: str) -> Column:
-        return F.col("payload")[key]
-
-    counts = [
-        F.coalesce(P.parse_int(raw(key), trim=False), F.lit(0)).alias(name) for key, name in S.SILVER_COUNTS
-    ]
-    status = F.when(
-        P.json_has_keys(F.col("payload"), S.SENSOR_KEYS_REQUIRED), "valid_sensor_event"
-    ).otherwise("partial_sensor_event")
-    parsed = bronze.filter(F.col("source_system") == "scada_capteurs").select(
+    Ranges are checked on the parsed columns, so no text is parsed twice.
+    """
+    parsed = bronze.filter("source_system = 'scada_capteurs'").selectExpr(
         "bronze_event_id",
-        P.parse_timestamp(raw("timestamp")).alias("event_ts"),
-        F.nullif(raw("machine_id"), F.lit("")).alias("machine_id"),
-        *[P.parse_number(raw(key), trim=False).alias(name) for key, name, _ in S.SILVER_NUMBERS],
-        *counts,
-        status.alias("quality_status"),
-    )
-    # Ranges are checked on the parsed columns, so no text is parsed twice.
-    return parsed.withColumns(
-        {name: within(F.col(name), *limits).cast(S.NUM) for _, name, limits in S.SILVER_NUMBERS if limits}
+        f"{P.timestamp_sql(_raw('timestamp'))} AS event_ts",
+        f"nullif({_raw('machine_id')}, '') AS machine_id",
+        *[f"{P.number_sql(_raw(key), trim=False)} AS {name}" for key, name, _ in S.SILVER_NUMBERS],
+        *[f"coalesce({P.int_sql(_raw(key), trim=False)}, 0) AS {name}" for key, name in S.SILVER_COUNTS],
+        f"CASE WHEN {P.has_keys_sql('payload', S.SENSOR_KEYS_REQUIRED)} THEN 'valid_sensor_event' "
+        "ELSE 'partial_sensor_event' END AS quality_status",
     )
+    plausible = {name: within_sql(name, *limits) for _, name, limits in S.SILVER_NUMBERS if limits}
+    return parsed.selectExpr(*[f"{plausible.get(c, c)} AS {c}" for c in parsed.columns])
+
+
+def _raw(key: str) -> str:
+    return f"payload['{key}']"
 
 
 def silver_rejects(bronze: DataFrame) -> DataFrame:
     """How many sensor events carry timestamp text that is not a timestamp."""
-    text = F.nullif(F.col("payload")["timestamp"], F.lit(""))
-    bad = text.isNotNull() & P.parse_timestamp(F.col("payload")["timestamp"]).isNull()
-    return bronze.filter(F.col("source_system") == "scada_capteurs").agg(
+    text = _raw("timestamp")
+    bad = F.expr(f"nullif({text}, '') IS NOT NULL AND {P.timestamp_sql(text)} IS NULL")
+    return bronze.filter("source_system = 'scada_capteurs'").agg(
         F.count(F.lit(1)).alias("n_events"), F.coalesce(F.sum(bad.cast("long")), F.lit(0)).alias("n_rejected")
     )
 
@@ -50,19 +46,15 @@ def silver_rejects(bronze: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- health
 def health_measures() -> list[Column]:
     """Aggregates of one machine and day; a missing score counts as no risk."""
-
-    def high(c: str) -> Column:
-        return F.coalesce(F.col(c), F.lit(0)) >= F.lit(S.HIGH_RISK).cast("decimal(2,1)")
-
-    risky = high("sensor_anomaly_score") | high("predicted_failure_probability")
+    risky = " OR ".join(
+        f"coalesce({c}, 0) >= {S.HIGH_RISK}" for c in ("sensor_anomaly_score", "predicted_failure_probability")
+    )
+    means = {"temperature_c": 2, "vibration_mms": 2, "power_consumption_kw": 2, "sensor_anomaly_score": 3}
     return [
-        F.count(F.lit(1)).cast("int").alias("event_count"),
-        F.round(F.avg("temperature_c"), 2).alias("avg_temperature_c"),
-        F.round(F.avg("vibration_mms"), 2).alias("avg_vibration_mms"),
-        F.round(F.avg("power_consumption_kw"), 2).alias("avg_power_consumption_kw"),
-        F.round(F.avg("sensor_anomaly_score"), 3).alias("avg_sensor_anomaly_score"),
-        F.sum((F.col("failure_within_7_days") == 1).cast("int")).cast("int").alias("failure_alerts"),
-        F.sum(risky.cast("int")).cast("int").alias("high_risk_events"),
+        F.expr("CAST(count(1) AS int) AS event_count"),
+        *[F.expr(f"round(avg({c}), {digits}) AS avg_{c}") for c, digits in means.items()],
+        F.expr("CAST(count_if(failure_within_7_days = 1) AS int) AS failure_alerts"),
+        F.expr(f"CAST(count_if({risky}) AS int) AS high_risk_events"),
     ]
 
 
@@ -83,99 +75,86 @@ def filter_sources(bronze: DataFrame, systems: list[str] = S.SOURCE_SYSTEMS) ->
 
 
 def staging(bronze: DataFrame, business_only: bool = False) -> DataFrame:
-    """Every dimension key of an event, derived in one projection."""
-
-    def text(key: str) -> Column:
-        return P.clean_text(F.col("payload")[key])
-
-    raw = F.col("payload")
-    kind, category, severity = P.defect_parts(raw["defect_type"], raw["defect_category"], raw["defect_severity"])
-    keyed = filter_sources(bronze).select(
+    """Every dimension key of an event, derived from its payload."""
+    defect = (_raw("defect_type"), _raw("defect_category"), _raw("defect_severity"))
+    kind, category, severity = P.defect_parts_sql(*defect)
+    keyed = filter_sources(bronze).selectExpr(
         "bronze_event_id",
         "source_system",
         "source_file",
         "payload",
-        P.is_business_event(F.col("source_file")).alias("is_biz"),
-        P.parse_timestamp(raw["timestamp"]).alias("ts"),
-        F.coalesce(text("factory_id"), text("plant_id")).alias("plant_id"),
-        text("production_line_id").alias("line_id"),
-        text("product_id").alias("product_id"),
-        text("machine_id").alias("machine_id"),
-        P.defect_slug(raw["defect_type"], raw["defect_category"], raw["defect_severity"]).alias("defect_id"),
-        kind.alias("defect_type"),
-        category.alias("defect_category"),
-        severity.alias("defect_severity"),
+        f"{P.business_sql('source_file')} AS is_biz",
+        f"{P.timestamp_sql(_raw('timestamp'))} AS ts",
+        f"coalesce({_text('factory_id')}, {_text('plant_id')}) AS plant_id",
+        f"{_text('production_line_id')} AS line_id",
+        f"{_text('product_id')} AS product_id",
+        f"{_text('machine_id')} AS machine_id",
+        f"{P.defect_slug_sql(*defect)} AS defect_id",
+        f"{kind} AS defect_type",
+        f"{category} AS defect_category",
+        f"{severity} AS defect_severity",
     )
-    out = P.with_shift(keyed, raw["shift"], F.col("ts")).withColumn("date_id", P.date_key(F.col("ts")))
-    return out.filter("is_biz") if business_only else out
+    if business_only:
+        keyed = keyed.filter("is_biz")
+    return P.with_shift(keyed, _raw("shift"), "ts").selectExpr("*", f"{P.date_key_sql('ts')} AS date_id")
+
+
+def _text(key: str) -> str:
+    return P.clean_sql(_raw(key))
 
 
 # ---------------------------------------------------------------- dimensions
-def _one_per_key(stg: DataFrame, key: Column, name: str, **attributes: Column) -> DataFrame:
+def _one_per_key(stg: DataFrame, name: str, key: str, **attributes: str) -> DataFrame:
     """The largest non-null value of each attribute per key; a map-side combined aggregate."""
     return (
-        stg.select(key.alias(name), *[c.alias(n) for n, c in attributes.items()])
-        .filter(F.col(name).isNotNull())
+        stg.selectExpr(f"{key} AS {name}", *[f"{e} AS {n}" for n, e in attributes.items()])
+        .filter(f"{name} IS NOT NULL")
         .groupBy(name)
         .agg(*[F.max(n).alias(n) for n in attributes])
     )
 
 
 def dim_date(stg: DataFrame) -> DataFrame:
-    day = F.to_date("ts")
+    days = stg.selectExpr("date_id", "to_date(ts) AS day")
     return _one_per_key(
-        stg, F.col("date_id"), "date_id",
-        date=day, year=F.year(day), month=F.month(day), day=F.dayofmonth(day), week=F.weekofyear(day),
+        days, "date_id", "date_id",
+        date="day", year="year(day)", month="month(day)", day="dayofmonth(day)", week="weekofyear(day)",
     )
 
 
-def _text(key: str) -> Column:
-    return P.clean_text(F.col("payload")[key])
-
-
 def dim_plant(stg: DataFrame) -> DataFrame:
-    return _one_per_key(
-        stg, F.col("plant_id"), "plant_id", plant_name=_text("factory_name"), country=_text("country")
-    )
+    return _one_per_key(stg, "plant_id", "plant_id", plant_name=_text("factory_name"), country=_text("country"))
 
 
 def dim_line(stg: DataFrame) -> DataFrame:
     return _one_per_key(
-        stg, F.col("line_id"), "production_line_id",
-        plant_id=F.col("plant_id"), line_name=_text("production_line_name"),
+        stg, "production_line_id", "line_id", plant_id="plant_id", line_name=_text("production_line_name")
     )
 
 
 def dim_shift(stg: DataFrame) -> DataFrame:
     return _one_per_key(
-        stg, F.col("shift_id"), "shift_id",
-        shift_name=F.col("shift_name"), start_hour=F.col("start_hour"), end_hour=F.col("end_hour"),
+        stg, "shift_id", "shift_id", shift_name="shift_name", start_hour="start_hour", end_hour="end_hour"
     )
 
 
 def dim_product(stg: DataFrame) -> DataFrame:
     return _one_per_key(
-        stg, F.col("product_id"), "product_id",
-        product_name=_text("part_name"), product_family=_text("product_family"),
+        stg, "product_id", "product_id", product_name=_text("part_name"), product_family=_text("product_family")
     )
 
 
 def dim_machine(stg: DataFrame) -> DataFrame:
-    year = F.coalesce(
-        P.parse_int(F.col("payload")["Installation_Year"]), P.parse_int(F.col("payload")["installation_year"])
-    )
+    year = f"coalesce({P.int_sql(_raw('Installation_Year'))}, {P.int_sql(_raw('installation_year'))})"
     return _one_per_key(
-        stg, F.col("machine_id"), "machine_id",
-        production_line_id=F.col("line_id"), machine_type=_text("machine_type"), installation_year=year,
+        stg, "machine_id", "machine_id",
+        production_line_id="line_id", machine_type=_text("machine_type"), installation_year=year,
     )
 
 
 def dim_defect(stg: DataFrame) -> DataFrame:
-    return _one_per_key(
-        stg, F.col("defect_id"), "defect_id",
-        defect_type=F.col("defect_type"), defect_category=F.col("defect_category"),
-        defect_severity=F.col("defect_severity"),
-    )
+    same = {c: c for c in ("defect_type", "defect_category", "defect_severity")}
+    return _one_per_key(stg, "defect_id", "defect_id", **same)
 
 
 DIMENSIONS = {
@@ -186,98 +165,95 @@ DIMENSIONS = {
 
 # ---------------------------------------------------------------- facts
 def _events(stg: DataFrame, system: str) -> DataFrame:
-    return stg.filter((F.col("source_system") == system) & F.col("is_biz"))
+    return stg.filter(f"source_system = '{system}' AND is_biz")
 
 
-def _num(key: str) -> Column:
-    return P.parse_number(F.col("payload")[key])
+def _num(key: str) -> str:
+    return P.number_sql(_raw(key))
+
+
+def _numbers(*keys: str) -> list[str]:
+    return [f"{_num(k)} AS {k}" for k in keys]
 
 
 def oee_rates(df: DataFrame) -> DataFrame:
     """Availability, performance, quality and their product; each rate is rounded first."""
-    lost = F.col("downtime_minutes") + F.col("setup_time_minutes")
-    run = F.greatest(F.lit(S.SHIFT_MINUTES).cast(S.NUM) - lost, F.lit(0).cast(S.NUM))
+    shift, kind = S.SHIFT_MINUTES, S.NUM.simpleString()
+
+    def ratio(part: str) -> str:
+        return f"round(CAST({part} AS {kind}) / nullif(CAST(actual_production_qty AS {kind}), 0), 4)"
+
     four = "decimal(18,4)"
-    return (
-        df.withColumns(
-            {
-                "availability_rate": F.round(run / F.lit(S.SHIFT_MINUTES).cast("decimal(3,0)"), 4).cast(four),
-                "performance_rate": F.round(F.col("production_speed") / F.lit(100).cast("decimal(3,0)"), 4).cast(four),
-                "quality_rate": P.safe_rate(F.col("good_qty"), F.col("actual_production_qty")).cast(four),
-                "scrap_rate": P.safe_rate(F.col("scrap_qty"), F.col("actual_production_qty")).cast(four),
-            }
-        )
-        .withColumn(
-            "trs",
-            F.round(
-                F.col("availability_rate").cast("decimal(5,4)")
-                * F.col("quality_rate").cast("decimal(15,4)")
-                * F.col("performance_rate").cast("decimal(15,4)"),
-                4,
-            ).cast(four),
-        )
+    rates = df.selectExpr(
+        "*",
+        f"CAST(round(greatest({shift} - downtime_minutes - setup_time_minutes, 0) / {shift}, 4) AS {four}) AS availability_rate",
+        f"CAST(round(production_speed / 100, 4) AS {four}) AS performance_rate",
+        f"CAST({ratio('good_qty')} AS {four}) AS quality_rate",
+        f"CAST({ratio('scrap_qty')} AS {four}) AS scrap_rate",
+    )
+    product = (
+        "CAST(availability_rate AS decimal(5,4)) * CAST(quality_rate AS decimal(15,4)) "
+        "* CAST(performance_rate AS decimal(15,4))"
     )
+    return rates.selectExpr("*", f"CAST(round({product}, 4) AS {four}) AS trs")
 
 
 def fact_production(stg: DataFrame) -> DataFrame:
-    p = F.col("payload")
-    measures = _events(stg, "mes").select(
-        "bronze_event_id", "date_id", "plant_id", F.col("line_id").alias("production_line_id"),
-        "machine_id", "product_id", "shift_id",
-        *[P.parse_int(p[c]).alias(c) for c in ("planned_production_qty", "actual_production_qty", "good_qty", "scrap_qty")],
-        *[_num(c).alias(c) for c in ("cycle_time_sec", "target_cycle_time_sec", "production_speed")],
-        *[F.coalesce(_num(c), F.lit(0).cast(S.NUM)).alias(c) for c in ("downtime_minutes", "setup_time_minutes")],
+    quantities = ("planned_production_qty", "actual_production_qty", "good_qty", "scrap_qty")
+    measures = _events(stg, "mes").selectExpr(
+        "bronze_event_id", "date_id", "plant_id", "line_id AS production_line_id", "machine_id", "product_id", "shift_id",
+        *[f"{P.int_sql(_raw(c))} AS {c}" for c in quantities],
+        *_numbers("cycle_time_sec", "target_cycle_time_sec", "production_speed"),
+        *[f"coalesce({_num(c)}, CAST(0 AS {S.NUM.simpleString()})) AS {c}" for c in ("downtime_minutes", "setup_time_minutes")],
     )
     rates = ["availability_rate", "performance_rate", "quality_rate", "trs", "scrap_rate"]
     return oee_rates(measures).select(*measures.columns, *rates)
 
 
 def fact_quality(stg: DataFrame) -> DataFrame:
-    p = F.col("payload")
-    return _events(stg, "mes").select(
+    return _events(stg, "mes").selectExpr(
         "bronze_event_id", "date_id", "machine_id", "product_id", "defect_id",
-        *[_num(c).alias(c) for c in ("dimension_measurement", "tolerance_min", "tolerance_max")],
-        *[P.parse_bool(p[c]).alias(c) for c in ("is_conforming", "scrap_flag", "rework_required")],
-        _num("quality_score").alias("quality_score"),
+        *_numbers("dimension_measurement", "tolerance_min", "tolerance_max"),
+        *[f"{P.bool_sql(_raw(c))} AS {c}" for c in ("is_conforming", "scrap_flag", "rework_required")],
+        *_numbers("quality_score"),
     )
 
 
 def fact_maintenance(stg: DataFrame) -> DataFrame:
     texts = ("maintenance_event_id", "maintenance_type", "failure_type", "failure_code", "failure_severity")
-    numbers = (
-        "repair_time_minutes", "downtime_minutes", "maintenance_cost",
-        "predicted_failure_probability", "sensor_anomaly_score",
-    )
-    return _events(stg, "gmao").select(
+    return _events(stg, "gmao").selectExpr(
         "bronze_event_id", "date_id", "machine_id",
-        *[_text(c).alias(c) for c in texts], *[_num(c).alias(c) for c in numbers],
+        *[f"{_text(c)} AS {c}" for c in texts],
+        *_numbers(
+            "repair_time_minutes", "downtime_minutes", "maintenance_cost",
+            "predicted_failure_probability", "sensor_anomaly_score",
+        ),
     )
 
 
 def fact_energy(stg: DataFrame) -> DataFrame:
     """Energy measures; the per-piece value is filled in afterwards from production."""
-    numbers = (
-        "energy_consumption_kwh", "compressed_air_usage", "cooling_water_usage", "power_peak_kw", "energy_cost",
-    )
-    return _events(stg, "energie").select(
-        "bronze_event_id", "date_id", "machine_id", *[_num(c).alias(c) for c in numbers],
-        F.lit(None).cast(S.NUM).alias("energy_per_good_piece"),
+    return _events(stg, "energie").selectExpr(
+        "bronze_event_id", "date_id", "machine_id",
+        *_numbers(
+            "energy_consumption_kwh", "compressed_air_usage", "cooling_water_usage", "power_peak_kw", "energy_cost"
+        ),
+        f"CAST(NULL AS {S.NUM.simpleString()}) AS energy_per_good_piece",
     )
 
 
 def alert_rows(events: DataFrame) -> DataFrame:
     """Alerts of sensor events: any active flag, or a failure probability of at least 0.7."""
-    chance = F.coalesce(_num("predicted_failure_probability"), F.lit(0).cast(S.NUM))
-    high = chance >= F.lit(S.HIGH_RISK).cast("decimal(2,1)")
+    chance = _num("predicted_failure_probability")
     return (
-        events.withColumns({"_flags": P.active_flags(F.col("payload")), "_high": high})
-        .filter(F.col("_flags").isNotNull() | F.col("_high"))
-        .select(
-            "bronze_event_id", "date_id", "machine_id",
-            F.lit("sensor_health").alias("alert_type"),
-            F.when(F.col("_high"), "critical").otherwise("warning").alias("alert_severity"),
-            F.coalesce(F.col("_flags"), F.lit("predicted_failure_probability_high")).alias("alert_reason"),
-            F.lit(True).alias("is_active"),
+        events.withColumns(
+            {"_flags": P.active_flags("payload"), "_high": F.expr(f"coalesce({chance}, 0) >= {S.HIGH_RISK}")}
+        )
+        .filter("_flags IS NOT NULL OR _high")
+        .selectExpr(
+            "bronze_event_id", "date_id", "machine_id", "'sensor_health' AS alert_type",
+            "CASE WHEN _high THEN 'critical' ELSE 'warning' END AS alert_severity",
+            "coalesce(_flags, 'predicted_failure_probability_high') AS alert_reason", "true AS is_active",
         )
     )
 
