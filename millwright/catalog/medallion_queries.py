@@ -233,7 +233,7 @@ def _absent(t):
 
 @query(
     "dim_upsert_coalesce",
-    """SELECT s_suppkey, coalesce(nn, s_name) AS s_name, coalesce(nk, s_nationkey) AS s_nationkey
+    """SELECT coalesce(s_suppkey, k) AS s_suppkey, coalesce(nn, s_name) AS s_name, coalesce(nk, s_nationkey) AS s_nationkey
        FROM supplier FULL JOIN (SELECT n_nationkey AS k, CASE WHEN n_regionkey < 3 THEN n_name END AS nn, n_regionkey AS nk FROM nation) ON s_suppkey = k""",
 )
 def _coalesce(t):

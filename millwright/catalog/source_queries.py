@@ -119,7 +119,7 @@ def _append(t):
     rows = hashed(t)
     loaded = rows.join(t.read("events").filter("event_type = 'click'").select("event_id"), F.col("bronze_event_id") == F.col("event_id"), "left_semi")
     path = scratch_path(t.spark, "bronze")
-    inserted = lake.append_bronze(lake.new_bronze_rows(loaded, rows), path)
+    inserted = lake.append_bronze(lake.new_bronze_rows(loaded, rows), path, "load1")
     return t.spark.read.parquet(path).agg(F.lit(inserted).cast("long").alias("inserted"), F.count(F.lit(1)).alias("stored"))
 
 

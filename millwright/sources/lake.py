@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwright import schemas as S
@@ -62,12 +62,20 @@ def new_bronze_rows(bronze: DataFrame, incoming: DataFrame, dedup_on: str = "env
     return insert_if_absent(bronze, incoming, ["payload_hash" if dedup_on == "envelope" else "content_hash"])
 
 
-def append_bronze(new: DataFrame, path: str) -> int:
-    """Append by source system; the row count is observed during the write."""
-    seen = Observation()
-    counted = new.observe(seen, F.count(F.lit(1)).alias("n"))
-    counted.write.mode("append").partitionBy("source_system").parquet(path)
-    return seen.get["n"]
+def append_bronze(new: DataFrame, path: str, load_id: str) -> int:
+    """Append one load by source system and return its number of rows.
+
+    Each load has its own partitions: repeating a load replaces them, and counting it
+    reads only the footers of its own files.
+    """
+    rows = new.withColumn("load_id", F.lit(load_id))
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("source_system", "load_id")
+        .parquet(path)
+    )
+    return new.sparkSession.read.parquet(path).filter(F.col("load_id") == load_id).count()
 
 
 def with_payload(raw: DataFrame, column: str = "payload_json") -> DataFrame:

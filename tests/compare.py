@@ -93,7 +93,7 @@ def main() -> int:
         try:
             ok, note = check(spark, con, name, queries[name], oracles.get(name), args.dir)
         except Exception as e:  # noqa: BLE001
-            ok, note = False, f"{type(e).__name__}: {str(e)[:600]}"
+            ok, note = False, f"{type(e).__name__}: {str(e)[:9000]}"
         bad += not ok
         print("ok  " if ok else "FAIL", name, note, flush=True)
     print(f"{bad} failures")
