@@ -33,9 +33,13 @@ def logistic(train: DataFrame, c: float = 1.0, balanced: bool = True):
 
 
 def ridge(train: DataFrame, alpha: float = 1.0):
-    """Linear regression with an L2 penalty; ``alpha=0`` is ordinary least squares."""
+    """Linear regression with an L2 penalty; ``alpha=0`` is ordinary least squares.
+
+    Spark divides the penalty by the deviation of the label and takes it per row.
+    """
+    n, deviation = train.agg(F.count("label"), F.stddev_pop("label")).first()
     return LinearRegression(
-        regParam=alpha / train.count(), elasticNetParam=0.0, standardization=False
+        regParam=alpha * (deviation or 0.0) / n, elasticNetParam=0.0, standardization=False, solver="normal"
     ).fit(train)
 
 

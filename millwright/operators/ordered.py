@@ -39,7 +39,7 @@ class Chunked:
 
     @property
     def at(self) -> Column:
-        """Sort key of a row: nulls last, ties by the tie column."""
+        """Sort key of a row as one value: nulls last, ties by the tie column."""
         parts = [F.col(self.order).isNull().alias("n"), F.col(self.order).alias("o")]
         if self.tie:
             parts.append(F.col(self.tie).alias("t"))
@@ -53,10 +53,12 @@ class Chunked:
         return Window.partitionBy(*(self.keys(group) or [F.lit(0)]))
 
     def forward(self, group: list[str]):
-        return self.inside(group).orderBy(self.at)
+        tie = [F.asc(self.tie)] if self.tie else []
+        return self.inside(group).orderBy(F.asc_nulls_last(self.order), *tie)
 
     def backward(self, group: list[str]):
-        return self.inside(group).orderBy(self.at.desc())
+        tie = [F.desc(self.tie)] if self.tie else []
+        return self.inside(group).orderBy(F.desc_nulls_first(self.order), *tie)
 
     def attach(self, rows: DataFrame, summary: DataFrame, group: list[str]) -> DataFrame:
         return rows.join(summary, self.keys(group), "left")
@@ -326,8 +328,9 @@ def interpolate_linear(
         base = cut.attach(base, summary, group)
         base = base.withColumn("_pos", F.col("_pos") + F.coalesce(F.col("_skip"), F.lit(0))).drop("_skip")
 
-    ahead = cut.inside(group).orderBy("_pos").rowsBetween(*UP_TO_HERE)
-    behind = cut.inside(group).orderBy(F.desc("_pos")).rowsBetween(*UP_TO_HERE)
+    # The forward order is the one the positions were numbered in, so it needs no new sort.
+    ahead = cut.forward(group).rowsBetween(*UP_TO_HERE)
+    behind = cut.backward(group).rowsBetween(*UP_TO_HERE)
     neighbours = {}
     for c in columns:
         prev, nxt = F.last(mark(c), True).over(ahead), F.last(mark(c), True).over(behind)

@@ -187,7 +187,11 @@ def _quality(t: _Rows) -> None:
 
 
 def _leftovers(t: _Rows) -> None:
-    """Columns that still have gaps get a last global pass; one aggregate finds them."""
+    """Columns that still have gaps get a last global pass; one aggregate finds them.
+
+    The rows are written first: the aggregate and the last pass both read them.
+    """
+    t.df = materialise(t.df, "cleaning")
     inner = {t.order, O.CHUNK, O.SUB}
     candidates = [c for c in t.df.columns if c not in inner]
     gaps = t.df.agg(*[F.max(F.col(c).isNull()).alias(c) for c in candidates]).first()

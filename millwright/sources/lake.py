@@ -62,6 +62,11 @@ def new_bronze_rows(bronze: DataFrame, incoming: DataFrame, dedup_on: str = "env
     return insert_if_absent(bronze, incoming, ["payload_hash" if dedup_on == "envelope" else "content_hash"])
 
 
+def with_event_ids(new: DataFrame, after: int = 0) -> DataFrame:
+    """Unique ``bronze_event_id`` values above ``after``, fixed once the rows are written."""
+    return new.withColumn("bronze_event_id", F.monotonically_increasing_id() + F.lit(after + 1))
+
+
 def append_bronze(new: DataFrame, path: str, load_id: str) -> int:
     """Append one load by source system and return its number of rows.
 
