@@ -12,6 +12,7 @@ from millwright.catalog import oracle as Q
 from millwright.catalog.registry import query
 from millwright.operators import merge as G
 from millwright.plans import medallion as M
+from millwright.session import materialise
 
 SILVER_NAMES = [n for _, n, _ in S.SILVER_NUMBERS]
 SILVER_SQL = ", ".join(f"{Q.dbl('s_' + n)} AS {n}" for n in SILVER_NAMES)
@@ -135,7 +136,7 @@ UNION ALL SELECT 'dim_defect', defect_id, max(coalesce({Q.txt('defect_type')}, '
 @query("dim_build", Q.sql(DIM_SQL, **STG))
 def _dims(t):
     """All seven dimensions as (dim, key, attributes) text rows."""
-    stg = M.staging(t.bronze())
+    stg = M.staging(materialise(t.bronze(), "bronze"))
     out = []
     for name, build in M.DIMENSIONS.items():
         df = build(stg)

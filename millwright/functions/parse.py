@@ -180,7 +180,7 @@ def active_flags(payload: str) -> Column:
         f"map_filter({payload}, (k, v) -> startswith(k, 'flag_') "
         f"AND coalesce(lower(btrim(v)) IN ({words(S.TRUE_WORDS)}), false))"
     )
-    names = f"transform(array_sort(map_keys({on})), k -> replace(k, 'flag_', ''))"
+    names = f"transform(sort_array(map_keys({on})), k -> replace(k, 'flag_', ''))"
     return F.expr(f"nullif(array_join({names}, ','), '')")
 
 

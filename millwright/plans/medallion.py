@@ -243,18 +243,20 @@ def fact_energy(stg: DataFrame) -> DataFrame:
 
 
 def alert_rows(events: DataFrame) -> DataFrame:
-    """Alerts of sensor events: any active flag, or a failure probability of at least 0.7."""
-    chance = _num("predicted_failure_probability")
-    return (
-        events.withColumns(
-            {"_flags": P.active_flags("payload"), "_high": F.expr(f"coalesce({chance}, 0) >= {S.HIGH_RISK}")}
-        )
-        .filter("_flags IS NOT NULL OR _high")
-        .selectExpr(
-            "bronze_event_id", "date_id", "machine_id", "'sensor_health' AS alert_type",
-            "CASE WHEN _high THEN 'critical' ELSE 'warning' END AS alert_severity",
-            "coalesce(_flags, 'predicted_failure_probability_high') AS alert_reason", "true AS is_active",
-        )
+    """Alerts of sensor events: any active flag, or a failure probability of at least 0.7.
+
+    The rule is a generator that yields one row or none. As a filter it would be pushed
+    below the projection and work out the flags of every event again.
+    """
+    judged = events.select(
+        "bronze_event_id", "date_id", "machine_id", P.active_flags("payload").alias("_flags"),
+        F.expr(f"coalesce({_num('predicted_failure_probability')}, 0) >= {S.HIGH_RISK} AS _high"),
+    )
+    alert = """array(named_struct('alert_type', 'sensor_health',
+        'alert_severity', CASE WHEN _high THEN 'critical' ELSE 'warning' END,
+        'alert_reason', coalesce(_flags, 'predicted_failure_probability_high'), 'is_active', true))"""
+    return judged.selectExpr(
+        "bronze_event_id", "date_id", "machine_id", f"inline(CASE WHEN _flags IS NOT NULL OR _high THEN {alert} END)"
     )
 
 
@@ -289,7 +291,7 @@ def upsert_fact(name: str, old: DataFrame, new: DataFrame) -> DataFrame:
 def build_gold(bronze: DataFrame, existing: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """All dimensions and facts, upserted over ``existing`` tables when given.
 
-    The staging rows feed twelve tables; the caller may materialise ``bronze`` first.
+    Twelve tables read ``bronze``, so it should be a stored table.
     """
     existing = existing or {}
     stg = staging(bronze)

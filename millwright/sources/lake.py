@@ -84,4 +84,10 @@ def append_bronze(new: DataFrame, path: str, load_id: str) -> int:
 
 
 def with_payload(raw: DataFrame, column: str = "payload_json") -> DataFrame:
-    return raw.withColumn("payload", payload_map(F.col(column))).drop(column)
+    """Parse JSON text into the payload map, once per row.
+
+    A filter on a parsed field would otherwise be pushed below the projection and parse
+    the text again; filters do not move below the column of a generator.
+    """
+    others = [c for c in raw.columns if c != column]
+    return raw.select(*others, F.explode(F.array(payload_map(F.col(column)))).alias("payload"))
