@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millwright.session import materialise
+
 
 def insert_if_absent(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """The rows of ``new`` whose key is not in ``old``, one per key.
@@ -45,6 +47,36 @@ def merge(
     return o.join(n, on, "full").select(*[pick(c).alias(c) for c in old.columns])
 
 
+def upsert_partitions(
+    path: str,
+    new: DataFrame,
+    partition: str,
+    keys: list[str],
+    update_columns: list[str],
+    keep_old_when_null: bool = False,
+) -> None:
+    """Upsert into a stored table, reading and rewriting only the partitions ``new`` touches.
+
+    A key must always fall into the same partition, as an event does with its date. The
+    partition values of the batch (at most one per partition of the table) become a
+    constant filter, so other partitions are not listed or read. The merged rows are
+    written aside first, because they replace the files they come from.
+    """
+    values = [r[0] for r in new.select(partition).distinct().collect()]
+    touched = F.col(partition).isin([v for v in values if v is not None])
+    if None in values:
+        touched = touched | F.col(partition).isNull()
+    affected = new.sparkSession.read.parquet(path).filter(touched)
+    merged = merge(affected.select(*new.columns), new, keys, update_columns, keep_old_when_null)
+    (
+        materialise(merged, "upsert")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition)
+        .parquet(path)
+    )
+
+
 def energy_per_good_piece(energy: DataFrame, production: DataFrame) -> DataFrame:
     """Energy rows with kWh per good piece of the same machine and day.
 

@@ -28,6 +28,30 @@ def test_merge_modes(spark):
     assert rows(G.merge(old, new, ["k"], []), "k") == [(1, "a", "x"), (2, "b", "y"), (3, "c", None)]
 
 
+def test_stored_upsert_rewrites_only_touched_days(spark):
+    path = scratch_path(spark, "fact")
+    first = spark.createDataFrame([(1, 10, "a", "x"), (2, 20, "b", "x"), (3, None, "c", "x")], "k int, day int, u string, v string")
+    sinks.write_tables({"t": first}, path, {"t": "day"})
+
+    def files():
+        kept = spark.read.parquet(f"{path}/t").filter("day = 20").select("_metadata.file_path")
+        return {r[0] for r in kept.collect()}
+
+    before = files()
+    new = spark.createDataFrame([(1, 10, "A", "y"), (4, 10, "d", "y"), (3, None, "C", "y")], first.schema)
+    for _ in range(2):
+        G.upsert_partitions(f"{path}/t", new, "day", ["k"], ["u"])
+    out = spark.read.parquet(f"{path}/t")
+    assert rows(out.select("k", "day", "u", "v"), "k") == [(1, 10, "A", "x"), (2, 20, "b", "x"), (3, None, "C", "x"), (4, 10, "d", "y")]
+    assert files() == before
+
+
+def test_event_ids_are_unique_and_above_the_last(spark):
+    df = lake.with_event_ids(spark.range(100).repartition(4), after=500)
+    ids = [r["bronze_event_id"] for r in df.collect()]
+    assert len(set(ids)) == 100 and min(ids) == 501
+
+
 def test_insert_if_absent_keeps_one_per_key(spark):
     old = spark.createDataFrame([(1,)], "k int")
     new = spark.createDataFrame([(1,), (2,), (2,), (3,)], "k int")

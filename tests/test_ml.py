@@ -134,6 +134,18 @@ def test_ridge_penalty_matches_the_closed_form(spark, blobs):
     np.testing.assert_allclose(model.coefficients.toArray(), want, rtol=1e-6)
 
 
+def test_logistic_penalty_is_stationary(spark, blobs):
+    """At the fit, the weighted log-loss gradient times C equals minus the coefficients."""
+    c = 0.5
+    model = R.logistic(blobs, c)
+    pdf = blobs.toPandas()
+    x, y = pdf[["a", "b", "c"]].to_numpy(), pdf["label"].to_numpy()
+    w = model.coefficients.toArray()
+    p = 1 / (1 + np.exp(-(x @ w + model.intercept)))
+    weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
+    np.testing.assert_allclose(c * (weight * (p - y)) @ x, -w, atol=1e-2)
+
+
 def test_rul_scores_are_clamped_and_null_safe(spark, blobs):
     df = blobs.withColumn("label", F.col("rul") - 100)
     out = C.score_rul(R.ridge(df, 0.0), df.withColumn("machine_id", F.when(F.col("id") > 0, F.col("machine_id"))), ["machine_id"])
