@@ -136,7 +136,7 @@ UNION ALL SELECT 'dim_defect', defect_id, max(coalesce({Q.txt('defect_type')}, '
 @query("dim_build", Q.sql(DIM_SQL, **STG))
 def _dims(t):
     """All seven dimensions as (dim, key, attributes) text rows."""
-    stg = M.staging(materialise(t.bronze(), "bronze"))
+    stg = materialise(M.staging(t.bronze()).drop("payload"), "staging")
     out = []
     for name, build in M.DIMENSIONS.items():
         df = build(stg)

@@ -9,6 +9,7 @@ from millwright import schemas as S
 from millwright.functions import parse as P
 from millwright.functions.rules import within_sql
 from millwright.operators.merge import energy_per_good_piece, merge
+from millwright.session import materialise
 
 
 # ---------------------------------------------------------------- silver
@@ -75,7 +76,12 @@ def filter_sources(bronze: DataFrame, systems: list[str] = S.SOURCE_SYSTEMS) ->
 
 
 def staging(bronze: DataFrame, business_only: bool = False) -> DataFrame:
-    """Every dimension key of an event, derived from its payload."""
+    """Every dimension key and attribute of an event, derived from its payload.
+
+    Columns a consumer does not use are never computed. Where several dimensions are built,
+    store the result without ``payload``: it is narrow and each of them reads its columns.
+    """
+    year = f"coalesce({P.int_sql(_raw('Installation_Year'))}, {P.int_sql(_raw('installation_year'))})"
     defect = (_raw("defect_type"), _raw("defect_category"), _raw("defect_severity"))
     kind, category, severity = P.defect_parts_sql(*defect)
     keyed = filter_sources(bronze).selectExpr(
@@ -93,6 +99,13 @@ def staging(bronze: DataFrame, business_only: bool = False) -> DataFrame:
         f"{kind} AS defect_type",
         f"{category} AS defect_category",
         f"{severity} AS defect_severity",
+        f"{_text('factory_name')} AS plant_name",
+        f"{_text('country')} AS country",
+        f"{_text('production_line_name')} AS line_name",
+        f"{_text('part_name')} AS product_name",
+        f"{_text('product_family')} AS product_family",
+        f"{_text('machine_type')} AS machine_type",
+        f"{year} AS installation_year",
     )
     if business_only:
         keyed = keyed.filter("is_biz")
@@ -123,13 +136,11 @@ def dim_date(stg: DataFrame) -> DataFrame:
 
 
 def dim_plant(stg: DataFrame) -> DataFrame:
-    return _one_per_key(stg, "plant_id", "plant_id", plant_name=_text("factory_name"), country=_text("country"))
+    return _one_per_key(stg, "plant_id", "plant_id", plant_name="plant_name", country="country")
 
 
 def dim_line(stg: DataFrame) -> DataFrame:
-    return _one_per_key(
-        stg, "production_line_id", "line_id", plant_id="plant_id", line_name=_text("production_line_name")
-    )
+    return _one_per_key(stg, "production_line_id", "line_id", plant_id="plant_id", line_name="line_name")
 
 
 def dim_shift(stg: DataFrame) -> DataFrame:
@@ -140,15 +151,14 @@ def dim_shift(stg: DataFrame) -> DataFrame:
 
 def dim_product(stg: DataFrame) -> DataFrame:
     return _one_per_key(
-        stg, "product_id", "product_id", product_name=_text("part_name"), product_family=_text("product_family")
+        stg, "product_id", "product_id", product_name="product_name", product_family="product_family"
     )
 
 
 def dim_machine(stg: DataFrame) -> DataFrame:
-    year = f"coalesce({P.int_sql(_raw('Installation_Year'))}, {P.int_sql(_raw('installation_year'))})"
     return _one_per_key(
         stg, "machine_id", "machine_id",
-        production_line_id="line_id", machine_type=_text("machine_type"), installation_year=year,
+        production_line_id="line_id", machine_type="machine_type", installation_year="installation_year",
     )
 
 
@@ -291,13 +301,15 @@ def upsert_fact(name: str, old: DataFrame, new: DataFrame) -> DataFrame:
 def build_gold(bronze: DataFrame, existing: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """All dimensions and facts, upserted over ``existing`` tables when given.
 
-    Twelve tables read ``bronze``, so it should be a stored table.
+    The keys of all seven dimensions are derived once and stored; the facts read ``bronze``,
+    which should be a stored table too.
     """
     existing = existing or {}
     stg = staging(bronze)
+    keys = materialise(stg.drop("payload"), "staging")
     gold = {}
     for name, build in DIMENSIONS.items():
-        new = build(stg)
+        new = build(keys)
         gold[name] = upsert_dimension(name, existing[name], new) if name in existing else new
     for name, build in FACTS.items():
         new = build(stg)
