@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millwright.functions import status as D
+from millwright.session import materialise
 
 ALERT_LIMIT = 8
 SERIES_DAYS = 14
@@ -98,7 +99,8 @@ def site_rates(production: DataFrame) -> DataFrame:
 def energy_by_site(energy: DataFrame, production: DataFrame) -> DataFrame:
     """Mean consumption per site; above the mean of the site means is a warning.
 
-    A machine seen in two plants counts in both.
+    A machine seen in two plants counts in both. The one row per site is stored, because
+    both the comparison and the report read it.
     """
     per_machine = energy.groupBy("machine_id").agg(
         F.sum("energy_consumption_kwh").alias("_sum"), F.count("energy_consumption_kwh").alias("_n")
@@ -108,6 +110,7 @@ def energy_by_site(energy: DataFrame, production: DataFrame) -> DataFrame:
         .groupBy("plant_id")
         .agg(pooled_mean().alias("kwh"))
     )
+    per_site = materialise(per_site, "site-energy")
     overall = F.coalesce(per_site.agg(F.avg("kwh")).scalar(), F.lit(0.0))
     sites = production.select("plant_id").distinct()
     return _same(sites, per_site, "plant_id").select(
@@ -122,6 +125,7 @@ def alerts_by_site(alerts: DataFrame, production: DataFrame) -> DataFrame:
     per_site = (
         per_machine.join(machine_plants(production), "machine_id").groupBy("plant_id").agg(F.sum("_n").alias("_n"))
     )
+    per_site = materialise(per_site, "site-alerts")
     top = F.greatest(F.coalesce(per_site.agg(F.max("_n")).scalar(), F.lit(1)), F.lit(1))
     n = F.coalesce("_n", F.lit(0))
     return _same(production.select("plant_id").distinct(), per_site, "plant_id").select(
@@ -324,6 +328,8 @@ def offline_indicators(kpis: DataFrame, active: DataFrame, machines: DataFrame)
 
 def risk_machines(stats: DataFrame, predictions: DataFrame | None = None, limit: int = RISK_LIMIT) -> DataFrame:
     """Riskiest machines: by predicted score and RUL, or by incidents when no model answered."""
+    if predictions is None:
+        stats = materialise(stats, "machine-stats")
     base = stats.withColumn("last_intervention", F.coalesce(F.nullif(D.date_label("last_maint"), F.lit("")), F.lit("—")))
     if predictions is None:
         top = F.greatest(F.coalesce(stats.agg(F.max("incidents")).scalar(), F.lit(1)), F.lit(1))
