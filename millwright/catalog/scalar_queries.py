@@ -208,57 +208,69 @@ def _source_system(t):
 
 
 # ------------------------------------------------------------------ status and labels
-def over_events(name, sql, given=None, **exprs):
+def over_events(name, sql, build):
+    """``build`` makes the columns when the query runs: ``given`` inputs and results by name."""
     columns = ", ".join(f"{v} AS {n}" for n, v in sql.items())
 
     @query(name, Q.sql(f"SELECT event_id, {columns} FROM ev"))
     def run(t):
+        exprs = build()
+        given = exprs.pop("given", None)
         inputs = t.events().withColumns(given) if given else t.events()
         return inputs.select("event_id", *[e.alias(n) for n, e in exprs.items()])
 
 
 PCT = "CASE WHEN k < 90 THEN CAST(value AS DOUBLE) / 4 END"
-pct = F.when(F.col("k") < 90, F.col("value") / 4)
-over_events("status_trs", {"status": Q.status_trs(f"({PCT})")}, given={"p": pct}, status=D.status_trs("p"))
-over_events("status_reach", {"status": Q.status_reach(f"({PCT})")}, given={"p": pct}, status=D.status_reach("p"))
-over_events("status_scrap", {"status": Q.status_scrap(f"({PCT})")}, given={"p": pct}, status=D.status_scrap("p"))
-over_events("status_rul", {"status": Q.status_rul(f"({PCT})")}, given={"p": pct}, status=D.status_rul("p"))
+def pct():
+    return F.when(F.col("k") < 90, F.col("value") / 4)
+
+
+over_events("status_trs", {"status": Q.status_trs(f"({PCT})")}, lambda: dict(given={"p": pct()}, status=D.status_trs("p")))
+over_events("status_reach", {"status": Q.status_reach(f"({PCT})")}, lambda: dict(given={"p": pct()}, status=D.status_reach("p")))
+over_events("status_scrap", {"status": Q.status_scrap(f"({PCT})")}, lambda: dict(given={"p": pct()}, status=D.status_scrap("p")))
+over_events("status_rul", {"status": Q.status_rul(f"({PCT})")}, lambda: dict(given={"p": pct()}, status=D.status_rul("p")))
 over_events(
     "status_risk",
     {"status": f"CASE WHEN ({PCT}) >= 75 THEN 'crit' WHEN ({PCT}) >= 50 THEN 'warn' ELSE 'good' END"},
-    given={"p": pct}, status=D.status_risk("p"),
+    lambda: dict(given={"p": pct()}, status=D.status_risk("p")),
 )
 SEV = "CASE WHEN k < 20 THEN 'CRITICAL' WHEN k < 40 THEN 'High' WHEN k < 60 THEN 'warning' WHEN k < 80 THEN event_type END"
-sev = F.when(F.col("k") < 20, "CRITICAL").when(F.col("k") < 40, "High").when(F.col("k") < 60, "warning").when(F.col("k") < 80, F.col("event_type"))
-over_events("severity_map", {"severity": Q.severity(f"({SEV})")}, given={"s": sev}, severity=D.severity_label("s"))
+def sev():
+    return F.when(F.col("k") < 20, "CRITICAL").when(F.col("k") < 40, "High").when(F.col("k") < 60, "warning").when(F.col("k") < 80, F.col("event_type"))
+
+
+over_events("severity_map", {"severity": Q.severity(f"({SEV})")}, lambda: dict(given={"s": sev()}, severity=D.severity_label("s")))
 over_events(
     "risk_score",
     {"score": Q.risk("CASE WHEN k < 95 THEN k / 100.0::DOUBLE END", "(CASE WHEN k > 20 THEN value END)")},
-    given={"p": F.when(F.col("k") < 95, F.col("k") / 100.0), "r": F.when(F.col("k") > 20, F.col("value"))},
-    score=D.risk_score("p", "r"),
+    lambda: dict(given={"p": F.when(F.col("k") < 95, F.col("k") / 100.0), "r": F.when(F.col("k") > 20, F.col("value"))},
+    score=D.risk_score("p", "r")),
 )
 over_events(
     "null_round",
     {"one": Q.half_even("value / 7"), "two": Q.half_even("value", 2), "quarter": Q.half_even("(CASE WHEN k > 5 THEN k / 4.0::DOUBLE END)")},
-    given={"quarters": F.when(F.col("k") > 5, F.col("k") / 4.0)},
-    one=D.half_even("value / 7"), two=D.half_even("value", 2), quarter=D.half_even("quarters"),
+    lambda: dict(given={"quarters": F.when(F.col("k") > 5, F.col("k") / 4.0)},
+    one=D.half_even("value / 7"), two=D.half_even("value", 2), quarter=D.half_even("quarters")),
 )
 DID = "(CASE WHEN k < 90 THEN CAST(strftime(ts, '%Y%m%d') AS INTEGER) WHEN k < 95 THEN 123 END)"
-did = F.when(F.col("k") < 90, P.date_key("ts")).when(F.col("k") < 95, 123)
+def did():
+    return F.when(F.col("k") < 90, P.date_key("ts")).when(F.col("k") < 95, 123)
+
+
 over_events(
     "fmt_date", {"day": Q.day_label(DID), "full_date": Q.date_label(DID)},
-    given={"d": did}, day=D.day_label("d"), full_date=D.date_label("d"),
+    lambda: dict(given={"d": did()}, day=D.day_label("d"), full_date=D.date_label("d")),
 )
 KIND = "(CASE WHEN k < 50 THEN 'sensor_HEALTH_' || event_type WHEN k < 75 THEN '' END)"
 over_events(
     "alert_title", {"title": Q.title(KIND)},
-    given={"t": F.when(F.col("k") < 50, F.concat(F.lit("sensor_HEALTH_"), "event_type")).when(F.col("k") < 75, "")},
-    title=D.alert_title("t"),
+    lambda: dict(given={"t": F.when(F.col("k") < 50, F.concat(F.lit("sensor_HEALTH_"), "event_type")).when(F.col("k") < 75, "")},
+    title=D.alert_title("t")),
 )
-over_events("state_threshold", {"state": "CASE WHEN k / 100.0 >= 0.5 THEN 'at_risk' ELSE 'normal' END"}, state=D.state_of("k / 100"))
+over_events("state_threshold", {"state": "CASE WHEN k / 100.0 >= 0.5 THEN 'at_risk' ELSE 'normal' END"}, lambda: dict(state=D.state_of("k / 100")))
 over_events(
     "rul_clamp", {"rul": "CASE WHEN k < 90 THEN greatest(CAST(value - 50 AS DOUBLE), 0.0::DOUBLE) END"},
-    given={"r": F.when(F.col("k") < 90, F.col("value") - 50)}, rul=D.clamp_rul("r"),
+    lambda: dict(given={"r": F.when(F.col("k") < 90, F.col("value") - 50)}, rul=D.clamp_rul("r")),
 )
 
 
@@ -399,7 +411,7 @@ BANDS = "CASE WHEN {r} > {lo} AND {r} <= 7 THEN 'urgent' WHEN {r} > 7 AND {r} <=
 over_events(
     "maintenance_priority",
     {"priority": BANDS.format(r="(k * 4 - 4)", lo=-1), "experiment": BANDS.format(r="(k * 4 - 4)", lo=0)},
-    priority=H.maintenance_priority(F.col("k") * 4 - 4), experiment=H.maintenance_priority(F.col("k") * 4 - 4, 0),
+    lambda: dict(priority=H.maintenance_priority(F.col("k") * 4 - 4), experiment=H.maintenance_priority(F.col("k") * 4 - 4, 0)),
 )
 over_events(
     "maintenance_date",
@@ -407,7 +419,7 @@ over_events(
         "due": Q.ts_text("ts + to_days(CAST(ceil(value) AS INTEGER))"),
         "degradation_pct": Q.half_up("greatest(0, least(36500, 36500 - CAST(round(value * 100) AS BIGINT))) * 100", "36500", 1),
     },
-    due=H.maintenance_due(F.col("ts"), F.col("value")), degradation_pct=H.degradation_from_rul(F.col("value")),
+    lambda: dict(due=H.maintenance_due(F.col("ts"), F.col("value")), degradation_pct=H.degradation_from_rul(F.col("value"))),
 )
 
 CONF = "coalesce(l_quantity BETWEEN 10 AND 40, FALSE)"
@@ -495,7 +507,7 @@ def _identity(t):
 
 over_events(
     "speed_fallback", {"speed": "coalesce(CASE WHEN k > 50 THEN value END, value / nullif(CAST(k AS DOUBLE), 0))"},
-    speed=R.speed_fallback(F.when(F.col("k") > 50, F.col("value")), F.col("value"), F.col("k")),
+    lambda: dict(speed=R.speed_fallback(F.when(F.col("k") > 50, F.col("value")), F.col("value"), F.col("k"))),
 )
 
 

@@ -1,6 +1,8 @@
 """The driver contract, and a sample of registered queries beside their SQL."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -24,6 +26,12 @@ def test_contract():
     assert set(SAMPLE) <= set(oracles)
 
 
+def test_registry_loads_without_a_session():
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
+
+
 @needs_data
 def test_entry_runs(spark):
     import __spark_entry__ as entry
