@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 
-from millwright.llm import near_dups, substrings
+from pyspark.sql import functions as F
+
+from millwright.llm import mixing, near_dups, packing, secrets, substrings
 
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -20,10 +22,35 @@ def op5_minhash_near_dedup(spark, folder):
     return near_dups.near_duplicates(table(spark, folder, "documents"), words=3, percent=85)
 
 
+def op2_source_mixing(spark, folder):
+    return mixing.mix_sources(table(spark, folder, "documents")).drop("source")
+
+
+def _of(kinds):
+    return F.filter("spans", lambda s: s["kind"].isin(kinds))
+
+
+def _spelled(rows):
+    return F.array_join(F.transform(rows, lambda s: F.concat_ws(":", s["kind"], s["low"], s["high"])), ",")
+
+
+def op7_secret_scan(spark, folder):
+    found = secrets.scan(table(spark, folder, "documents"))
+    base = [r[0] for r in secrets.BASE_RULES]
+    counts = [F.size(_of([k])).cast("long").alias(f"n_{k}") for k in base]
+    return found.select("doc_id", *counts, F.sha2(_spelled(_of(base)), 256).alias("base_sha256"), _spelled(F.col("spans")).alias("spans"))
+
+
+def op8_best_fit_packing(spark, folder):
+    import public_tokenizers
+
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_substring_dedup(spark, folder):
     return substrings.drop_repeats(table(spark, folder, "documents")).drop("kept_text")
 
 
-QUERIES = {f.__name__: f for f in (op5_minhash_near_dedup, op9_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op2_source_mixing, op5_minhash_near_dedup, op7_secret_scan, op8_best_fit_packing, op9_substring_dedup)}
 
 ORACLES: dict[str, str] = {}
