@@ -108,7 +108,8 @@ def schedule(goals: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def mix_sources(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", block: int = BLOCK, passes: int = PASSES
+    docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", block: int = BLOCK, passes: int = PASSES,
+    keep: bool = False,
 ) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken.
 
@@ -117,6 +118,10 @@ def mix_sources(
     texts have size 0 and give nothing; a null source is one source, the last. Repeated rows
     and null ids are documents of their own. Other columns are not read. Rows that agree in
     id, source and text hash may swap their ``taken``; nothing else depends on the run.
+
+    With ``keep`` the result is ``docs`` with size and taken instead (columns of these names
+    are replaced); rows are matched by id, source and text hash, and rows that agree in all
+    three take equal shares.
     """
     sized = docs.select(
         F.col(id).cast("long").alias("doc_id"), F.col(source).alias("source"), words_in(F.col(text)).alias("size"),
@@ -140,6 +145,11 @@ def mix_sources(
     inside = F.least(F.col("begin") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(F.col("begin"), F.col("block") * block)
     taken = parts.groupBy("key").agg(F.sum(inside * F.col("times")).alias("taken"))
     out = stream.join(taken, "key", "left").join(goals.withColumnRenamed("source", "of").drop("weight"), _same("of"))
-    return out.select(
-        "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
-    )
+    out = out.withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
+    if not keep:
+        return out.select("doc_id", "source", "size", "source_size", "target", "taken")
+    shares = out.groupBy("doc_id", "source", "row").agg(F.first("size").alias("size"), F.avg("taken").alias("taken"))
+    shares = shares.withColumnsRenamed({"doc_id": "_id", "source": "_source", "row": "_row"})
+    rows = docs.drop("size", "taken").withColumn("_text_hash", F.xxhash64(F.col(text)))
+    on = F.col(id).cast("long").eqNullSafe(F.col("_id")) & F.col(source).eqNullSafe(F.col("_source")) & (F.col("_text_hash") == F.col("_row"))
+    return rows.join(shares, on).drop("_id", "_source", "_row", "_text_hash")

@@ -6,22 +6,36 @@ import os
 
 from pyspark.sql import functions as F
 
-from millwright.llm import mixing, near_dups, packing, secrets, substrings
+import corpus_pipeline
+from millwright.llm import language, lattice, mixing, near_dups, packing, search, secrets, substrings, toxicity, urls
 
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def table(spark, folder: str, name: str):
-    """A table of the folder. Python workers find this package where the driver found it, unless told otherwise."""
-    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_lattice_near_dedup(spark, folder):
+    return lattice.near_vectors(table(spark, folder, "embeddings"))
+
+
+def op4_url_filter(spark, folder):
+    return urls.filter_urls(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op5_minhash_near_dedup(spark, folder):
     return near_dups.near_duplicates(table(spark, folder, "documents"), words=3, percent=85)
 
 
+def op1_bm25_search(spark, folder):
+    """Every document whose id is divisible by 50 is a query with its whole text."""
+    docs = table(spark, folder, "documents")
+    queries = docs.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), F.col("text").alias("query"))
+    return search.top_k(docs, queries)
+
+
 def op2_source_mixing(spark, folder):
     return mixing.mix_sources(table(spark, folder, "documents")).drop("source")
 
@@ -34,6 +48,11 @@ def _spelled(rows):
     return F.array_join(F.transform(rows, lambda s: F.concat_ws(":", s["kind"], s["low"], s["high"])), ",")
 
 
+def op6_language_id(spark, folder):
+    found = language.learn_and_identify(table(spark, folder, "documents").select("doc_id", "text", "lang"))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op7_secret_scan(spark, folder):
     found = secrets.scan(table(spark, folder, "documents"))
     base = [r[0] for r in secrets.BASE_RULES]
@@ -51,6 +70,31 @@ def op9_substring_dedup(spark, folder):
     return substrings.drop_repeats(table(spark, folder, "documents")).drop("kept_text")
 
 
-QUERIES = {f.__name__: f for f in (op2_source_mixing, op5_minhash_near_dedup, op7_secret_scan, op8_best_fit_packing, op9_substring_dedup)}
+def op10_toxicity(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = toxicity.learn_and_score(docs, table(spark, folder, "labels"))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def pipeline(spark, folder):
+    return corpus_pipeline.run(spark, folder)
+
+
+def _query(fn):
+    def run(spark, folder):
+        # Python workers find this package where the driver found it, unless told otherwise.
+        spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+        return fn(spark, folder)
+
+    return run
+
+
+QUERIES = {
+    f.__name__: _query(f)
+    for f in (
+        op1_bm25_search, op2_source_mixing, op3_lattice_near_dedup, op4_url_filter, op5_minhash_near_dedup,
+        op6_language_id, op7_secret_scan, op8_best_fit_packing, op9_substring_dedup, op10_toxicity, pipeline,
+    )
+}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
