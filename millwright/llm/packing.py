@@ -9,11 +9,13 @@ length and read their place from that list.
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
+from functools import cache, partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,7 @@ from millwright.session import materialise
 CAPACITY = 4096
 END = 1
 BUCKETS = 1024
-CACHE = 200_000
+CACHE = 1_000_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -35,40 +37,65 @@ class WordTokenizer:
     """Ids of whole texts, from the ids of their words between white space.
 
     The tokenizer's pattern never joins characters across ASCII white space and drops that
-    space, so a text's ids are those of its words in order; each distinct word of a batch is
-    encoded once, and frequent words are remembered between batches.
+    space, so a text's ids are those of its words in order. Each distinct word is encoded
+    once; a worker process remembers up to ``CACHE`` words between its tasks. Words are told
+    apart by 64-bit hashes.
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[int, np.ndarray] = {}
+        self.forget()
+
+    def forget(self):
+        self.words = np.zeros(0, dtype=np.uint64)
+        self.begin, self.size = np.zeros((2, 0), dtype=np.int64)
+        self.ids, self.filled = np.zeros(1 << 20, dtype=np.uint32), 0
+
+    def _add(self, words: np.ndarray, texts: list[str]):
+        """Remember new words (ascending hashes)."""
+        codes = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.fromiter(map(len, codes), dtype=np.int64, count=len(codes))
+        total = int(size.sum())
+        if self.filled + total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(len(self.ids) + total, dtype=np.uint32)])
+        self.ids[self.filled : self.filled + total] = np.fromiter(chain.from_iterable(codes), dtype=np.uint32, count=total)
+        at = np.searchsorted(self.words, words)
+        self.begin = np.insert(self.begin, at, self.filled + np.cumsum(size) - size)
+        self.size = np.insert(self.size, at, size)
+        self.words = np.insert(self.words, at, words)
+        self.filled += total
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, offsets of the rows in them)."""
         w = words_of(column)
         distinct, first, inverse = np.unique(w.hash, return_index=True, return_inverse=True)
-        if len(self.known) > CACHE:
-            self.known = {}
-        missing = [(int(h), i) for h, i in zip(distinct, first) if int(h) not in self.known]
-        raw = w.data.tobytes()
-        texts = [raw[w.start[i] : w.end[i]].decode() for _, i in missing]
-        for (h, _), code in zip(missing, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
-            self.known[h] = np.array(code.ids, dtype=np.uint32)
-        lists = [self.known[int(h)] for h in distinct]
-        sizes = np.array([len(x) for x in lists], dtype=np.int64)
-        flat = np.concatenate([*lists, np.zeros(0, np.uint32)])
-        begins = np.cumsum(sizes) - sizes
-        counts = sizes[inverse]
+        if len(self.words) > CACHE:
+            self.forget()
+        at = np.searchsorted(self.words, distinct)
+        known = at < len(self.words)
+        known[known] = self.words[at[known]] == distinct[known]
+        if not known.all():
+            raw = w.data.tobytes()
+            at = first[~known]
+            self._add(distinct[~known], [raw[a:b].decode() for a, b in zip(w.start[at].tolist(), w.end[at].tolist())])
+        at = np.searchsorted(self.words, distinct)
+        counts = self.size[at][inverse]
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.repeat(begins[inverse] - (ends - counts), counts) + np.arange(total)]
+        ids = self.ids[np.repeat(self.begin[at][inverse] - (ends - counts), counts) + np.arange(total)]
         return ids, np.append(0, ends)[w.first]
 
 
+@cache
+def tokenizer_at(path: str) -> WordTokenizer:
+    return WordTokenizer(path)
+
+
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end: int) -> Iterator[pa.RecordBatch]:
-    tokenizer = WordTokenizer(path)
+    tokenizer = tokenizer_at(path)
     kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
     for batch in sliced(batches, "text"):
