@@ -31,7 +31,8 @@ from millwright.llm.text import Prefix, mix, sliced, words_of
 from millwright.session import materialise
 
 GRAM = 8
-HOT = 1000
+#: Super-k-mers that one bucket sorts at most, about 150 MB of windows.
+HOT = 20_000
 SECOND = np.uint64(0xA0761D6478BD642F)
 #: A document's key: its id (the text hash where it has none) and its text hash.
 KEY = ["doc_id", "h"]
