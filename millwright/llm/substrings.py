@@ -173,6 +173,8 @@ def repeated_spans(docs: DataFrame, window: int = 35, gram: int = GRAM, hot: int
     )
     places = materialise(places, "places")
     often = places.groupBy("mini").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Stored, so that both sides of the join are plain shuffles and a hot minimiser's can be cut.
+    often = materialise(often, "often")
     hits = places.join(often, "mini").select(*KEY, F.struct("mini", "start", "windows", (F.col("n") > hot).alias("hot")).alias("place"))
     hits = hits.groupBy(*KEY).agg(F.collect_list("place").alias("places"))
     cut = docs.join(hits, KEY).select(*KEY, "text", "places").mapInArrow(partial(_cut, window=window), PACKED)
