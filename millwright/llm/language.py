@@ -25,6 +25,8 @@ SWITCH = 10.0
 #: A language uses a script that holds at least this share of its letters.
 SCRIPT_SHARE = 0.01
 UNKNOWN = "und"
+#: Bytes of text whose chains are run together.
+CHAIN_BYTES = 1 << 20
 
 # ---- fixed values: first and last code point of the blocks of each script
 SCRIPT_RANGES = {
@@ -118,7 +120,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, bucket, n) of a task; buckets below 0 count the letters of a script."""
     size = 1 << BUCKET_BITS
     counts: dict[str, np.ndarray] = {}
-    for batch in sliced(batches, "text"):
+    for batch in sliced(batches, "text", CHAIN_BYTES):
         w = letters_of(batch["text"].to_pylist())
         if not len(w.row):
             continue
@@ -195,7 +197,7 @@ SPAN = pa.struct([("low", pa.int32()), ("high", pa.int32()), ("lang", pa.string(
 
 
 def _label(batches: Iterator[pa.RecordBatch], model: Model, switch: float, kept: list[str]) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches, "_text"):
+    for batch in sliced(batches, "_text", CHAIN_BYTES):
         n, many = batch.num_rows, len(model.languages)
         w = letters_of(batch["_text"].to_pylist())
         share = np.zeros((n, max(many, 1)))

@@ -74,13 +74,14 @@ def _stream(sized: DataFrame) -> DataFrame:
 def schedule(goals: DataFrame, block: int = BLOCK) -> DataFrame:
     """(slot, source, rank): the mixture's slots and the rank of each among its source's.
 
-    ``goals`` has source and target; targets of 0 get no slot. The number of slots is the sum
-    of the targets over ``block``.
+    ``goals`` has source, source_size and target; targets of 0 get no slot. The number of
+    slots is the sum of all sizes, which the targets share, over ``block``.
     """
     spark = goals.sparkSession
     unit = 1 << UNIT_BITS
-    total = F.sum("target").over(Window.partitionBy(F.lit(0)))
-    share = F.round(F.col("target") / total * unit).cast("long")
+    words = goals.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
+    slots = -(-words // block)
+    share = F.round(F.col("target") / F.lit(float(max(words, 1))) * F.lit(float(unit))).cast("long")
     bounds = goals.where("target > 0").withColumn("share", share)
     upto = Window.orderBy(F.asc_nulls_last("source")).rowsBetween(Window.unboundedPreceding, 0)
     last = F.col("source").eqNullSafe(F.last("source").over(Window.partitionBy(F.lit(0)).orderBy(F.asc_nulls_last("source")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
@@ -90,8 +91,6 @@ def schedule(goals: DataFrame, block: int = BLOCK) -> DataFrame:
     cells = F.sequence(F.shiftright("low", shift), F.shiftright(F.col("high") - 1, shift))
     bounds = bounds.where("low < high").select("source", "low", "high", F.explode(cells).alias("cell"))
 
-    words = goals.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0]
-    slots = -(-int(words) // block)
     points = spark.range(slots).select(
         F.col("id").alias("slot"), F.conv(F.rpad(F.reverse(F.bin("id")), UNIT_BITS, "0"), 2, 10).cast("long").alias("point")
     )

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millwright.llm import language, lattice, mixing, near_dups, packing, search, secrets, substrings, toxicity, urls
+from millwright.llm import language, lattice, mixing, near_dups, oracle, packing, search, secrets, substrings, toxicity, urls
 
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -33,7 +33,7 @@ def op1_bm25_search(spark, folder):
     """Every document whose id is divisible by 50 is a query with its whole text."""
     docs = table(spark, folder, "documents")
     queries = docs.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), F.col("text").alias("query"))
-    return search.top_k(docs, queries)
+    return search.top_k(docs, queries).withColumn("score", F.round("score", 6))
 
 
 def op2_source_mixing(spark, folder):
@@ -97,4 +97,6 @@ QUERIES = {
     )
 }
 
-ORACLES: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+ORACLES = dict(oracle.ORACLES)
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes worked on at once; a longer text is worked on alone.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.language import held_out
+from millwright.llm.language import CHAIN_BYTES, held_out
 from millwright.llm.text import FOLDED_VALUES, Prefix, buffers, mix, runs, sliced
 
 #: Labelled rows that the model is fitted on at most, per class: the first by a hash of the id.
@@ -252,7 +252,7 @@ SPAN = pa.struct([("low", pa.int32()), ("high", pa.int32()), ("chance", pa.float
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model | None, kept: list[str]) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches, "_text"):
+    for batch in sliced(batches, "_text", CHAIN_BYTES):
         n = batch.num_rows
         score, spans = np.zeros(n), [[] for _ in range(n)]
         if model is not None:
