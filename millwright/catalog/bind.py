@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from millwright import schemas as S
 from millwright.functions.parse import event_key_sql
 from millwright.plans import medallion as M
-from millwright.session import small_side, spread, tune
+from millwright.session import tune
 from millwright.sources.lake import with_payload
 
 TS = "yyyy-MM-dd HH:mm:ss"
@@ -51,7 +51,7 @@ class Tables:
 
     # ------------------------------------------------------------ readings
     def events(self) -> DataFrame:
-        return spread(self.read("events"), "event_id").withColumn("k", F.expr(K))
+        return self.read("events").withColumn("k", F.expr(K))
 
     READING = {
         "timestamp": "CASE WHEN k < 1 THEN '' ELSE date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\") END",
@@ -146,8 +146,8 @@ class Tables:
     }
 
     def bronze_mes(self) -> DataFrame:
-        lines = spread(self.read("lineitem"), "l_orderkey").join(
-            small_side(self.machines().select("s_suppkey", "n_nationkey", "n_regionkey")),
+        lines = self.read("lineitem").join(
+            self.machines().select("s_suppkey", "n_nationkey", "n_regionkey"),
             F.col("l_suppkey") == F.col("s_suppkey"),
             "left",
         )
@@ -182,11 +182,11 @@ class Tables:
     }
 
     def bronze_energy(self) -> DataFrame:
-        orders = spread(self.read("orders"), "o_orderkey").filter("o_orderstatus <> 'P'")
+        orders = self.read("orders").filter("o_orderstatus <> 'P'")
         return self._bronze(orders, "o_orderkey", "energie_business.csv", "energie", self.ENERGY)
 
     def bronze_maintenance(self) -> DataFrame:
-        orders = spread(self.read("orders"), "o_orderkey").filter("o_orderstatus = 'P'")
+        orders = self.read("orders").filter("o_orderstatus = 'P'")
         return self._bronze(orders, "o_orderkey", "gmao_business.csv", "gmao", self.MAINTENANCE)
 
     # ------------------------------------------------------------ reference rows

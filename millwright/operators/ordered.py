@@ -5,21 +5,24 @@ task. Here the order column is cut at quantiles into chunks of bounded size, and
 group is spread over its chunks. Each operator then works in two steps: a small summary
 row per (group, chunk) is built by a partial aggregate and combined across chunks, and
 the rows are finished by a window inside their own chunk. The rows are shuffled once;
-only the summaries cross chunks. A table that fits in one chunk skips the summaries.
+only the summaries cross chunks. Tables of any size take this path; ``rows``, the rows of a
+chunk, is a parameter of every operator.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Rows of a chunk unless told otherwise: what one task sorts at ease.
 CHUNK_ROWS = 2_000_000
-MAX_CHUNKS = 20_000
 CHUNK = "_chunk"
 SUB = "_sub"
 
@@ -31,11 +34,6 @@ class Chunked:
     df: DataFrame
     order: str
     tie: str | None
-    single: bool
-
-    @property
-    def cuts(self) -> list[str]:
-        return [] if self.single else [CHUNK, SUB]
 
     @property
     def at(self) -> Column:
@@ -46,11 +44,11 @@ class Chunked:
         return F.struct(*parts)
 
     def keys(self, group: list[str]) -> list[str]:
-        return [*group, *self.cuts]
+        return [*group, CHUNK, SUB]
 
     def inside(self, group: list[str]):
         """Rows of one group and chunk."""
-        return Window.partitionBy(*(self.keys(group) or [F.lit(0)]))
+        return Window.partitionBy(*self.keys(group))
 
     def forward(self, group: list[str]):
         tie = [F.asc(self.tie)] if self.tie else []
@@ -81,7 +79,7 @@ def _number(df: DataFrame, column: str) -> Column:
 
 def _split_points(df: DataFrame, column: str, chunks: int) -> list[float]:
     steps = [i / chunks for i in range(1, chunks)]
-    return df.approxQuantile(column, steps, 1 / (2 * chunks))
+    return df.approxQuantile(column, steps, 1 / (2 * chunks)) if steps else []
 
 
 def _bucketed(df: DataFrame, source: str, target: str, points: list[float]) -> DataFrame:
@@ -99,11 +97,7 @@ def chunked(df: DataFrame, order: str, tie: str | None = None, rows: int | None
     One value of ``order`` may hold a large share of the rows. Such a value (and null)
     gets a chunk of its own, which is cut again along ``tie``.
     """
-    rows = rows or CHUNK_ROWS
-    total = df.count()
-    if total <= rows:
-        return Chunked(df, order, tie, single=True)
-    chunks = min(math.ceil(total / rows), MAX_CHUNKS)
+    chunks = max(1, math.ceil(df.select(order).count() / (rows or CHUNK_ROWS)))
     df = df.withColumn("_x", _number(df, order))
     points = _split_points(df.select("_x"), "_x", chunks)
     repeated = {p for p, q in zip(points, points[1:]) if p == q}
@@ -122,11 +116,11 @@ def chunked(df: DataFrame, order: str, tie: str | None = None, rows: int | None
         df = df.drop("_t")
     else:
         df = df.withColumn(SUB, F.lit(0.0))
-    return Chunked(df.drop("_x"), order, tie, single=False)
+    return Chunked(df.drop("_x"), order, tie)
 
 
 def _across(group: list[str]):
-    """Chunks of one group in order; at most MAX_CHUNKS rows per group and tie cut."""
+    """Chunks of one group in order: one summary row per chunk, not the table's rows."""
     return Window.partitionBy(*(group or [F.lit(0)])).orderBy(CHUNK, SUB)
 
 
@@ -142,9 +136,6 @@ def with_positions(
     """Adds ``_pos`` (1-based exact rank inside the group) and ``_n`` (group size)."""
     cut = chunked(df, order, tie, rows)
     local = F.row_number().over(cut.forward(group)).cast("long")
-    if cut.single:
-        size = F.count(F.lit(1)).over(cut.inside(group))
-        return cut.df.withColumns({"_pos": local, "_n": size})
     across = _across(group)
     summary = (
         cut.df.groupBy(*cut.keys(group))
@@ -185,9 +176,6 @@ def running_sum(
     local = {
         out: F.sum(src).over(window.rowsBetween(*UP_TO_HERE)) for src, out in columns.items()
     }
-    if cut.single:
-        totals = {f"{out}_total": F.sum(src).over(cut.inside(group)) for src, out in columns.items()}
-        return cut.df.withColumns({**local, **totals})
     across = Window.partitionBy(*(group or [F.lit(0)]))
     ahead = across.orderBy(F.desc(CHUNK), F.desc(SUB)) if descending else across.orderBy(CHUNK, SUB)
     summary = (
@@ -230,14 +218,6 @@ def fill_forward_back(
     local = {c: F.last(c, ignorenulls=True).over(seen) for c in columns}
     known = _all_present(group)
 
-    if cut.single:
-        every = cut.forward(group).rowsBetween(*WHOLE)
-        filled = {
-            c: F.when(known, F.coalesce(local[c], F.first(c, ignorenulls=True).over(every)))
-            for c in columns
-        }
-        return cut.df.withColumns(filled)
-
     at = cut.at
     ends = []
     for c in columns:
@@ -297,46 +277,43 @@ def interpolate_linear(
             F.col(c).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(c).cast("double").alias("v"))
         )
 
-    if not cut.single:
-        across = _across(group)
-        reverse = Window.partitionBy(*(group or [F.lit(0)])).orderBy(F.desc(CHUNK), F.desc(SUB))
-        ends = [F.count(F.lit(1)).alias("_rows")]
-        for c in columns:
-            ends += [F.max(mark(c)).alias(f"_l_{c}"), F.min(mark(c)).alias(f"_f_{c}")]
-        skip = F.coalesce(F.sum("_rows").over(across.rowsBetween(*BEFORE)), F.lit(0))
-        summary = base.groupBy(*cut.keys(group)).agg(*ends).withColumn("_skip", skip)
-
-        def shifted(name: str) -> Column:
-            return F.when(
-                F.col(name).isNotNull(),
-                F.struct((F.col(f"{name}.p") + F.col("_skip")).alias("p"), F.col(f"{name}.v").alias("v")),
-            )
-
-        moved = {f"_{e}_{c}": shifted(f"_{e}_{c}") for c in columns for e in "lf"}
-        around = {
-            f"_before_{c}": F.last(f"_l_{c}", ignorenulls=True).over(across.rowsBetween(*BEFORE))
-            for c in columns
-        } | {
-            f"_after_{c}": F.last(f"_f_{c}", ignorenulls=True).over(reverse.rowsBetween(*BEFORE))
-            for c in columns
-        }
-        summary = (
-            summary.withColumns(moved)
-            .withColumns(around)
-            .drop("_rows", *[f"_{e}_{c}" for c in columns for e in "lf"])
+    across = _across(group)
+    reverse = Window.partitionBy(*(group or [F.lit(0)])).orderBy(F.desc(CHUNK), F.desc(SUB))
+    ends = [F.count(F.lit(1)).alias("_rows")]
+    for c in columns:
+        ends += [F.max(mark(c)).alias(f"_l_{c}"), F.min(mark(c)).alias(f"_f_{c}")]
+    skip = F.coalesce(F.sum("_rows").over(across.rowsBetween(*BEFORE)), F.lit(0))
+    summary = base.groupBy(*cut.keys(group)).agg(*ends).withColumn("_skip", skip)
+
+    def shifted(name: str) -> Column:
+        return F.when(
+            F.col(name).isNotNull(),
+            F.struct((F.col(f"{name}.p") + F.col("_skip")).alias("p"), F.col(f"{name}.v").alias("v")),
         )
-        base = cut.attach(base, summary, group)
-        base = base.withColumn("_pos", F.col("_pos") + F.coalesce(F.col("_skip"), F.lit(0))).drop("_skip")
+
+    moved = {f"_{e}_{c}": shifted(f"_{e}_{c}") for c in columns for e in "lf"}
+    around = {
+        f"_before_{c}": F.last(f"_l_{c}", ignorenulls=True).over(across.rowsBetween(*BEFORE))
+        for c in columns
+    } | {
+        f"_after_{c}": F.last(f"_f_{c}", ignorenulls=True).over(reverse.rowsBetween(*BEFORE))
+        for c in columns
+    }
+    summary = (
+        summary.withColumns(moved)
+        .withColumns(around)
+        .drop("_rows", *[f"_{e}_{c}" for c in columns for e in "lf"])
+    )
+    base = cut.attach(base, summary, group)
+    base = base.withColumn("_pos", F.col("_pos") + F.coalesce(F.col("_skip"), F.lit(0))).drop("_skip")
 
     # The forward order is the one the positions were numbered in, so it needs no new sort.
     ahead = cut.forward(group).rowsBetween(*UP_TO_HERE)
     behind = cut.backward(group).rowsBetween(*UP_TO_HERE)
     neighbours = {}
     for c in columns:
-        prev, nxt = F.last(mark(c), True).over(ahead), F.last(mark(c), True).over(behind)
-        if not cut.single:
-            prev = F.coalesce(prev, F.col(f"_before_{c}"))
-            nxt = F.coalesce(nxt, F.col(f"_after_{c}"))
+        prev = F.coalesce(F.last(mark(c), True).over(ahead), F.col(f"_before_{c}"))
+        nxt = F.coalesce(F.last(mark(c), True).over(behind), F.col(f"_after_{c}"))
         neighbours |= {f"_prev_{c}": prev, f"_next_{c}": nxt}
     base = base.withColumns(neighbours)
     known = _all_present(group)
@@ -419,26 +396,20 @@ def _cut_keys(df: DataFrame, order: str, tie: str, ranks: list[int], rows: int |
     """(order, tie) of the rows at the given 0-based global ranks.
 
     Only two columns are read. Rows per chunk are counted, and just the chunks that hold
-    a wanted rank are sorted.
+    a wanted rank are returned to the driver (one row each) and sorted.
     """
-    slim = df.select(order, tie)
-    cut = chunked(slim, order, tie, rows)
+    cut = chunked(df.select(order, tie), order, tie, rows)
+    across = _across([]).rowsBetween(*BEFORE)
+    sizes = cut.df.groupBy(CHUNK, SUB).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = sizes.withColumn("_start", F.coalesce(F.sum("_rows").over(across), F.lit(0)))
+    holds = [(F.col("_start") <= r) & (F.col("_start") + F.col("_rows") > r) for r in ranks]
     found = {}
-    if cut.single:
-        ordered = slim.withColumn("_pos", F.row_number().over(cut.forward([])) - 1)
-        for r in ordered.filter(F.col("_pos").isin(ranks)).collect():
-            found[r["_pos"]] = (r[order], r[tie])
-        return found
-    sizes = cut.df.groupBy(CHUNK, SUB).count().orderBy(CHUNK, SUB).collect()
-    start = 0
-    for s in sizes:
-        here = [r - start for r in ranks if start <= r < start + s["count"]]
-        if here:
-            part = cut.df.filter((F.col(CHUNK) == s[CHUNK]) & (F.col(SUB) == s[SUB]))
-            ordered = part.withColumn("_pos", F.row_number().over(cut.forward([])) - 1)
-            for r in ordered.filter(F.col("_pos").isin(here)).collect():
-                found[r["_pos"] + start] = (r[order], r[tie])
-        start += s["count"]
+    for s in sizes.filter(reduce(or_, holds, F.lit(False))).collect():
+        here = [r - s["_start"] for r in ranks]
+        part = cut.df.filter((F.col(CHUNK) == s[CHUNK]) & (F.col(SUB) == s[SUB]))
+        ordered = part.withColumn("_pos", F.row_number().over(cut.forward([])) - 1)
+        for r in ordered.filter(F.col("_pos").isin(here)).collect():
+            found[r["_pos"] + s["_start"]] = (r[order], r[tie])
     return found
 
 

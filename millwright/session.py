@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -41,34 +40,17 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on an input with fewer splits than cores, such as one small file.
-
-    Large inputs have more splits than cores and stay as they are, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
-BROADCAST_ROWS = 200_000
-
-
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a join side for broadcast after counting that it has at most ``rows`` rows.
-
-    A larger side is returned as it is and joined by shuffle. Useful where the optimizer's
-    size estimate, a product over earlier joins, is far above the true size.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only where that is unset (local tests) does a temporary folder take its place.
+    Where that is unset, a temporary folder takes its place in a local session, whose
+    executors are the driver's own threads; on a cluster it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="millwright-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root

@@ -161,6 +161,8 @@ def test_lake_hash_and_blank_lines(spark, tmp_path):
 def test_lake_rejects_bad_lines(spark, tmp_path, line):
     with pytest.raises(Exception):
         lake.read_lake(spark, write_lines(tmp_path, [json.dumps(ENVELOPE), line])).collect()
+    with pytest.raises(Exception):
+        lake.read_lake(spark, str(tmp_path)).count()
 
 
 def test_lake_without_files(spark, tmp_path):
