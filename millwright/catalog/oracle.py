@@ -15,11 +15,11 @@ DATE_RE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
 
 def num(t: str, trim: bool = True) -> str:
     v = f"trim({t}, ' ')" if trim else t
-    return f"CASE WHEN regexp_full_match({v}, '{NUM_RE}') THEN TRY_CAST({v} AS DECIMAL(18,6)) END"
+    return f"CASE WHEN regexp_full_match({v}, '{NUM_RE}') THEN TRY_CAST({v} AS DECIMAL(38,18)) END"
 
 
 def integer(t: str, trim: bool = True) -> str:
-    return f"CAST(round({num(t, trim)}, 0) AS INTEGER)"
+    return f"TRY_CAST(round({num(t, trim)}, 0) AS INTEGER)"
 
 
 def dbl(e: str) -> str:

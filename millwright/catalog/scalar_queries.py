@@ -17,7 +17,8 @@ from millwright.operators import quality as A
 # One messy text column per event: padding, words, exponents, blanks and plain numbers.
 MESSY = """CASE WHEN k < 10 THEN ' ' || k || ' ' WHEN k < 20 THEN k || 'e1' WHEN k < 30 THEN ''
   WHEN k < 40 THEN '.' || k WHEN k < 50 THEN '-' || k || '.50' WHEN k < 60 THEN 'n/a'
-  WHEN k < 70 THEN '+' || k WHEN k < 80 THEN k || '.5' ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END"""
+  WHEN k < 70 THEN '+' || k WHEN k < 80 THEN k || '.5' WHEN k = 80 THEN '0.6999996' WHEN k = 81 THEN '100.0000004'
+  WHEN k = 82 THEN '2.4999999' WHEN k = 83 THEN '1234567890123.5' ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END"""
 
 
 def messy():
@@ -31,6 +32,7 @@ def messy():
         .when(k < 60, "n/a")
         .when(k < 70, F.concat(F.lit("+"), k))
         .when(k < 80, F.concat(k, F.lit(".5")))
+        .when(k == 80, "0.6999996").when(k == 81, "100.0000004").when(k == 82, "2.4999999").when(k == 83, "1234567890123.5")
         .otherwise(F.col("value").cast("decimal(18,2)").cast("string"))
     )
 

@@ -29,7 +29,7 @@ def clean_sql(e: str) -> str:
 
 def number_sql(e: str, trim: bool = True) -> str:
     text = f"btrim({e})" if trim else e
-    return f"try_cast(nullif(regexp_extract({text}, r'{S.NUMBER_PATTERN}', 0), '') AS {S.NUM.simpleString()})"
+    return f"try_cast(nullif(regexp_extract({text}, r'{S.NUMBER_PATTERN}', 0), '') AS {S.EXACT.simpleString()})"
 
 
 def int_sql(e: str, trim: bool = True) -> str:
