@@ -185,6 +185,7 @@ def repeated_spans(docs: DataFrame, window: int = 35, gram: int = GRAM, hot: int
     cold = cold.mapInArrow(partial(_count, window=window), "doc_id long, h long, low int, high int")
     windows = cut.where("hot").select("h1", "h2", *KEY, "start")
     twice = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    twice = materialise(twice, "twice")
     warm = windows.join(twice, ["h1", "h2"]).select(*KEY, F.col("start").alias("low"), (F.col("start") + window).alias("high"))
     return cold.unionByName(warm)
 
