@@ -329,14 +329,14 @@ def _predictive(t):
     "merged_alerts",
     Q.sql(
         f"""SELECT alert_id, title, severity, description, factory, date, status FROM (
-          SELECT *, 0 AS part, CASE severity WHEN 'critique' THEN 0 WHEN 'majeur' THEN 1 ELSE 2 END AS rank, NULL::INTEGER AS day, NULL::BIGINT AS n FROM (SELECT * FROM predicted) WHERE severity = 'critique'
+          SELECT *, 0 AS part, CASE severity WHEN 'critique' THEN 0 WHEN 'majeur' THEN 1 ELSE 2 END AS rank, NULL::INTEGER AS day, NULL::BIGINT AS n FROM predicted
           UNION ALL SELECT {alert_view("'AMERICA'")}, 1, 0, date_id, bronze_event_id FROM recorded)
         ORDER BY part, rank, day DESC NULLS FIRST, n, alert_id LIMIT 8""",
         predicted=PREDICTED, recorded=SITE_ALERTS,
     ),
 )
 def _merged(t):
-    predicted = A.predictive_alerts(t.predictions(), "AMERICA", "01/07/2026").filter("severity = 'critique'")
+    predicted = A.predictive_alerts(t.predictions(), "AMERICA", "01/07/2026")
     return A.merged_alerts(predicted, A.recent_site_alerts(t.alerts(), site(t), "AMERICA"))
 
 

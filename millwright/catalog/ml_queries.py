@@ -170,7 +170,7 @@ def _onehot(t):
     from pyspark.ml.functions import vector_to_array
 
     df = t.events().select("event_id", F.when(F.col("k") > 30, F.col("event_type")).alias("kind"))
-    filled = L.impute_mode(df, df, ["kind"])
+    filled = L.impute_mode(df, L.fit_modes(df, ["kind"]))
     out = Pipeline(stages=L.onehot_stages(["kind"])).fit(filled).transform(filled)
     ones = F.aggregate(vector_to_array("kind_onehot"), F.lit(0.0), lambda a, v: a + v).cast("long")
     return out.select("event_id", "kind", "kind_index", ones.alias("ones"))

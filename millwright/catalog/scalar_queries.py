@@ -293,9 +293,9 @@ def _mean_tone(t):
     )
     return g.select(
         "user_id",
-        F.when(F.col("r") >= 0.5, "crit").when(F.col("r") >= 0.25, "warn").otherwise("good").alias("risk_tone"),
-        F.when(F.col("v") < 90, "warn").otherwise("good").alias("rul_tone"),
-        F.when(F.col("n") > 100, "crit").otherwise("warn").alias("alert_tone"),
+        D.mean_risk_tone("r").alias("risk_tone"),
+        D.mean_rul_tone("v").alias("rul_tone"),
+        D.alert_count_tone("n").alias("alert_tone"),
     )
 
 

@@ -112,3 +112,15 @@ def state_of(risk: str, threshold: float = 0.5) -> Column:
 
 def clamp_rul(days: str) -> Column:
     return F.expr(f"CASE WHEN {days} IS NOT NULL THEN greatest(CAST({days} AS DOUBLE), 0D) END")
+
+
+def mean_risk_tone(mean: str) -> Column:
+    return F.expr(f"CASE WHEN {mean} >= 0.5 THEN 'crit' WHEN {mean} >= 0.25 THEN 'warn' ELSE 'good' END")
+
+
+def mean_rul_tone(mean: str) -> Column:
+    return F.expr(f"CASE WHEN {mean} < 90 THEN 'warn' ELSE 'good' END")
+
+
+def alert_count_tone(count: str) -> Column:
+    return F.expr(f"CASE WHEN {count} > 100 THEN 'crit' ELSE 'warn' END")

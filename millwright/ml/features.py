@@ -78,9 +78,14 @@ def most_frequent(df: DataFrame, column: str) -> DataFrame:
     return counts.orderBy(F.desc("n"), "value").limit(1)
 
 
-def impute_mode(df: DataFrame, fitted_on: DataFrame, columns: list[str]) -> DataFrame:
-    modes = {c: most_frequent(fitted_on, c).select("value").scalar() for c in columns}
-    return df.withColumns({c: F.coalesce(F.col(c), m) for c, m in modes.items()})
+def fit_modes(df: DataFrame, columns: list[str]) -> dict:
+    """The commonest value of every column; None for a column without values."""
+    found = {c: most_frequent(df, c).first() for c in columns}
+    return {c: row["value"] if row else None for c, row in found.items()}
+
+
+def impute_mode(df: DataFrame, modes: dict) -> DataFrame:
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(m)) for c, m in modes.items()})
 
 
 def onehot_stages(columns: list[str]) -> list:
@@ -99,7 +104,8 @@ def preprocessor(train: DataFrame, numeric: list[str], categorical: list[str]):
     """Fitted preparation as a function DataFrame -> DataFrame with a ``features`` vector."""
     profile = numeric_profile(train, numeric)
     profile_rows = profile.sparkSession.createDataFrame(profile.collect(), profile.schema)
-    prepared = impute_mode(impute_scale(train, profile_rows), train, categorical)
+    modes = fit_modes(train, categorical)
+    prepared = impute_mode(impute_scale(train, profile_rows), modes)
     stages = onehot_stages(categorical) if categorical else []
     stages.append(
         VectorAssembler(inputCols=[*numeric, *[f"{c}_onehot" for c in categorical]], outputCol="features")
@@ -107,7 +113,7 @@ def preprocessor(train: DataFrame, numeric: list[str], categorical: list[str]):
     model: PipelineModel = Pipeline(stages=stages).fit(prepared)
 
     def apply(df: DataFrame) -> DataFrame:
-        return model.transform(impute_mode(impute_scale(df, profile_rows), train, categorical))
+        return model.transform(impute_mode(impute_scale(df, profile_rows), modes))
 
     return apply
 

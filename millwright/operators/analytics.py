@@ -306,9 +306,9 @@ def ia_indicators(predictions: DataFrame) -> DataFrame:
         F.concat("at_risk", F.lit("/"), "machines").alias("at_risk_machines"),
         F.when(F.col("at_risk") > 0, "crit").otherwise("good").alias("at_risk_tone"),
         F.concat(D.whole("_risk * 100"), F.lit("%")).alias("mean_risk"),
-        F.when(F.col("_risk") >= 0.5, "crit").when(F.col("_risk") >= 0.25, "warn").otherwise("good").alias("mean_risk_tone"),
+        D.mean_risk_tone("_risk").alias("mean_risk_tone"),
         F.coalesce(F.concat(D.whole("_rul"), F.lit(" j")), F.lit("—")).alias("mean_rul"),
-        F.when(F.col("_rul") < 90, "warn").otherwise("good").alias("mean_rul_tone"),
+        D.mean_rul_tone("_rul").alias("mean_rul_tone"),
     )
 
 
@@ -316,14 +316,14 @@ def offline_indicators(kpis: DataFrame, active: DataFrame, machines: DataFrame)
     """Indicators without a model: performance, quality, machines followed, active alerts."""
     alerts = active.select("active_alerts").scalar()
     followed = machines.agg(F.count(F.lit(1))).scalar()
-    return kpis.select(
+    shown = kpis.select(
         F.col("performance").alias("stability"),
         F.col("quality"),
         F.when(F.coalesce("quality", F.lit(0.0)) >= 90, "good").otherwise("warn").alias("quality_tone"),
         followed.alias("machines"),
         alerts.alias("active_alerts"),
-        F.when(alerts > 100, "crit").otherwise("warn").alias("alert_tone"),
     )
+    return shown.withColumn("alert_tone", D.alert_count_tone("active_alerts"))
 
 
 def risk_machines(stats: DataFrame, predictions: DataFrame | None = None, limit: int = RISK_LIMIT) -> DataFrame:
