@@ -124,3 +124,11 @@ def test_site_dashboard_with_and_without_model(spark):
     assert online["alerts"].first()["alert_id"] == "ia-M0" and online["maintenance_plan"].count() == 2
     with pytest.raises(LookupError):
         B.site_dashboard(g, s, "nowhere", date(2026, 7, 1))
+
+
+def test_merged_alerts_put_predictions_of_all_severities_before_recorded_ones(spark):
+    columns = "alert_id string, severity string, date string"
+    predicted = spark.createDataFrame([("ia-b", "mineur", "01/07/2026"), ("ia-a", "critique", "01/07/2026")], columns)
+    recorded = spark.createDataFrame([("7", "critique", "01/06/2026"), ("8", "mineur", "02/06/2026")], columns)
+    assert [r["alert_id"] for r in A.merged_alerts(predicted, recorded).collect()] == ["ia-a", "ia-b", "8", "7"]
+    assert [r["alert_id"] for r in A.merged_alerts(predicted, recorded, limit=3).collect()] == ["ia-a", "ia-b", "8"]
