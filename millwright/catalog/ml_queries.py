@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 from pyspark.sql import functions as F
 
 from millwright import schemas as S
+from millwright.catalog import enrich_queries as E
 from millwright.catalog import oracle as Q
 from millwright.catalog.registry import query
 from millwright.functions import health as H
@@ -15,8 +18,9 @@ from millwright.operators import curves as K
 from millwright.operators import ordered as O
 from millwright.session import materialise
 
-NUMERIC = ["temperature_c", "vibration_mms", "sound_db", "coolant_flow_l_min", "power_consumption_kw", "error_codes_last_30_days"]
-TREES = 20
+NUMERIC = S.NUMERIC_FEATURES
+#: Machines of the reference; sequences fold the users onto as many, so that each has windows in every split.
+MACHINES = 8
 NINE = 9
 
 
@@ -258,7 +262,7 @@ def learning(t):
     return materialise(t.silver().withColumn(S.TARGET_CLF, failing.cast("int")), "learning")
 
 
-def prepared(t, task="clf", categorical=("quality_status",)):
+def prepared(t, task="clf", categorical=tuple(S.CATEGORICAL_FEATURES)):
     """(train, val, test) with a feature vector and a label, split by time."""
     target = S.TARGET_CLF if task == "clf" else S.TARGET_REG
     df = learning(t).filter("event_ts is not null")
@@ -266,7 +270,9 @@ def prepared(t, task="clf", categorical=("quality_status",)):
         df = df.filter(F.col(target).isNotNull())
     df = O.temporal_split(df, "event_ts", "bronze_event_id").withColumn("label", F.col(target).cast("double"))
     apply = L.preprocessor(df.filter("split = 'train'"), NUMERIC, list(categorical))
-    ready = materialise(apply(df).select("bronze_event_id", "machine_id", "split", "label", "features"), "prepared")
+    # The encoder's input has its gaps filled; the machine of a row without one stays null.
+    ready = apply(df.withColumn("_machine", F.col("machine_id"))).withColumn("machine_id", F.col("_machine"))
+    ready = materialise(ready.select("bronze_event_id", "machine_id", "split", "label", "features"), "prepared")
     return [ready.filter(F.col("split") == s) for s in ("train", "val", "test")]
 
 
@@ -303,7 +309,7 @@ def _tree(t):
 @query("train_forest")
 def _forest(t):
     train, _, test = prepared(t)
-    return report("forest", R.risk_scores(R.forest_classifier(train, TREES, 5), test))
+    return report("forest", R.risk_scores(R.forest_classifier(train), test))
 
 
 @query("train_gbt")
@@ -311,20 +317,21 @@ def _gbt(t):
     """Boosting with early stopping on the validation rows and weighted positives."""
     train, val, test = prepared(t)
     weight = L.class_weights(train).first()["scale_pos_weight"]
-    return report("gbt", R.risk_scores(R.boosted_classifier(train, TREES, 3, 0.1, val, weight), test))
+    return report("gbt", R.risk_scores(R.boosted_classifier(train, 800, 5, 0.05, val, weight, patience=50), test))
 
 
 @query("train_mlp")
 def _mlp(t):
     train, _, test = prepared(t)
-    return report("mlp", R.risk_scores(R.perceptron(train, (16, 8), 30), test))
+    return report("mlp", R.risk_scores(R.perceptron(train, (128, 64), 120), test))
 
 
 @query("feature_importance_top")
 def _importance(t):
     train, _, _ = prepared(t)
     model = R.decision_tree(train)
-    names = NUMERIC + [f"quality_status_{i}" for i in range(model.numFeatures - len(NUMERIC))]
+    attributes = train.schema["features"].metadata["ml_attr"]["attrs"]
+    names = [a["name"] for a in sorted(chain(*attributes.values()), key=lambda a: a["idx"])]
     rows = [(n, float(v)) for n, v in zip(names, model.featureImportances.toArray())]
     return K.top_importances(t.spark.createDataFrame(rows, "feature string, importance double"))
 
@@ -332,27 +339,35 @@ def _importance(t):
 @query("compare_models")
 def _compare(t):
     train, _, test = prepared(t)
-    return R.compare_models(train, test, "clf", 5, ["LogisticRegression", "DecisionTreeClassifier", "RandomForestClassifier"])[0]
+    return R.compare_models(train, test, "clf")[0]
 
 
 @query("compare_regressors")
 def _compare_reg(t):
     train, _, test = prepared(t, "reg")
-    return R.compare_models(train, test, "reg", 5)[0]
+    return R.compare_models(train, test, "reg")[0]
+
+
+def business_context(t):
+    """The business columns of every machine; those the tables lack come from suppliers and parts."""
+    parts = E.parts(t).select(F.col("product_id").alias("default_product_id"), "product_family")
+    made = t.machines().select(
+        F.concat(F.lit("S"), "s_suppkey").alias("old_machine_id"), F.concat(F.lit("maker "), F.col("n_name")).alias("manufacturer"),
+        F.when(F.col("s_acctbal") >= 5000, "high").otherwise("normal").alias("criticality_level"),
+        F.concat(F.lit("G"), F.col("s_suppkey") % 3).alias("machine_generation"),
+    )
+    context = E.mapping(t).join(parts, "default_product_id", "left").join(made, "old_machine_id", "left")
+    return context.select(F.col("old_machine_id").alias("machine_id"), *S.BUSINESS_CATEGORICALS)
 
 
 @query("clean_vs_business")
 def _business(t):
-    """RUL error with and without the machine's line and plant."""
-    df = learning(t).filter(F.col(S.TARGET_REG).isNotNull()).join(
-        t.machines().select(
-            F.concat(F.lit("S"), "s_suppkey").alias("machine_id"), F.col("n_name").alias("production_line_id"), F.col("r_name").alias("factory_id")
-        ), "machine_id", "left",
-    )
+    """RUL error with and without the business columns of the machine."""
+    df = learning(t).filter(F.col(S.TARGET_REG).isNotNull()).join(business_context(t), "machine_id", "left")
     filled = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in NUMERIC})
     split = L.stratified_split(filled.withColumn("label", F.col(S.TARGET_REG).cast("double")), "bronze_event_id")
     split = materialise(split, "business")
-    return R.clean_vs_business(split.filter("split = 'train'"), split.filter("split = 'test'"), NUMERIC, ["factory_id", "production_line_id"])
+    return R.clean_vs_business(split.filter("split = 'train'"), split.filter("split = 'test'"), NUMERIC, S.BUSINESS_CATEGORICALS)
 
 
 @query("anomaly_reconstruction")
@@ -386,11 +401,13 @@ def _score_rul(t):
 @query("score_sequence")
 def _score_sequence(t):
     """RUL from windows of consecutive readings: mean, last value and slope of each measure."""
-    usable = learning(t).filter("machine_id is not null and event_ts is not null")
+    usable = learning(t).filter("machine_id is not null and event_ts is not null").withColumn(
+        "machine_id", F.concat(F.lit("M"), F.substring("machine_id", 2, 20).cast("long") % MACHINES)
+    )
     filled = usable.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in NUMERIC})
     split = O.temporal_split_per_key(filled, "machine_id", "event_ts", "bronze_event_id").drop("_pos", "_n")
-    seq = O.sliding_sequences(split, ["machine_id", "split"], "event_ts", "bronze_event_id", NUMERIC, S.TARGET_REG, length=10)
+    seq = O.sliding_sequences(split, ["machine_id", "split"], "event_ts", "bronze_event_id", NUMERIC, S.TARGET_REG, S.SEQUENCE_LENGTH)
     ready = R.sequence_features(seq.filter("label is not null").withColumn("label", F.col("label").cast("double")), NUMERIC)
     ready = materialise(ready.select("machine_id", "split", "bronze_event_id", "label", "features"), "sequences")
-    model = R.boosted_regressor(ready.filter("split = 'train'"), 5)
+    model = R.boosted_regressor(ready.filter("split = 'train'"))
     return R.predicted_rul(model, ready.filter("split = 'test'")).select("machine_id", "bronze_event_id", "label", "predicted_rul_days")

@@ -21,6 +21,10 @@ from millwright.ml.features import onehot_stages, with_class_weight
 from millwright.operators.curves import classification_metrics, rank_models, regression_metrics
 
 SEED = 42
+#: Spark's deepest tree, for trees of unlimited depth.
+DEEPEST = 30
+#: Most columns the normal equations take.
+NORMAL = 4096
 
 
 def logistic(train: DataFrame, c: float = 1.0, balanced: bool = True):
@@ -39,7 +43,8 @@ def ridge(train: DataFrame, alpha: float = 1.0):
     """
     n, deviation = train.agg(F.count("label"), F.stddev_pop("label")).first()
     return LinearRegression(
-        regParam=alpha * (deviation or 0.0) / n, elasticNetParam=0.0, standardization=False, solver="normal"
+        regParam=alpha * (deviation or 0.0) / n, elasticNetParam=0.0, standardization=False,
+        solver="normal" if len(train.select("features").first()[0]) <= NORMAL else "l-bfgs",
     ).fit(train)
 
 
@@ -47,27 +52,59 @@ def decision_tree(train: DataFrame, depth: int = 5):
     return DecisionTreeClassifier(maxDepth=depth, seed=SEED).fit(train)
 
 
-def forest_classifier(train: DataFrame, trees: int = 200, depth: int = 10):
+def forest_classifier(train: DataFrame, trees: int = 200, depth: int = DEEPEST):
     return RandomForestClassifier(numTrees=trees, maxDepth=depth, weightCol="weight", seed=SEED).fit(
         with_class_weight(train)
     )
 
 
-def forest_regressor(train: DataFrame, trees: int = 300, depth: int = 10, leaf: int = 3):
+def forest_regressor(train: DataFrame, trees: int = 300, depth: int = DEEPEST, leaf: int = 3):
     return RandomForestRegressor(numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, seed=SEED).fit(train)
 
 
+def _patient(fit, validation: DataFrame, rounds: int, patience: int):
+    """The model of the best round before ``patience`` rounds without a smaller loss on ``validation``.
+
+    ``fit`` takes a number of rounds. Rounds do not depend on how many follow, so a short fit
+    is the beginning of a long one: the number is doubled until the stop lies inside it.
+    """
+    tried = min(rounds, 2 * patience)
+    while True:
+        model = fit(tried)
+        best, least = 1, float("inf")
+        for n, loss in enumerate(model.evaluateEachIteration(validation), 1):
+            if loss < least:
+                best, least = n, loss
+            elif n - best >= patience:
+                return fit(best)
+        if tried == rounds:
+            return model if best == rounds else fit(best)
+        tried = min(rounds, 2 * tried)
+
+
 def boosted_classifier(
     train: DataFrame, rounds: int = 100, depth: int = 3, rate: float = 0.1,
-    validation: DataFrame | None = None, positive_weight: float | None = None,
+    validation: DataFrame | None = None, positive_weight: float | None = None, patience: int | None = None,
 ):
-    """Gradient boosting; with ``validation`` rounds stop when its error no longer improves."""
+    """Gradient boosting; with ``validation`` rounds stop when its error no longer improves.
+
+    With ``patience`` they stop when it has not improved for so many rounds, and the model of
+    the best round is returned.
+    """
+    weight = F.when(F.col("label") == 1, F.lit(positive_weight or 1.0)).otherwise(F.lit(1.0))
+    if patience is not None:
+        if validation is None:
+            raise ValueError("patience needs validation rows")
+        return _patient(
+            lambda n: boosted_classifier(train, n, depth, rate, positive_weight=positive_weight),
+            validation.withColumn("weight", weight), rounds, patience,
+        )
     df = train.withColumn("_held", F.lit(False))
     if validation is not None:
         df = df.unionByName(validation.withColumn("_held", F.lit(True)))
     booster = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=rate, seed=SEED)
     if positive_weight:
-        df = df.withColumn("weight", F.when(F.col("label") == 1, F.lit(positive_weight)).otherwise(F.lit(1.0)))
+        df = df.withColumn("weight", weight)
         booster.setWeightCol("weight")
     if validation is not None:
         booster.setValidationIndicatorCol("_held")
@@ -175,18 +212,21 @@ def sequence_features(sequences: DataFrame, features: list[str], column: str = "
 CLASSIFIERS = {
     "LogisticRegression": lambda df, size: logistic(df, balanced=False),
     "DecisionTreeClassifier": lambda df, size: decision_tree(df),
-    "RandomForestClassifier": lambda df, size: forest_classifier(df, trees=size),
-    "GradientBoostingClassifier": lambda df, size: boosted_classifier(df, rounds=size),
+    "RandomForestClassifier": lambda df, size: forest_classifier(df, trees=size or 200),
+    "GradientBoostingClassifier": lambda df, size: boosted_classifier(df, rounds=size or 100),
 }
 REGRESSORS = {
     "LinearRegression": lambda df, size: ridge(df, alpha=0.0),
-    "RandomForestRegressor": lambda df, size: forest_regressor(df, trees=size),
-    "GradientBoostingRegressor": lambda df, size: boosted_regressor(df, rounds=size),
+    "RandomForestRegressor": lambda df, size: forest_regressor(df, trees=size or 300),
+    "GradientBoostingRegressor": lambda df, size: boosted_regressor(df, rounds=size or 100),
 }
 
 
-def compare_models(train: DataFrame, test: DataFrame, task: str, size: int = 100, names: list[str] | None = None):
-    """Metrics of each model on ``test``, best first, and the fitted models."""
+def compare_models(train: DataFrame, test: DataFrame, task: str, size: int | None = None, names: list[str] | None = None):
+    """Metrics of each model on ``test``, best first, and the fitted models.
+
+    ``size`` is the number of trees or rounds of every ensemble; without it each has its own.
+    """
     trainers = CLASSIFIERS if task == "clf" else REGRESSORS
     fitted, rows = {}, None
     for name in names or list(trainers):
