@@ -12,9 +12,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millwright.session import materialise
+
 FEATURES = 4096
 GRAMS = (3, 4)
-#: Rows the model is fitted on at most: the first in the order of a hash of the url.
+#: Distinct urls the model is fitted on at most: the first of each class in the order of a hash of the url.
 SAMPLE = 4000
 #: (verdict, host, path prefix)
 RULES = [
@@ -74,18 +76,26 @@ def _features(rows: DataFrame, features: int) -> DataFrame:
 def train(labelled: DataFrame, url: str = "url", label: str = "blocked", sample: int = SAMPLE, features: int = FEATURES):
     """A fitted model from (url, label 0/1); rows with null label are left out.
 
-    At most ``sample`` rows are used: the first by hash and text of the url. Returns None when
-    there is no row of both classes.
+    Every url counts once. At most ``sample`` are used: of each class the first by hash and text
+    of the url, half of ``sample`` or what the other class leaves, weighted so that the classes
+    keep their shares. Returns None when there is no row of both classes.
     """
     rows = labelled.where(F.col(label).isNotNull()).select(F.col(url).alias("url"), F.col(label).cast("double").alias("label"))
-    rows = rows.orderBy(F.xxhash64("url"), "url", "label").limit(sample)
-    rows = rows.select("label", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")).coalesce(1)
-    rows = _features(rows, features)
-    if rows.agg(F.countDistinct("label")).first()[0] < 2:
+    rows = materialise(rows.dropDuplicates(["url", "label"]), "labelled")
+    held = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    if len(held) < 2:
         return None
+    parts = []
+    for value, n in sorted(held.items()):
+        taken = min(n, max(sample // 2, sample - sum(held.values()) + n))
+        first = rows.where(F.col("label") == value).orderBy(F.xxhash64("url"), "url").limit(taken)
+        parts.append(first.withColumn("_weight", F.lit(n / taken)))
+    rows = parts[0].unionByName(parts[1])
+    rows = rows.select("label", "_weight", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")).coalesce(1)
+    rows = _features(rows, features)
     return LogisticRegression(
         featuresCol="_features", predictionCol="_predicted", probabilityCol="_probability", rawPredictionCol="_raw",
-        maxIter=50, regParam=0.01,
+        weightCol="_weight", maxIter=50, regParam=0.01,
     ).fit(rows)
 
 

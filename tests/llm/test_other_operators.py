@@ -103,6 +103,19 @@ def test_url_model_learns_marks(spark):
     assert wrong.count() == 0
 
 
+def test_url_copies_do_not_fill_the_sample(spark):
+    """Whichever url is the hot one, both classes keep half of the sample and their shares."""
+    marked = [(f"http://h{i % 7}.net/{'spam-offer' if i % 3 == 0 else 'daily-news'}/{i}", int(i % 3 == 0)) for i in range(120)]
+    plain = spark.createDataFrame(marked, "url string, blocked int")
+    first = plain.orderBy(F.xxhash64("url")).first()
+    model = urls.train(plain.unionByName(spark.createDataFrame([tuple(first)] * 500, plain.schema)), sample=40)
+    alone = urls.train(plain, sample=40)
+    assert model is not None
+    np.testing.assert_allclose(model.coefficients.toArray(), alone.coefficients.toArray(), atol=1e-9)
+    wrong = urls.judge(plain, model, rules=[("block", "none", "/")]).where("(verdict = 'block') != (blocked = 1)")
+    assert wrong.count() == 0
+
+
 def test_pipeline_stages(spark, docs, none):
     for table in (docs, none):
         kept = table
