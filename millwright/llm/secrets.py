@@ -23,9 +23,16 @@ BASE_RULES = [
     ("access", 1, r"(AKIA[A-Z0-9]+)", 16),
     ("hex", 1, r"([0-9a-f]{32,})", 32),
 ]
+# ---- a private key: BEGIN, ``Name: value`` lines and base64 up to END; without END, lines of 16
+# base64 characters or more and a shorter last one. Line ends may be spelled as \\n.
+GAP = r"(?:[\x20\t]|\r?\n|\r|\\[nr])"
+HEAD, FOOT = (r"-----%s [A-Z ]{0,40}PRIVATE KEY-----" % word for word in ("BEGIN", "END"))
+NAMED = rf"(?:{GAP}++[A-Za-z][A-Za-z0-9-]*+:[^\r\n\\]*+)*+"
+WHOLE_KEY = rf"(?:[A-Za-z0-9+/=]|{GAP})*+{FOOT}"
+CUT_KEY = rf"(?:{GAP}++[A-Za-z0-9+/=]{{16,}}+)++(?:(?:\r?\n|\r|\\[nr])[\x20\t]*+[A-Za-z0-9+/=]++(?=[\x20\t]*+(?:[\r\n\\\"']|\Z)))?"
 # ---- further rules of this operator; they only add spans
 ADDED_RULES = [
-    ("private_key", 1, r"(-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----)", 1),
+    ("private_key", 2, rf"({HEAD}(?:{NAMED}(?:{WHOLE_KEY}|{CUT_KEY}))?)", 1),
     ("bearer", 1, r"(eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})", 1),
     ("repository_token", 1, r"(gh[opsu]_[A-Za-z0-9]{36,})", 1),
 ]
