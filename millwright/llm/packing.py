@@ -123,34 +123,40 @@ class Group:
 
 
 def dominant_groups(left: dict[int, int], capacity: int) -> list[Group]:
-    """Fix sets that dominate every other choice for the largest pieces; ``left`` keeps the rest.
+    """Fix sets that dominate every other choice for one of their pieces; ``left`` keeps the rest.
 
-    For the largest length a, with room r = capacity - a: if nothing fits, a alone dominates.
-    If some length equals r, the pair fills the sequence and dominates. If no two remaining
-    pieces fit into r together, a with the largest piece that fits dominates. Otherwise no
-    set of at most two dominates and the reduction stops at a.
+    For a length a, with room r = capacity - a: if nothing fits, a alone dominates. If some
+    length equals r, the pair fills the sequence and dominates. If no two remaining pieces fit
+    into r together, a with the largest piece that fits dominates. Otherwise no set of at most
+    two dominates and a is left. Lengths are tried falling, again and again until a pass fixes
+    nothing.
     """
     groups = []
-    lengths = sorted(left)
-    while lengths:
-        a = lengths[-1]
-        room = capacity - a
-        fits = [x for x in lengths[: bisect_left(lengths, room + 1)] if x != a or left[a] > 1]
-        if not fits:
-            groups.append(Group((a,), left[a]))
-            left[a] = 0
-        else:
-            b = fits[-1]
-            smallest = [x for x in fits[:2] for _ in range(min(2, left[x] - (x == a)))][:2]
-            if b != room and len(smallest) == 2 and sum(smallest) <= room:
-                break
-            times = left[a] // 2 if a == b else min(left[a], left[b])
-            groups.append(Group((a, b), times))
-            left[a] -= times
-            left[b] -= times
-        for x in {a, *fits[-1:]}:
-            if not left[x]:
-                lengths.remove(x)
+    lengths = sorted(x for x in left if left[x])
+    fixed = True
+    while fixed:
+        fixed = False
+        for a in reversed(lengths[:]):
+            while left[a]:
+                room = capacity - a
+                at = bisect_left(lengths, room + 1) - 1
+                if at >= 0 and lengths[at] == a and left[a] == 1:
+                    at -= 1
+                if at < 0:
+                    chosen, times = (a,), left[a]
+                else:
+                    b = lengths[at]
+                    smallest = [x for x in lengths[:3] for _ in range(min(2, left[x] - (x == a)))][:2]
+                    if b != room and len(smallest) == 2 and sum(smallest) <= room:
+                        break
+                    chosen, times = (a, b), left[a] // 2 if a == b else min(left[a], left[b])
+                groups.append(Group(chosen, times))
+                fixed = True
+                for x in chosen:
+                    left[x] -= times
+                for x in set(chosen):
+                    if not left[x]:
+                        lengths.remove(x)
     for x in [x for x in left if not left[x]]:
         del left[x]
     return groups

@@ -111,6 +111,13 @@ def test_private_keys_are_masked_whole(spark):
     assert [got[i] for i in range(len(texts))] == list(texts.values())
 
 
+def test_dominance_goes_on_past_an_undecided_length():
+    left = {90: 1, 3: 3, 60: 2, 40: 2, 100: 5}
+    groups = packing.dominant_groups(left, 100)
+    assert {g.lengths: g.count for g in groups} == {(100,): 5, (60, 40): 2}
+    assert left == {90: 1, 3: 3}
+
+
 def test_mixing_meets_targets(table, rows):
     out = mixing.mix_sources(table, block=2).collect()
     assert len(out) == table.count()
