@@ -25,10 +25,18 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group stays, once; rows without an id and texts without words stay."""
-    kept = near_dups.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL"))
+    """The row with the smallest id of each group stays, once; rows without an id and texts without words stay.
+
+    Rows are told apart by a hash of all columns, so unlike texts under one id are judged each
+    for itself. Rows of a group that share the smallest id are told by that hash.
+    """
+    empty = F.array(*[F.col(c).isNull() for c in docs.columns])
+    named = docs.where("doc_id IS NOT NULL").withColumn("_key", F.xxhash64(empty, *docs.columns))
+    found = near_dups.near_duplicates(named, "_key").select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    ids = named.select("doc_id", "_key").distinct().join(found, "_key")
+    first = ids.groupBy("component_id").agg(F.min(F.struct("doc_id", "_key")).alias("first")).select("first._key")
+    kept = named.join(first, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -130,3 +130,11 @@ def test_pipeline_stages(spark, docs, none):
     assert {r.doc_id for r in once} == {0, 3, 4, 5, 6, 7, 8, 9, 10, 12, None} and all(r["count"] == 1 for r in once)
     masked = corpus_pipeline.STAGES[2][1](spark, docs, FOLDER).where("doc_id = 12").first()
     assert "AKIA" not in masked.text and masked.n_chars == len(masked.text)
+
+
+def test_unlike_texts_under_one_id_stay(spark, docs):
+    words = [" ".join(f"{c}{i}" for i in range(40)) for c in "abc"]
+    rows = [(3, words[0]), (5, words[1]), (5, words[2]), (5, words[0]), (5, words[1]), (7, words[1])]
+    table = spark.createDataFrame([(i, x, "en", "a", len(x)) for i, x in rows], docs.schema)
+    kept = corpus_pipeline.STAGES[1][1](spark, table, FOLDER).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(3, words[0]), (5, words[1]), (5, words[2])]
