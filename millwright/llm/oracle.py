@@ -116,7 +116,37 @@ sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans FROM docume
 """
 
 
+def crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text: eight shifts for each byte (-1 stands for a shift)."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda ch: [CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    turn = "CASE WHEN x >= 0 THEN xor(acc, x) ELSE xor(acc >> 1, CASE WHEN acc & 1 = 1 THEN 3988292384 ELSE 0 END) END"
+    turned = f"list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {steps}), lambda acc, x: {turn})"
+    return f"xor({turned}, CAST(4294967295 AS BIGINT))"
+
+
+#: Pairs of equal six-word stretches make islands of one distance; islands at least as long as their distance are runs.
+RUNS = f"""
+WITH raw AS (SELECT doc_id, {WORDS} AS o, {crc32("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
+par AS (SELECT *, len(o) AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(o) > 0 THEN (h // 10) % len(o) END AS a FROM raw),
+per AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM par),
+t AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN o ELSE list_transform(range(0, n), lambda i: o[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w FROM per),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(0, len(w))) AS i FROM t),
+gram AS (SELECT doc_id, i, md5(array_to_string(w[i + 1:i + 6], ' ')) AS k FROM (SELECT doc_id, w, unnest(range(0, len(w) - 5)) AS i FROM t)),
+pair AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM gram x JOIN gram y ON x.doc_id = y.doc_id AND x.k = y.k AND x.i < y.i),
+island AS (SELECT doc_id, q, min(i) AS start, count(*) + 5 AS same
+           FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS part FROM pair) s GROUP BY doc_id, q, part),
+run AS (SELECT doc_id, start, same + q AS length, min(q) AS period FROM island WHERE same >= q AND same + q >= 12 GROUP BY ALL),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM run),
+kept AS (SELECT word.doc_id, string_agg(x, ' ' ORDER BY word.i) AS s FROM word
+         LEFT JOIN gone ON word.doc_id = gone.doc_id AND word.i = gone.i WHERE gone.i IS NULL GROUP BY word.doc_id),
+best AS (SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1),
+told AS (SELECT doc_id, count(*) AS n, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS s FROM run GROUP BY doc_id)
+SELECT t.doc_id, coalesce(told.n, 0) AS n_runs, start, CAST(length AS BIGINT) AS length, period, 1000 * length // period AS exponent_milli,
+sha256(coalesce(told.s, '')) AS runs_sha256, sha256(coalesce(kept.s, '')) AS collapsed_sha256
+FROM t LEFT JOIN kept ON t.doc_id = kept.doc_id LEFT JOIN told ON t.doc_id = told.doc_id LEFT JOIN best ON t.doc_id = best.doc_id
+"""
+
 ORACLES = {
     "op1_bm25_search": SEARCH, "op2_source_mixing": MIXING, "op3_lattice_near_dedup": VECTORS, "op5_minhash_near_dedup": SHINGLES,
-    "op7_secret_scan": _secrets(), "op9_substring_dedup": WINDOWS,
+    "op7_secret_scan": _secrets(), "op9_substring_dedup": WINDOWS, "op13_periodic_runs": RUNS,
 }

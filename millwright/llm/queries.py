@@ -7,7 +7,9 @@ import os
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millwright.llm import language, lattice, mixing, near_dups, oracle, packing, search, secrets, substrings, toxicity, urls
+from millwright.llm import (
+    language, lattice, mixing, near_dups, oracle, packing, periodic, search, secrets, substrings, toxicity, urls,
+)
 
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -76,6 +78,19 @@ def op10_toxicity(spark, folder):
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op13_periodic_runs(spark, folder):
+    """Runs of all documents, of which one in ten was given a periodic tail."""
+    found = periodic.collapse_runs(periodic.with_periodic_tails(table(spark, folder, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    top = periodic.longest_run()
+    length = -top["order"]
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), top["start"].alias("start"), length.alias("length"), top["period"].alias("period"),
+        F.floor(length * 1000 / top["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("kept_text", 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)
 
@@ -93,7 +108,8 @@ QUERIES = {
     f.__name__: _query(f)
     for f in (
         op1_bm25_search, op2_source_mixing, op3_lattice_near_dedup, op4_url_filter, op5_minhash_near_dedup,
-        op6_language_id, op7_secret_scan, op8_best_fit_packing, op9_substring_dedup, op10_toxicity, pipeline,
+        op6_language_id, op7_secret_scan, op8_best_fit_packing, op9_substring_dedup, op10_toxicity,
+        op13_periodic_runs, pipeline,
     )
 }
 
