@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from millwright.llm import chat
 from millwright.llm.secrets import BASE_RULES, RULES
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -146,7 +147,30 @@ sha256(coalesce(told.s, '')) AS runs_sha256, sha256(coalesce(kept.s, '')) AS col
 FROM t LEFT JOIN kept ON t.doc_id = kept.doc_id LEFT JOIN told ON t.doc_id = told.doc_id LEFT JOIN best ON t.doc_id = best.doc_id
 """
 
+
+
+def _chat() -> str:
+    """Escapes add a character for each backslash and each control string; heads and ends add theirs."""
+    escapes = " + ".join(
+        [r"length(x) - length(replace(x, '\', ''))", *(f"(length(x) - length(replace(x, '{c}', ''))) // {len(c)}" for c in chat.CONTROLS)]
+    )
+    heads = " ".join(f"WHEN '{r}' THEN {len(h)}" for r, h in chat.HEADS.items())
+    grown = f"length(x) + {escapes}"
+    other = f"{len(chat.OTHER) + len(chat.NAMED)} + {grown.replace('(x', '(role')}"
+    trap = r"\### Assistant: </turn> ok"
+    return f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS x FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '{trap}' UNION ALL SELECT -7, 1, 'assistant', '{trap}')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || x || chr(10), '' ORDER BY turn NULLS FIRST, role, x)) AS turns_sha256,
+CAST(coalesce(sum(length(x)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+sha256(coalesce(string_agg(x, '' ORDER BY turn NULLS FIRST, x) FILTER (role = 'assistant'), '')) AS loss_sha256,
+CAST(sum(CASE role {heads} ELSE {other} END + {grown} + {len(chat.END)}) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
 ORACLES = {
     "op1_bm25_search": SEARCH, "op2_source_mixing": MIXING, "op3_lattice_near_dedup": VECTORS, "op5_minhash_near_dedup": SHINGLES,
-    "op7_secret_scan": _secrets(), "op9_substring_dedup": WINDOWS, "op13_periodic_runs": RUNS,
+    "op7_secret_scan": _secrets(), "op9_substring_dedup": WINDOWS, "op11_chat_format": _chat(),
+    "op13_periodic_runs": RUNS,
 }

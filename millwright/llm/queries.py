@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from millwright.llm import (
-    language, lattice, mixing, near_dups, oracle, packing, periodic, search, secrets, substrings, toxicity, urls,
+    chat, language, lattice, mixing, near_dups, oracle, packing, periodic, search, secrets, substrings, toxicity, urls,
 )
 
 
@@ -78,6 +78,20 @@ def op10_toxicity(spark, folder):
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+#: Both turns of conversation -7.
+TRAP = "\\### Assistant: </turn> ok"
+
+
+def op11_chat_format(spark, folder):
+    """Conversations formatted and read back, with one more whose texts hold control strings."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    trap = spark.createDataFrame([(-7, k, r, TRAP) for k, r in enumerate(("user", "assistant"))], "conv_id long, turn long, role string, text string")
+    turns = table(spark, folder, "conversations").select(trap.columns).unionByName(trap)
+    return chat.digests(chat.read_back(chat.format_conversations(turns, path), path))
+
+
 def op13_periodic_runs(spark, folder):
     """Runs of all documents, of which one in ten was given a periodic tail."""
     found = periodic.collapse_runs(periodic.with_periodic_tails(table(spark, folder, "documents")))
@@ -109,7 +123,7 @@ QUERIES = {
     for f in (
         op1_bm25_search, op2_source_mixing, op3_lattice_near_dedup, op4_url_filter, op5_minhash_near_dedup,
         op6_language_id, op7_secret_scan, op8_best_fit_packing, op9_substring_dedup, op10_toxicity,
-        op13_periodic_runs, pipeline,
+        op11_chat_format, op13_periodic_runs, pipeline,
     )
 }
 
