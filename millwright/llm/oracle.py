@@ -148,6 +148,25 @@ FROM t LEFT JOIN kept ON t.doc_id = kept.doc_id LEFT JOIN told ON t.doc_id = tol
 """
 
 
+#: Every prefix is spelled by the hashes of its turns; a subtree is found by the prefixes of each node.
+TRIE = f"""
+WITH t AS (SELECT conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id, strlen(coalesce(text, '')) AS z FROM conversations),
+seq AS (SELECT conv_id, list(id ORDER BY turn NULLS FIRST, id) AS ids, list(z ORDER BY turn NULLS FIRST, id) AS zs,
+        any_value({crc32("CAST(conv_id AS VARCHAR)")}) % 9 AS h FROM t WHERE conv_id IS NOT NULL GROUP BY conv_id),
+made AS (SELECT s.conv_id, list_concat(coalesce(b.ids, [])[1:s.h], s.ids[s.h + 1:]) AS ids, list_concat(coalesce(b.zs, [])[1:s.h], s.zs[s.h + 1:]) AS zs
+         FROM seq s LEFT JOIN seq b ON b.conv_id = s.conv_id - s.conv_id % 5),
+path AS (SELECT conv_id, len(ids) AS n, d, array_to_string(ids[1:d], '') AS k, CASE WHEN d > 0 THEN zs[d] ELSE 0 END AS z
+         FROM (SELECT *, unnest(range(0, len(ids) + 1)) AS d FROM made)),
+node AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(z) AS saved, left(k, CAST(32 * (d - 1) AS BIGINT)) AS up,
+         string_agg(conv_id, ',' ORDER BY conv_id) FILTER (d = n) AS e FROM path GROUP BY k, d),
+kid AS (SELECT up AS k, count(*) AS n FROM node WHERE d > 0 GROUP BY up),
+whole AS (SELECT node.*, coalesce(kid.n, 0) AS n_children FROM node LEFT JOIN kid ON node.k = kid.k),
+sub AS (SELECT left(k, CAST(32 * a AS BIGINT)) AS k, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+        FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM whole) GROUP BY 1)
+SELECT f.conv_id, f.d AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, sha256(coalesce(f.e, '')) AS ends_sha256
+FROM whole f JOIN sub ON f.k = sub.k LEFT JOIN node p ON f.d > 0 AND p.k = f.up
+"""
+
 
 def _chat() -> str:
     """Escapes add a character for each backslash and each control string; heads and ends add theirs."""
@@ -171,6 +190,6 @@ FROM t GROUP BY conv_id
 
 ORACLES = {
     "op1_bm25_search": SEARCH, "op2_source_mixing": MIXING, "op3_lattice_near_dedup": VECTORS, "op5_minhash_near_dedup": SHINGLES,
-    "op7_secret_scan": _secrets(), "op9_substring_dedup": WINDOWS, "op11_chat_format": _chat(),
+    "op7_secret_scan": _secrets(), "op9_substring_dedup": WINDOWS, "op11_chat_format": _chat(), "op12_prefix_trie": TRIE,
     "op13_periodic_runs": RUNS,
 }

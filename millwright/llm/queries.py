@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from millwright.llm import (
-    chat, language, lattice, mixing, near_dups, oracle, packing, periodic, search, secrets, substrings, toxicity, urls,
+    chat, language, lattice, mixing, near_dups, oracle, packing, periodic, prefix_trie, search, secrets, substrings, toxicity, urls,
 )
 
 
@@ -92,6 +92,11 @@ def op11_chat_format(spark, folder):
     return chat.digests(chat.read_back(chat.format_conversations(turns, path), path))
 
 
+def op12_prefix_trie(spark, folder):
+    """The trie of conversations that share their first turns with the first of five."""
+    return prefix_trie.prefix_trie(prefix_trie.share_heads(prefix_trie.sequences(table(spark, folder, "conversations"))))
+
+
 def op13_periodic_runs(spark, folder):
     """Runs of all documents, of which one in ten was given a periodic tail."""
     found = periodic.collapse_runs(periodic.with_periodic_tails(table(spark, folder, "documents")))
@@ -123,7 +128,7 @@ QUERIES = {
     for f in (
         op1_bm25_search, op2_source_mixing, op3_lattice_near_dedup, op4_url_filter, op5_minhash_near_dedup,
         op6_language_id, op7_secret_scan, op8_best_fit_packing, op9_substring_dedup, op10_toxicity,
-        op11_chat_format, op13_periodic_runs, pipeline,
+        op11_chat_format, op12_prefix_trie, op13_periodic_runs, pipeline,
     )
 }
 
