@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
+    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
@@ -14,7 +20,7 @@ from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millwright.ml.features import onehot_stages, with_class_weight
@@ -62,47 +68,129 @@ def forest_regressor(train: DataFrame, trees: int = 300, depth: int = DEEPEST, l
     return RandomForestRegressor(numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, seed=SEED).fit(train)
 
 
-def _patient(fit, validation: DataFrame, rounds: int, patience: int):
-    """The model of the best round before ``patience`` rounds without a smaller loss on ``validation``.
+def first_rounds(model, n: int):
+    """The model of the first ``n`` rounds of a fitted boosted classifier."""
+    spark = SparkSession.getActiveSession()
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(gateway.jvm.double, n)
+    for i, (tree, weight) in enumerate(zip(model._java_obj.trees()[:n], model.treeWeights[:n])):
+        trees[i], weights[i] = tree, weight
+    short = jvm.org.apache.spark.ml.classification.GBTClassificationModel(model.uid, trees, weights, model.numFeatures, 2)
+    return model._copyValues(GBTClassificationModel(short))
+
+
+def _leaf_values(tree) -> list[float]:
+    """Predictions of a tree's leaves in the order of their numbers, left to right."""
+    out, todo = [], [tree.rootNode()]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "LeafNode":
+            out.append(node.prediction())
+        else:
+            todo += [node.rightChild(), node.leftChild()]
+    return out
+
+
+def _score_counts(batches: Iterator[pa.RecordBatch], values: np.ndarray, bins: int) -> Iterator[pa.RecordBatch]:
+    """Weight of either class per (round, score bin) of one batch of leaf numbers."""
+    rounds = len(values)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        leaves = batch["leaves"].values.to_numpy().reshape(batch.num_rows, rounds).astype(np.int64)
+        margin = np.cumsum(values[np.arange(rounds), leaves], axis=1)
+        place = np.minimum((bins / (1 + np.exp(-2 * margin))).astype(np.int64), bins - 1) + np.arange(rounds) * bins
+        weight, positive = (batch[c].to_numpy(zero_copy_only=False) for c in ("weight", "label"))
+        weight = np.repeat(weight.astype(float)[:, None], rounds, axis=1)
+        counts = [np.bincount(place.ravel(), (weight * (positive == c)[:, None]).ravel(), rounds * bins) for c in (1, 0)]
+        seen = np.flatnonzero(counts[0] + counts[1])
+        columns = [seen // bins, seen % bins, counts[0][seen], counts[1][seen]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["round", "bin", "hits", "misses"])
+
+
+def pr_auc_by_round(model, rows: DataFrame, bins: int = 4096) -> list[float]:
+    """Average precision on ``rows`` (features, label, weight) after each round.
+
+    Scores are counted in ``bins`` equal parts of the probability; scores of one part tie.
+    """
+    model = model.copy()
+    model.setLeafCol("_leaf")
+    values = [[w * v for v in _leaf_values(t)] for t, w in zip(model._java_obj.trees(), model.treeWeights)]
+    table = np.zeros((len(values), max(map(len, values))))
+    for i, row in enumerate(values):
+        table[i, : len(row)] = row
+    leaves = model.transform(rows).select(vector_to_array("_leaf").alias("leaves"), "label", "weight")
+    counted = leaves.mapInArrow(partial(_score_counts, values=table, bins=bins), "round long, bin long, hits double, misses double")
+    bin_sums = counted.groupBy("round", "bin").agg(F.sum("hits").alias("hits"), F.sum("misses").alias("misses"))
+    down = Window.partitionBy("round").orderBy(F.desc("bin"))
+    summed = bin_sums.select("round", "hits", F.sum("hits").over(down).alias("found"), F.sum(F.col("hits") + F.col("misses")).over(down).alias("seen"))
+    area = summed.groupBy("round").agg((F.sum(F.col("hits") * F.col("found") / F.col("seen")) / F.sum("hits")).alias("area"))
+    return [r["area"] for r in area.orderBy("round").collect()]
+
+
+def _log_loss_by_round(model, rows: DataFrame) -> list[float]:
+    return [-loss for loss in model.evaluateEachIteration(rows)]
+
+
+#: What early stopping watches; greater is better.
+WATCHED = {"log_loss": _log_loss_by_round, "pr_auc": pr_auc_by_round}
+
+
+def _patient(fit, watched, rounds: int, patience: int):
+    """The model of the best round before ``patience`` rounds without a better value.
 
     ``fit`` takes a number of rounds. Rounds do not depend on how many follow, so a short fit
-    is the beginning of a long one: the number is doubled until the stop lies inside it.
+    is the beginning of a long one: the number is doubled until the stop lies inside it, and
+    the best model is the first rounds of the one that was fitted.
     """
     tried = min(rounds, 2 * patience)
     while True:
         model = fit(tried)
-        best, least = 1, float("inf")
-        for n, loss in enumerate(model.evaluateEachIteration(validation), 1):
-            if loss < least:
-                best, least = n, loss
+        best, most = 1, float("-inf")
+        for n, value in enumerate(watched(model), 1):
+            if value > most:
+                best, most = n, value
             elif n - best >= patience:
-                return fit(best)
+                return first_rounds(model, best)
         if tried == rounds:
-            return model if best == rounds else fit(best)
+            return model if best == rounds else first_rounds(model, best)
         tried = min(rounds, 2 * tried)
 
 
 def boosted_classifier(
     train: DataFrame, rounds: int = 100, depth: int = 3, rate: float = 0.1,
     validation: DataFrame | None = None, positive_weight: float | None = None, patience: int | None = None,
+    watch: str = "log_loss", rows: float = 1.0, columns: float = 1.0, least: int = 1,
 ):
     """Gradient boosting; with ``validation`` rounds stop when its error no longer improves.
 
-    With ``patience`` they stop when it has not improved for so many rounds, and the model of
-    the best round is returned.
+    With ``patience`` they stop when ``watch`` (``WATCHED``) has not improved on
+    ``validation`` for so many rounds, and the model of the best round is returned. Every
+    round draws a share of ``rows``, every split looks at a share of ``columns``, and a leaf
+    has at least ``least`` rows.
     """
     weight = F.when(F.col("label") == 1, F.lit(positive_weight or 1.0)).otherwise(F.lit(1.0))
     if patience is not None:
         if validation is None:
             raise ValueError("patience needs validation rows")
-        return _patient(
-            lambda n: boosted_classifier(train, n, depth, rate, positive_weight=positive_weight),
-            validation.withColumn("weight", weight), rounds, patience,
-        )
+        weighted = validation.withColumn("weight", weight).persist()
+        known = train.persist()
+        try:
+            return _patient(
+                lambda n: boosted_classifier(known, n, depth, rate, positive_weight=positive_weight, rows=rows, columns=columns, least=least),
+                lambda model: WATCHED[watch](model, weighted), rounds, patience,
+            )
+        finally:
+            weighted.unpersist()
+            known.unpersist()
     df = train.withColumn("_held", F.lit(False))
     if validation is not None:
         df = df.unionByName(validation.withColumn("_held", F.lit(True)))
-    booster = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=rate, seed=SEED)
+    booster = GBTClassifier(
+        maxIter=rounds, maxDepth=depth, stepSize=rate, seed=SEED, subsamplingRate=rows, minInstancesPerNode=least,
+        featureSubsetStrategy="all" if columns == 1.0 else str(columns),
+    )
     if positive_weight:
         df = df.withColumn("weight", weight)
         booster.setWeightCol("weight")

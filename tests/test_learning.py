@@ -80,3 +80,38 @@ def test_patience_returns_the_best_round(spark):
     got = R.boosted_classifier(train, 12, 3, 0.5, held, 2.0, patience=3)
     assert got.getNumTrees == best + 1 < 12
     assert [t.toDebugString.split("\n", 1)[1] for t in got.trees] == [t.toDebugString.split("\n", 1)[1] for t in full.trees[: best + 1]]
+
+
+def test_pr_auc_of_every_round(spark):
+    held = blobs_of(spark, 1, noise=1.5).selectExpr("*", "if(label = 1, 2.0D, 1.0D) AS weight")
+    model = R.boosted_classifier(blobs_of(spark, 0, noise=1.5), 8, 3, 0.5, rows=0.8, columns=0.8, least=5)
+    got = R.pr_auc_by_round(model, held)
+    want = []
+    for n in range(1, 9):
+        short = R.first_rounds(model, n)
+        assert short.getNumTrees == n
+        rows = [(r.risk_score, r.label, r.weight) for r in R.risk_scores(short, held).collect()]
+        # Scores of one bin tie, as they do in the operator.
+        levels = sorted({int(4096 * s) for s, *_ in rows}, reverse=True)
+        found = seen = area = 0.0
+        for level in levels:
+            here = [(y, w) for s, y, w in rows if int(4096 * s) == level]
+            hits = sum(w for y, w in here if y == 1)
+            found, seen = found + hits, seen + sum(w for _, w in here)
+            area += hits * found / seen
+        want.append(area / sum(w for _, y, w in rows if y == 1))
+    np.testing.assert_allclose(got, want, atol=1e-9)
+
+
+def test_patience_watches_pr_auc(spark):
+    held, train = blobs_of(spark, 1, noise=1.5), blobs_of(spark, 0, noise=1.5)
+    full = R.boosted_classifier(train, 20, 3, 0.5, rows=0.8)
+    areas = R.pr_auc_by_round(full, held.selectExpr("*", "1.0D AS weight"))
+    best = 0
+    for i, area in enumerate(areas):
+        if area > areas[best]:
+            best = i
+        elif i - best >= 4:
+            break
+    got = R.boosted_classifier(train, 20, 3, 0.5, held, patience=4, watch="pr_auc", rows=0.8)
+    assert got.getNumTrees == best + 1
