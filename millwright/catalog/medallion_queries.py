@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from millwright import schemas as S
 from millwright.catalog import oracle as Q
-from millwright.catalog.registry import query
+from millwright.catalog.registry import ORACLES, query
 from millwright.operators import merge as G
 from millwright.plans import medallion as M
-from millwright.session import materialise
+from millwright.plans.incremental import Warehouse
+from millwright.session import materialise, scratch_path
 
 SILVER_NAMES = [n for _, n, _ in S.SILVER_NUMBERS]
 SILVER_SQL = ", ".join(f"{Q.dbl('s_' + n)} AS {n}" for n in SILVER_NAMES)
@@ -136,10 +137,12 @@ UNION ALL SELECT 'dim_defect', defect_id, max(coalesce({Q.txt('defect_type')}, '
 @query("dim_build", Q.sql(DIM_SQL, **STG))
 def _dims(t):
     """All seven dimensions as (dim, key, attributes) text rows."""
-    stg = materialise(M.staging(t.bronze()).drop("payload"), "staging")
+    return dimension_text(M.dimensions(M.staging(t.bronze())))
+
+
+def dimension_text(dims):
     out = []
-    for name, build in M.DIMENSIONS.items():
-        df = build(stg)
+    for name, df in dims.items():
         text = [F.col(c).cast("string") for c in df.columns] + [F.lit(None).cast("string")] * (6 - len(df.columns))
         out.append(df.select(F.lit(name).alias("dim"), *[c.alias(n) for c, n in zip(text, ["key", *"abcde"])]))
     return reduce(DataFrame.unionByName, out)
@@ -262,3 +265,101 @@ def _partial(t):
     return M.upsert_fact("fact_maintenance", old, new).select(
         "bronze_event_id", "maintenance_cost", "predicted_failure_probability", "failure_type"
     )
+
+
+# ------------------------------------------------------------------ loads
+def keyed(bronze):
+    """Envelopes with the hash that tells them from others."""
+    return bronze.withColumn("payload_hash", F.sha2(F.to_json(F.struct("bronze_event_id", "source_system", "source_file", "payload")), 256))
+
+
+def two_loads(t, bronze, early, *steps):
+    """A warehouse after the ``early`` events, then all events, went through the steps."""
+    events = materialise(keyed(bronze), "events")
+    house = Warehouse(t.spark, scratch_path(t.spark, "warehouse"), buckets=8)
+    for part in (events.where(early), events):
+        fresh = house.load_bronze(part)
+        for step in steps:
+            step(house, fresh)
+        house.store.commit()
+    return house
+
+
+#: Events of the first load: a timestamp text before this year, or none.
+EARLY = "coalesce(payload['timestamp'], '') < '{}'"
+
+
+def fact_steps(*names):
+    return [lambda house, fresh, n=n: house.load_fact(n, M.staging(fresh)) for n in names]
+
+
+@query("load_twice_production", ORACLES["fact_production"])
+def _load_production(t):
+    """Production after two loads, the second of which repeats the first."""
+    house = two_loads(t, t.bronze_mes(), EARLY.format("1998"), *fact_steps("fact_production"))
+    return house.read("fact_production")
+
+
+@query("load_twice_energy", ORACLES["fact_energy"])
+def _load_energy(t):
+    """Energy per good piece, when energy comes first and most production with the second load."""
+    steps = fact_steps("fact_production", "fact_energy")
+    bronze = t.bronze_mes().unionByName(t.bronze_energy())
+    early = f"source_system = 'energie' OR {EARLY.format('1996')}"
+    house = two_loads(t, bronze, early, *steps, lambda house, _: house.load_energy_per_piece())
+    return house.read("fact_energy")
+
+
+@query("load_twice_health", ORACLES["machine_health_daily"])
+def _load_health(t):
+    """Daily health after two loads that share days: the second adds the erroneous and the late half of them."""
+    house = two_loads(
+        t, t.bronze_events(), "coalesce(payload['Temperature_C'], '0') < '5'", lambda house, fresh: house.load_health(house.load_silver(fresh))
+    )
+    return house.read("machine_health_daily")
+
+
+@query("load_twice_dimensions", ORACLES["dim_build"])
+def _load_dimensions(t):
+    """All dimensions after two loads, by the rule of each."""
+    house = two_loads(t, t.bronze(), EARLY.format("1998"), lambda house, fresh: house.load_dimensions(M.staging(fresh)))
+    return dimension_text({name: house.read(name) for name in M.DIMENSIONS})
+
+
+@query(
+    "load_twice_counts",
+    Q.sql("""SELECT 1 AS load, count(*) FILTER (early) AS inserted FROM b UNION ALL SELECT 2, count(*) FILTER (NOT early) FROM b""",
+          b="SELECT coalesce(timestamp_txt, '') < '2024-01-15' AS early FROM scada_raw"),
+)
+def _load_counts(t):
+    """New bronze events of each load; the second brings the first ones again."""
+    events = materialise(keyed(t.bronze_events()), "events")
+    house = Warehouse(t.spark, scratch_path(t.spark, "warehouse"), buckets=8)
+    rows = None
+    for number, part in enumerate((events.where(EARLY.format("2024-01-15")), events), 1):
+        one = house.load_bronze(part).agg(F.lit(number).alias("load"), F.count(F.lit(1)).alias("inserted"))
+        rows = one if rows is None else rows.unionByName(one)
+        house.store.commit()
+    return rows
+
+
+def _rule(name, sql):
+    """Registers the rule of one dimension over nations that come twice, changed the second time."""
+
+    @query(name, sql)
+    def run(t):
+        nation = t.read("nation").withColumn("n_nationkey", F.col("n_nationkey").cast("long"))
+        old = nation.where("n_regionkey < 3").select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("a"), F.col("n_regionkey").alias("b"))
+        new = nation.where("n_regionkey > 0").select(
+            F.col("n_nationkey").alias("key"), F.when(F.col("n_regionkey") != 1, F.lower("n_name")).alias("a"), (F.col("n_regionkey") + 10).alias("b")
+        )
+        return M.upsert_dimension({"insert": "dim_defect", "overwrite": "dim_shift"}[name.rsplit("_", 1)[1]], old, new)
+
+
+KNOWN = "SELECT n_nationkey AS key, CASE WHEN n_regionkey < 3 THEN {} ELSE {} END AS a, CASE WHEN n_regionkey < 3 THEN {} ELSE {} END AS b FROM nation"
+_rule("dim_upsert_insert", KNOWN.format("n_name", "lower(n_name)", "n_regionkey", "n_regionkey + 10"))
+_rule(
+    "dim_upsert_overwrite",
+    """SELECT n_nationkey AS key, CASE WHEN n_regionkey = 0 THEN n_name WHEN n_regionkey <> 1 THEN lower(n_name) END AS a,
+       CASE WHEN n_regionkey = 0 THEN n_regionkey ELSE n_regionkey + 10 END AS b FROM nation""",
+)

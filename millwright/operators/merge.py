@@ -23,11 +23,13 @@ def merge(
     keys: list[str],
     update_columns: list[str],
     keep_old_when_null: bool = False,
+    combine=None,
 ) -> DataFrame:
     """Table after ``new`` (unique on ``keys``) has been upserted into ``old``.
 
     Matched rows take ``update_columns`` from ``new`` and everything else from ``old``;
-    with ``keep_old_when_null`` a null in ``new`` does not erase an old value.
+    with ``keep_old_when_null`` a null in ``new`` does not erase an old value, and with
+    ``combine(old, new)`` an updated column is made of both.
     """
     o = old.withColumn("_in_old", F.lit(True)).alias("o")
     n = new.withColumn("_in_new", F.lit(True)).alias("n")
@@ -40,7 +42,7 @@ def merge(
         if c in keys:
             return F.coalesce(before, after)
         if c in update_columns:
-            value = F.coalesce(after, before) if keep_old_when_null else after
+            value = combine(before, after) if combine else F.coalesce(after, before) if keep_old_when_null else after
             return F.when(matched, value).when(is_new, after).otherwise(before)
         return F.when(is_new, after).otherwise(before)
 

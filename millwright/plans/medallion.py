@@ -173,6 +173,53 @@ DIMENSIONS = {
 }
 
 
+#: Of every dimension: its key, and its attributes among the shared text, number and day columns.
+_DIM_ROWS = {
+    "dim_date": ("date_id", "date_id", {}, {}, "to_date(ts)"),
+    "dim_plant": ("plant_id", "plant_id", {"plant_name": "plant_name", "country": "country"}, {}, None),
+    "dim_line": ("production_line_id", "line_id", {"plant_id": "plant_id", "line_name": "line_name"}, {}, None),
+    "dim_shift": ("shift_id", "shift_id", {c: c for c in ("shift_name", "start_hour", "end_hour")}, {}, None),
+    "dim_product": ("product_id", "product_id", {"product_name": "product_name", "product_family": "product_family"}, {}, None),
+    "dim_machine": (
+        "machine_id", "machine_id", {"production_line_id": "line_id", "machine_type": "machine_type"},
+        {"installation_year": "installation_year"}, None,
+    ),
+    "dim_defect": ("defect_id", "defect_id", {c: c for c in ("defect_type", "defect_category", "defect_severity")}, {}, None),
+}
+
+
+def dimension_rows(stg: DataFrame) -> DataFrame:
+    """(dim, key, text attributes a, b, c, number, day) of all dimensions from one scan.
+
+    Every event emits its row of each dimension. Equal rows are first joined by a hash
+    aggregate, on the map side too, so that a shift or defect with a large share of the
+    events moves as one row per task; only then is the largest value of each attribute taken.
+    """
+    rows = []
+    for name, (_, key, texts, numbers, day) in _DIM_ROWS.items():
+        a, b, c = [*texts.values(), *["CAST(NULL AS string)"] * (3 - len(texts))]
+        number = next(iter(numbers.values()), "CAST(NULL AS int)")
+        rows.append(
+            f"named_struct('dim', '{name}', 'key', CAST({key} AS string), 'a', {a}, 'b', {b}, 'c', {c}, 'number', {number}, "
+            f"'day', {day or 'CAST(NULL AS date)'})"
+        )
+    every = stg.selectExpr(f"inline(array({', '.join(rows)}))").filter("key IS NOT NULL").distinct()
+    return every.groupBy("dim", "key").agg(*[F.max(c).alias(c) for c in ("a", "b", "c", "number", "day")])
+
+
+def dimensions(stg: DataFrame) -> dict[str, DataFrame]:
+    """All dimensions, from one stored pass over the staged events."""
+    rows = materialise(dimension_rows(stg), "dimensions")
+    out = {}
+    for name, (key, source, texts, numbers, _) in _DIM_ROWS.items():
+        attributes = [f"{c} AS {n}" for c, n in zip("abc", texts)] + [f"number AS {n}" for n in numbers]
+        if name == "dim_date":
+            attributes = ["day AS date", "year(day) AS year", "month(day) AS month", "dayofmonth(day) AS day", "weekofyear(day) AS week"]
+        kind = stg.schema[source].dataType.simpleString()
+        out[name] = rows.filter(F.col("dim") == name).selectExpr(f"CAST(key AS {kind}) AS {key}", *attributes)
+    return out
+
+
 # ---------------------------------------------------------------- facts
 def _events(stg: DataFrame, system: str) -> DataFrame:
     return stg.filter(f"source_system = '{system}' AND is_biz")
@@ -301,15 +348,13 @@ def upsert_fact(name: str, old: DataFrame, new: DataFrame) -> DataFrame:
 def build_gold(bronze: DataFrame, existing: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """All dimensions and facts, upserted over ``existing`` tables when given.
 
-    The keys of all seven dimensions are derived once and stored; the facts read ``bronze``,
-    which should be a stored table too.
+    The dimensions come from one pass over ``bronze``, which should be a stored table; each
+    fact reads the payloads of its own source.
     """
     existing = existing or {}
     stg = staging(bronze)
-    keys = materialise(stg.drop("payload"), "staging")
     gold = {}
-    for name, build in DIMENSIONS.items():
-        new = build(keys)
+    for name, new in dimensions(stg).items():
         gold[name] = upsert_dimension(name, existing[name], new) if name in existing else new
     for name, build in FACTS.items():
         new = build(stg)
