@@ -11,21 +11,44 @@ from millwright.catalog.registry import query
 from millwright.catalog.source_queries import write_lake
 from millwright.operators.ordered import latest_by
 from millwright.plans import medallion as M
-from millwright.session import scratch_path
-from millwright.sources.lake import with_payload
+from millwright.session import materialise, scratch_path
+from millwright.sources.lake import stamp_ingest_time, with_payload
+from millwright.sources.stored import Store
 from millwright.streaming import jobs as J
 
 
-def stream(t, name):
-    return J.read_table(t.spark, t.folder, f"{name}.parquet", t.read(name).schema)
+#: Days after which files of the events land; errors arrive eight days late.
+LANDINGS = ["2024-01-06", "2024-01-12", "2024-01-18", "2024-01-24"]
+ARRIVAL = "ts + CASE WHEN event_type = 'error' THEN INTERVAL 8 DAYS ELSE INTERVAL 0 DAYS END"
 
 
-def raw_stream(t):
-    return t.as_raw(stream(t, "events").withColumn("k", F.expr(K)))
+def landed(t, name, order, cuts):
+    """The table as files that landed one after the other, cut along ``order``."""
+    df, path = t.read(name), scratch_path(t.spark, f"{name}-files")
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = df if low is None else df.where(F.expr(order) >= F.lit(low))
+        part = part if high is None else part.where(F.expr(order) < F.lit(high))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
 
 
-def bronze_stream(t):
-    return with_payload(raw_stream(t))
+def stream(t, name, path=None):
+    """The table as a stream, or its landed files, one in each micro-batch."""
+    if path is None:
+        return J.read_table(t.spark, t.folder, f"{name}.parquet", t.read(name).schema)
+    return J.read_table(t.spark, path, "*.parquet", t.read(name).schema, 1)
+
+
+def raw_stream(t, path=None):
+    return t.as_raw(stream(t, "events", path).withColumn("k", F.expr(K)))
+
+
+def bronze_stream(t, path=None):
+    return with_payload(raw_stream(t, path))
+
+
+def landed_events(t):
+    return landed(t, "events", ARRIVAL, LANDINGS)
 
 
 def done(started) -> None:
@@ -36,34 +59,58 @@ def places(t, name):
     return scratch_path(t.spark, name), scratch_path(t.spark, f"{name}-checkpoint")
 
 
-@query("stream_ingest_bronze", Q.sql("SELECT source_file, source_system, count(*) AS n FROM scada_raw GROUP BY 1, 2"))
+CONTENT = "source_file, source_system, Operational_Hours AS row, machine_txt AS machine, CAST(Temperature_C AS DOUBLE) AS temperature, Rul AS rul"
+
+
+@query("stream_ingest_bronze", Q.sql(f"SELECT {CONTENT} FROM scada_raw"))
 def _ingest(t):
     """The lake's JSON lines into a bronze table."""
     out, checkpoint = places(t, "bronze")
     lines = J.read_lines(t.spark, f"{write_lake(t)}/industrial_raw.jsonl", "*")
     done(J.append_to(J.ingest(lines), out, checkpoint))
-    return t.spark.read.parquet(out).groupBy("source_file", "source_system").agg(F.count(F.lit(1)).alias("n"))
+    return shown(t.spark.read.parquet(out))
+
+
+def shown(bronze, *more):
+    p = F.col("payload")
+    return bronze.select(
+        "source_file", "source_system", p["Operational_Hours"].alias("row"), p["machine_id"].alias("machine"),
+        p["Temperature_C"].cast("double").alias("temperature"), p["Remaining_Useful_Life_days"].alias("rul"), *more,
+    )
 
 
-@query("stream_jsonl_sink", Q.sql("SELECT source_system, count(*) AS n FROM scada_raw GROUP BY 1"))
+@query("stream_jsonl_sink", Q.sql(f"SELECT {CONTENT}, TRUE AS stamped FROM scada_raw"))
 def _jsonl(t):
+    """Envelopes stamped with their ingest time as JSON lines, read back with their content."""
     out, checkpoint = places(t, "jsonl")
-    done(J.append_to(raw_stream(t), out, checkpoint, "json"))
-    return t.spark.read.json(out).groupBy("source_system").agg(F.count(F.lit(1)).alias("n"))
+    envelopes = stamp_ingest_time(bronze_stream(t).select("source_file", "source_system", "payload"))
+    done(J.append_to(envelopes, out, checkpoint, "json"))
+    stamped = F.col("datalake_ingested_at").try_cast("timestamp").isNotNull().alias("stamped")
+    return shown(t.spark.read.schema(envelopes.schema).json(out), stamped)
 
 
 @query("stream_dedup", Q.sql("SELECT event_type, k, user_id FROM ev GROUP BY ALL"))
 def _dedup(t):
-    """Events that repeat type, user and content are kept once; the delay covers the whole table."""
+    """Events that repeat type, user and content are kept once.
+
+    The stream's state covers two days; older repeats meet the stored table, and rows that
+    came too late for the stream are added from the raw rows afterwards.
+    """
     from millwright.functions.parse import payload_hash
 
-    out, checkpoint = places(t, "dedup")
-    events = stream(t, "events").select(
+    path = landed_events(t)
+    events = stream(t, "events", path).select(
         F.col("ts").cast("timestamp").alias("ts"), "event_type", "user_id", F.expr(K).alias("k")
     )
     hashed = events.withColumn("payload_hash", payload_hash(F.to_json(F.struct("event_type", "user_id", "k"))))
-    done(J.append_to(J.deduplicated(hashed, "ts", "400 days"), out, checkpoint))
-    return t.spark.read.parquet(out).select("event_type", "k", "user_id")
+    raw, raw_checkpoint = places(t, "raw")
+    done(J.append_to(hashed, raw, raw_checkpoint))
+    store = Store(t.spark, scratch_path(t.spark, "store"), 8)
+    unique = J.deduplicated(hashed, "ts", "2 days")
+    done(J.store_new(unique, store, "events", ["payload_hash"], ["payload_hash"], scratch_path(t.spark, "checkpoint")))
+    store.append("events", t.spark.read.parquet(raw), ["payload_hash"])
+    store.commit()
+    return store.read("events").select("event_type", "k", "user_id")
 
 
 @query(
@@ -78,13 +125,21 @@ def _silver(t):
 
 @query("stream_machine_health", Q.sql(HEALTH_SQL))
 def _health(t):
-    """Daily health as a stream; equals the batch result when nothing is too late."""
+    """Daily health as a stream whose state expires after two days; errors come a week late.
+
+    The readings are stored by day as well, and the groups that lack late ones are
+    recomputed from there.
+    """
+    path = landed_events(t)
     out, checkpoint = places(t, "health")
-    health = J.machine_health(J.silver(bronze_stream(t)), "60 days")
-    done(J.log_changes(health, out, checkpoint, "update"))
+    done(J.log_changes(J.machine_health(J.silver(bronze_stream(t, path)), "2 days"), out, checkpoint, "update"))
+    store = Store(t.spark, scratch_path(t.spark, "store"), 8)
+    readings = J.silver(bronze_stream(t, path)).withColumn("event_date", F.to_date("event_ts"))
+    done(J.store_new(readings, store, "silver", ["bronze_event_id"], ["event_date"], scratch_path(t.spark, "checkpoint")))
     log = J.read_log(t.spark, out)
     measures = [c for c in log.columns if c not in ("snapshot_date", "machine_id", "batch_id")]
-    return J.resolve(log, ["snapshot_date", "machine_id"], measures)
+    health = J.resolve(log, ["snapshot_date", "machine_id"], measures)
+    return J.with_late_rows(materialise(health, "health"), store.read("silver"))
 
 
 @query("stream_alerts", Q.sql("SELECT bronze_event_id, machine_id, alert_severity, alert_reason FROM fact_alerts"))
@@ -100,7 +155,7 @@ def _alerts(t):
 )
 def _latest(t):
     out, checkpoint = places(t, "latest")
-    readings = J.silver(bronze_stream(t)).select("machine_id", "event_ts", "bronze_event_id")
+    readings = J.silver(bronze_stream(t, landed_events(t))).select("machine_id", "event_ts", "bronze_event_id")
     done(J.latest_readings(readings, out, checkpoint, "machine_id", "event_ts", "bronze_event_id"))
     return latest_by(J.read_log(t.spark, out).drop("batch_id"), "machine_id", "event_ts", "bronze_event_id")
 
@@ -110,10 +165,18 @@ def _latest(t):
     "SELECT o_custkey, max(o_orderkey) AS last_order, min(o_orderkey) AS first_order FROM orders GROUP BY o_custkey",
 )
 def _upsert(t):
-    """Per-customer upserts of two micro-batch streams: the last order is updated, the first is kept."""
+    """Per-customer upserts in five micro-batches: the last order is updated, the first is kept.
+
+    The log is compacted into a base table after the third batch and its folders are deleted.
+    """
     out, checkpoint = places(t, "upsert")
     per_customer = lambda batch: batch.groupBy("o_custkey").agg(
         F.max("o_orderkey").alias("last_order"), F.min("o_orderkey").alias("first_order")
     )
-    done(J.log_changes(stream(t, "orders"), out, checkpoint, prepare=per_customer))
-    return J.resolve(J.read_log(t.spark, out), ["o_custkey"], ["last_order"])
+    most = t.read("orders").agg(F.max("o_orderkey")).first()[0]
+    path = landed(t, "orders", "o_orderkey", [most * k // 5 for k in range(1, 5)])
+    done(J.log_changes(stream(t, "orders", path), out, checkpoint, prepare=per_customer))
+    store, keys = Store(t.spark, scratch_path(t.spark, "store"), 8), ["o_custkey"]
+    J.compact_log(store, "customers", out, keys, ["last_order"], until=2)
+    J.drop_compacted(store, "customers", out)
+    return J.read_merged(store, "customers", out, keys, ["last_order"])
