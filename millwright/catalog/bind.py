@@ -49,9 +49,14 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def source(self, name: str, key: str) -> DataFrame:
+        """A table that poses as a raw source of many files; here it is one file of one or two row groups,
+        which a scan cannot divide, so its rows are dealt to the cores by their key."""
+        return self.read(name).repartition(self.spark.sparkContext.defaultParallelism, key)
+
     # ------------------------------------------------------------ readings
     def events(self) -> DataFrame:
-        return self.read("events").withColumn("k", F.expr(K))
+        return self.source("events", "event_id").withColumn("k", F.expr(K))
 
     READING = {
         "timestamp": "CASE WHEN k < 1 THEN '' ELSE date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\") END",
@@ -146,7 +151,7 @@ class Tables:
     }
 
     def bronze_mes(self) -> DataFrame:
-        lines = self.read("lineitem").join(
+        lines = self.source("lineitem", "l_orderkey").join(
             self.machines().select("s_suppkey", "n_nationkey", "n_regionkey"),
             F.col("l_suppkey") == F.col("s_suppkey"),
             "left",
@@ -182,11 +187,11 @@ class Tables:
     }
 
     def bronze_energy(self) -> DataFrame:
-        orders = self.read("orders").filter("o_orderstatus <> 'P'")
+        orders = self.source("orders", "o_orderkey").filter("o_orderstatus <> 'P'")
         return self._bronze(orders, "o_orderkey", "energie_business.csv", "energie", self.ENERGY)
 
     def bronze_maintenance(self) -> DataFrame:
-        orders = self.read("orders").filter("o_orderstatus = 'P'")
+        orders = self.source("orders", "o_orderkey").filter("o_orderstatus = 'P'")
         return self._bronze(orders, "o_orderkey", "gmao_business.csv", "gmao", self.MAINTENANCE)
 
     # ------------------------------------------------------------ reference rows
