@@ -1,12 +1,12 @@
 """Ordered analytics that never gather an unbounded group in one task.
 
 A window over a whole table, or over one very large machine, would run in a single
-task. Here the order column is cut at quantiles into chunks of bounded size, and a hot
-group is spread over its chunks. Each operator then works in two steps: a small summary
+task. Here the table is range-partitioned along the order column and stored once; each
+range is a chunk, and a hot group is spread over its chunks. Each operator then works in two steps: a small summary
 row per (group, chunk) is built by a partial aggregate and combined across chunks, and
-the rows are finished by a window inside their own chunk. The rows are shuffled once;
-only the summaries cross chunks. Tables of any size take this path; ``rows``, the rows of a
-chunk, is a parameter of every operator.
+the rows are finished by a window inside their own chunk; only the summaries cross chunks.
+Tables of any size take this path; ``rows``, the rows of a chunk, is a parameter of every
+operator.
 """
 
 from __future__ import annotations
@@ -16,15 +16,13 @@ from dataclasses import dataclass, replace
 from functools import reduce
 from operator import or_
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Rows of a chunk unless told otherwise: what one task sorts at ease.
-CHUNK_ROWS = 2_000_000
+from millwright.session import materialise
+
 CHUNK = "_chunk"
-SUB = "_sub"
 
 
 @dataclass
@@ -44,7 +42,7 @@ class Chunked:
         return F.struct(*parts)
 
     def keys(self, group: list[str]) -> list[str]:
-        return [*group, CHUNK, SUB]
+        return [*group, CHUNK]
 
     def inside(self, group: list[str]):
         """Rows of one group and chunk."""
@@ -77,51 +75,23 @@ def _number(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
-def _split_points(df: DataFrame, column: str, chunks: int) -> list[float]:
-    steps = [i / chunks for i in range(1, chunks)]
-    return df.approxQuantile(column, steps, 1 / (2 * chunks)) if steps else []
-
-
-def _bucketed(df: DataFrame, source: str, target: str, points: list[float]) -> DataFrame:
-    splits = [-math.inf, *points, math.inf]
-    if len(splits) < 3:
-        return df.withColumn(target, F.when(F.col(source).isNotNull(), F.lit(0.0)))
-    return Bucketizer(
-        splits=splits, inputCol=source, outputCol=target, handleInvalid="keep"
-    ).transform(df)
-
-
 def chunked(df: DataFrame, order: str, tie: str | None = None, rows: int | None = None) -> Chunked:
-    """Cut ``df`` along ``order`` into chunks of about ``rows`` rows.
+    """Cut ``df`` along ``order``, nulls last, ties along ``tie``, and store it with its chunks.
 
-    One value of ``order`` may hold a large share of the rows. Such a value (and null)
-    gets a chunk of its own, which is cut again along ``tie``.
+    Chunks are Spark's range partitions: of the size AQE gives partitions, or of about
+    ``rows`` rows. They follow the order, so a later chunk holds later rows, and a value of
+    ``order`` with a large share of the rows is cut along ``tie``. The input is evaluated
+    for this one exchange; summaries and rows read the stored chunks.
     """
-    chunks = max(1, math.ceil(df.select(order).count() / (rows or CHUNK_ROWS)))
-    df = df.withColumn("_x", _number(df, order))
-    points = _split_points(df.select("_x"), "_x", chunks)
-    repeated = {p for p, q in zip(points, points[1:]) if p == q}
-    closed = sorted({*points, *(math.nextafter(p, math.inf) for p in repeated)})
-    df = _bucketed(df, "_x", CHUNK, closed)
-    # A null order value leaves the bucketizer as null: keep it as the last chunk.
-    df = df.withColumn(CHUNK, F.coalesce(F.col(CHUNK), F.lit(float(len(closed) + 1))))
-    bucket_of = {p: float(i + 1) for i, p in enumerate(closed)}
-    heavy = [bucket_of[p] for p in sorted(repeated)] + [float(len(closed) + 1)]
-    in_heavy = F.col(CHUNK).isin(heavy)
-    if tie:
-        df = df.withColumn("_t", F.when(in_heavy, _number(df, tie)))
-        tie_points = sorted(set(_split_points(df.select("_t"), "_t", chunks)))
-        df = _bucketed(df, "_t", SUB, tie_points)
-        df = df.withColumn(SUB, F.when(in_heavy, F.col(SUB)).otherwise(F.lit(0.0))).fillna({SUB: 0.0})
-        df = df.drop("_t")
-    else:
-        df = df.withColumn(SUB, F.lit(0.0))
-    return Chunked(df.drop("_x"), order, tie)
+    keys = [F.col(order).isNull(), F.col(order), *([F.col(tie)] if tie else [])]
+    count = [max(1, math.ceil(df.select(order).count() / rows))] if rows else []
+    dealt = df.repartitionByRange(*count, *keys).withColumn(CHUNK, F.spark_partition_id())
+    return Chunked(materialise(dealt, "chunks"), order, tie)
 
 
 def _across(group: list[str]):
     """Chunks of one group in order: one summary row per chunk, not the table's rows."""
-    return Window.partitionBy(*(group or [F.lit(0)])).orderBy(CHUNK, SUB)
+    return Window.partitionBy(*(group or [F.lit(0)])).orderBy(CHUNK)
 
 
 BEFORE = (Window.unboundedPreceding, -1)
@@ -149,7 +119,7 @@ def with_positions(
         .drop("_rows")
     )
     out = _attach_null_safe(cut, cut.df.withColumn("_pos", local), summary, group)
-    return out.withColumn("_pos", F.col("_pos") + F.col("_skip")).drop("_skip", CHUNK, SUB)
+    return out.withColumn("_pos", F.col("_pos") + F.col("_skip")).drop("_skip", CHUNK)
 
 
 def _attach_null_safe(cut: Chunked, rows: DataFrame, summary: DataFrame, group: list[str]) -> DataFrame:
@@ -177,7 +147,7 @@ def running_sum(
         out: F.sum(src).over(window.rowsBetween(*UP_TO_HERE)) for src, out in columns.items()
     }
     across = Window.partitionBy(*(group or [F.lit(0)]))
-    ahead = across.orderBy(F.desc(CHUNK), F.desc(SUB)) if descending else across.orderBy(CHUNK, SUB)
+    ahead = across.orderBy(F.desc(CHUNK)) if descending else across.orderBy(CHUNK)
     summary = (
         cut.df.groupBy(*cut.keys(group))
         .agg(*[F.sum(src).alias(f"_s_{out}") for src, out in columns.items()])
@@ -195,7 +165,7 @@ def running_sum(
         )
         for out in columns.values()
     }
-    return joined.withColumns(full).drop(*[f"_b_{out}" for out in columns.values()], CHUNK, SUB)
+    return joined.withColumns(full).drop(*[f"_b_{out}" for out in columns.values()], CHUNK)
 
 
 def fill_forward_back(
@@ -244,7 +214,7 @@ def fill_forward_back(
 
 
 def _own_cuts(given: Chunked | None) -> list[str]:
-    return [] if given else [CHUNK, SUB]
+    return [] if given else [CHUNK]
 
 
 def _all_present(group: list[str]) -> Column:
@@ -278,7 +248,7 @@ def interpolate_linear(
         )
 
     across = _across(group)
-    reverse = Window.partitionBy(*(group or [F.lit(0)])).orderBy(F.desc(CHUNK), F.desc(SUB))
+    reverse = Window.partitionBy(*(group or [F.lit(0)])).orderBy(F.desc(CHUNK))
     ends = [F.count(F.lit(1)).alias("_rows")]
     for c in columns:
         ends += [F.max(mark(c)).alias(f"_l_{c}"), F.min(mark(c)).alias(f"_f_{c}")]
@@ -392,24 +362,29 @@ def latest_by(df: DataFrame, key: str, ts: str, tie: str) -> DataFrame:
     )
 
 
-def _cut_keys(df: DataFrame, order: str, tie: str, ranks: list[int], rows: int | None) -> dict[int, tuple]:
-    """(order, tie) of the rows at the given 0-based global ranks.
+def _cut_keys(cut: Chunked, shares: list[float]) -> dict[int, tuple]:
+    """{rank: (order, tie)} of the rows at the 0-based global ranks ``int(n * share)``; None past the end.
 
-    Only two columns are read. Rows per chunk are counted, and just the chunks that hold
-    a wanted rank are returned to the driver (one row each) and sorted.
+    Rows per chunk are counted, and just the chunks that hold a wanted rank are sorted and
+    return one row each to the driver.
     """
-    cut = chunked(df.select(order, tie), order, tie, rows)
-    across = _across([]).rowsBetween(*BEFORE)
-    sizes = cut.df.groupBy(CHUNK, SUB).agg(F.count(F.lit(1)).alias("_rows"))
-    sizes = sizes.withColumn("_start", F.coalesce(F.sum("_rows").over(across), F.lit(0)))
+    whole = Window.partitionBy(F.lit(0))
+    sizes = cut.df.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = sizes.withColumns(
+        {
+            "_start": F.coalesce(F.sum("_rows").over(_across([]).rowsBetween(*BEFORE)), F.lit(0)),
+            "_n": F.sum("_rows").over(whole),
+        }
+    )
+    ranks = [F.floor(F.col("_n") * F.lit(share)) for share in shares]
     holds = [(F.col("_start") <= r) & (F.col("_start") + F.col("_rows") > r) for r in ranks]
+    asked = sizes.filter(reduce(or_, holds)).select(CHUNK, "_start", F.array(*ranks).alias("_ranks")).collect()
     found = {}
-    for s in sizes.filter(reduce(or_, holds, F.lit(False))).collect():
-        here = [r - s["_start"] for r in ranks]
-        part = cut.df.filter((F.col(CHUNK) == s[CHUNK]) & (F.col(SUB) == s[SUB]))
-        ordered = part.withColumn("_pos", F.row_number().over(cut.forward([])) - 1)
-        for r in ordered.filter(F.col("_pos").isin(here)).collect():
-            found[r["_pos"] + s["_start"]] = (r[order], r[tie])
+    for s in asked:
+        here = [r - s["_start"] for r in s["_ranks"]]
+        ordered = cut.df.filter(F.col(CHUNK) == s[CHUNK]).withColumn("_pos", F.row_number().over(cut.forward([])) - 1)
+        places = {r["_pos"]: (r[cut.order], r[cut.tie]) for r in ordered.filter(F.col("_pos").isin(here)).collect()}
+        found |= {i: places[p] for i, p in enumerate(here) if p in places}
     return found
 
 
@@ -418,12 +393,10 @@ def temporal_split(
 ) -> DataFrame:
     """Adds ``split`` by global time order: the first ``int(n*train)`` rows train, and so on.
 
-    The two cut rows are found first; labelling is then a comparison, so the wide rows
-    are neither sorted nor shuffled and each split is a filter.
+    The two cut rows are found first, from the two columns alone; labelling is then a
+    comparison, so the wide rows are neither sorted nor shuffled and each split is a filter.
     """
-    n = df.count()
-    i_train, i_val = int(n * train), int(n * (train + val))
-    cuts = _cut_keys(df, ts, tie, [i for i in (i_train, i_val) if i < n], rows)
+    cuts = _cut_keys(chunked(df.select(ts, tie), ts, tie, rows), [train, train + val])
 
     def before(rank: int) -> Column:
         if rank not in cuts:
@@ -436,7 +409,7 @@ def temporal_split(
         return F.coalesce((F.col(ts) < at) | ((F.col(ts) == at) & same), F.lit(False))
 
     return df.withColumn(
-        "split", F.when(before(i_train), "train").when(before(i_val), "val").otherwise("test")
+        "split", F.when(before(0), "train").when(before(1), "val").otherwise("test")
     )
 
 

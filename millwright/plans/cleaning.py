@@ -190,7 +190,7 @@ def _leftovers(t: _Rows) -> None:
     The rows are written first: the aggregate and the last pass both read them.
     """
     t.df = materialise(t.df, "cleaning")
-    inner = {t.order, O.CHUNK, O.SUB}
+    inner = {t.order, O.CHUNK}
     candidates = [c for c in t.df.columns if c not in inner]
     gaps = t.df.agg(*[F.max(F.col(c).isNull()).alias(c) for c in candidates]).first()
     open_ = [c for c in candidates if gaps[c]]

@@ -171,3 +171,21 @@ def test_scoring_hook(spark):
     df = spark.createDataFrame([("M1", 0.2), ("M2", 0.9)], "machine_id string, x double")
     out = C.score_with(df, lambda p: pd.DataFrame({"risk_score": p["x"] * 2}), ["machine_id"], "risk_score double")
     assert {r["machine_id"]: r["risk_score"] for r in out.collect()} == {"M1": 0.4, "M2": 1.8}
+
+
+def test_medians_from_brackets(spark):
+    """Few distinct values, a heavy one, gaps, values that are not numbers, one row, none."""
+    import statistics
+
+    rng = np.random.default_rng(11)
+    columns = {
+        "a": list(rng.normal(size=501)), "b": [1.0] * 400 + [2.0] * 101, "c": [None] * 450 + list(rng.normal(size=51)),
+        "d": [float(x) for x in rng.integers(0, 2, 501)], "e": [3.5] + [None] * 500, "f": [None] * 501,
+        "g": [float("nan")] * 240 + [float(x) for x in range(261)], "h": [-1e300] * 250 + [1e300] * 251,
+    }
+    df = spark.createDataFrame([tuple(float(v) if v is not None else None for v in r) for r in zip(*columns.values())], ", ".join(f"{c} double" for c in columns))
+    for rows in (None, 5):
+        got = {r.feature: r.median for r in L.numeric_profile(df, list(columns), rows).collect()}
+        for c, values in columns.items():
+            known = sorted((v for v in values if v is not None), key=lambda v: (v != v, v))
+            assert got[c] == (statistics.median(known) if known else None), c
