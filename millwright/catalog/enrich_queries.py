@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millwright import schemas as S
 from millwright.catalog import oracle as Q
 from millwright.catalog.registry import query
 from millwright.operators import enrich as E
+from millwright.plans import business as B
+from millwright.session import scratch_path
+from millwright.sources.stored import Store
 
 
 def factories(t):
@@ -163,3 +169,65 @@ def _target(t):
     from millwright.ml.features import build_xy
 
     return build_xy(t.silver(), "reg").select("machine_id", "label")
+
+
+# ------------------------------------------------------------------ published tables
+SOURCES = {
+    "energie": "SELECT CAST(o_orderkey AS VARCHAR) AS row_key, 'S' || o_custkey AS machine FROM orders WHERE o_orderstatus <> 'P'",
+    "gmao": "SELECT CAST(o_orderkey AS VARCHAR) AS row_key, 'S' || o_custkey AS machine FROM orders WHERE o_orderstatus = 'P'",
+    "scada_capteurs": "SELECT CAST(event_id AS VARCHAR) AS row_key, 'S' || user_id AS machine FROM events",
+}
+PUBLISHED = " UNION ALL ".join(
+    f"""SELECT '{name}_business' AS table_name, s.row_key, m.machine_id, s.machine AS old_machine_id, m.factory_id AS plant, m.production_line_id AS line
+    FROM ({sql}) s LEFT JOIN mapping m ON m.old_machine_id = s.machine"""
+    for name, sql in SOURCES.items()
+)
+PUBLISHED += """ UNION ALL SELECT 'mes_business', s.l_orderkey || '-' || s.l_linenumber, m.machine_id, 'S' || s.l_suppkey, m.factory_id, p.p_name
+  FROM lineitem s LEFT JOIN mapping m ON m.old_machine_id = 'S' || s.l_suppkey LEFT JOIN part p ON m.default_product_id = 'P' || p.p_partkey
+UNION ALL SELECT 'erp_business', CAST(c_custkey AS VARCHAR), NULL, NULL, CASE WHEN c_nationkey = 3 THEN 'ES01' ELSE 'PL' || (c_nationkey % 6) END, p_name
+  FROM customer LEFT JOIN part ON p_partkey = c_custkey
+UNION ALL SELECT 'factories', 'PL' || r_regionkey, NULL, NULL, r_name, NULL FROM region
+UNION ALL SELECT 'production_lines', 'LN' || n_nationkey, NULL, NULL, 'PL' || n_regionkey, n_name FROM nation
+UNION ALL SELECT 'parts', 'P' || p_partkey, NULL, NULL, NULL, p_name FROM part
+UNION ALL SELECT 'machine_mapping', old_machine_id, machine_id, old_machine_id, factory_id, production_line_id FROM mapping"""
+
+
+@query("publish_business_tables", Q.sql(PUBLISHED, **MAPPING))
+def _publish(t):
+    """All nine tables after a first set was published and replaced with one commit."""
+    orders = t.read("orders").withColumn("machine_id", F.concat(F.lit("S"), "o_custkey"))
+    sources = {
+        "energie": orders.where("o_orderstatus <> 'P'"), "gmao": orders.where("o_orderstatus = 'P'"),
+        "scada_capteurs": t.read("events").withColumn("machine_id", F.concat(F.lit("S"), "user_id")),
+        "mes": t.read("lineitem").select(
+            "l_orderkey", "l_linenumber", F.concat(F.lit("S"), "l_suppkey").alias("machine_id"), F.lit("old").alias("plant_id"), F.lit("old").alias("product_id")
+        ),
+        "erp": t.read("customer").select(
+            "c_custkey", F.when(F.col("c_nationkey") == 3, "FR02").otherwise(F.concat(F.lit("PL"), F.col("c_nationkey") % 6)).alias("plant_id"),
+            F.concat(F.lit("P"), "c_custkey").alias("product_id"),
+        ),
+    }
+    lines = t.read("nation").select(
+        F.concat(F.lit("LN"), "n_nationkey").alias("production_line_id"), F.concat(F.lit("PL"), "n_regionkey").alias("factory_id"), "n_name"
+    )
+    tables = B.business_tables(sources, factories(t), lines, parts(t), mapping(t), check=False)
+    keys = {"energie_business": ["o_orderkey"], "gmao_business": ["o_orderkey"], "scada_capteurs_business": ["event_id"],
+            "mes_business": ["l_orderkey"], "erp_business": ["c_custkey"]}
+    store = Store(t.spark, scratch_path(t.spark, "business"), 4)
+    B.publish(store, {n: df.limit(0) for n, df in tables.items()}, keys)
+    B.publish(store, tables, keys)
+    none = F.lit(None).cast("string")
+    shown = {n: ("o_orderkey", "machine_id", "old_machine_id", "factory_id", "production_line_id") for n in ("energie_business", "gmao_business")}
+    shown |= {
+        "scada_capteurs_business": ("event_id", "machine_id", "old_machine_id", "factory_id", "production_line_id"),
+        "mes_business": (F.concat_ws("-", "l_orderkey", "l_linenumber"), "machine_id", "old_machine_id", "plant_id", "part_name"),
+        "erp_business": ("c_custkey", none, none, "plant_id", "part_name"), "factories": ("factory_id", none, none, "factory_name", none),
+        "production_lines": ("production_line_id", none, none, "factory_id", "n_name"), "parts": ("product_id", none, none, none, "part_name"),
+        "machine_mapping": ("old_machine_id", "machine_id", "old_machine_id", "factory_id", "production_line_id"),
+    }
+    names = ("row_key", "machine_id", "old_machine_id", "plant", "line")
+    rows = [
+        store.read(n).select(F.lit(n).alias("table_name"), *[(F.col(c) if isinstance(c, str) else c).cast("string").alias(a) for c, a in zip(columns, names)])
+        for n, columns in shown.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)

@@ -15,7 +15,9 @@ def customer_csv(t) -> str:
     """The customers as two CSV sources, in key order."""
     folder = scratch_path(t.spark, "csv")
     rows = t.read("customer").select("c_custkey", "c_name", F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment"))
-    rows.orderBy("c_custkey").write.option("header", True).csv(f"{folder}/customer_sale.csv")
+    # A quoted line break, a quote and a comma inside a record.
+    rows = rows.withColumn("segment", F.when(F.col("segment") == "MACHINERY", "MACHI\nNERY, \"heavy\"").otherwise(F.col("segment")))
+    rows.orderBy("c_custkey").write.option("header", True).option("escape", '"').csv(f"{folder}/customer_sale.csv")
     wide = t.read("supplier").select("s_suppkey", "s_name", "s_nationkey").orderBy("s_suppkey")
     wide.write.option("header", True).csv(f"{folder}/supplier_business.csv")
     return folder
@@ -24,7 +26,7 @@ def customer_csv(t) -> str:
 @query(
     "ingest_csv_dir",
     """SELECT 'customer_sale.csv' AS source_file, 'customer' AS source_system, row_number() OVER (ORDER BY c_custkey) AS row_number,
-         'kafka_to_datalake_raw' AS ingestion_mode, CAST(c_custkey AS VARCHAR) AS id, c_name AS name, coalesce(nullif(c_mktsegment, 'BUILDING'), '') AS extra FROM customer
+         'kafka_to_datalake_raw' AS ingestion_mode, CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CASE c_mktsegment WHEN 'BUILDING' THEN '' WHEN 'MACHINERY' THEN 'MACHI' || chr(10) || 'NERY, "heavy"' ELSE coalesce(c_mktsegment, '') END AS extra FROM customer
        UNION ALL SELECT 'supplier_business.csv', 'supplier', row_number() OVER (ORDER BY s_suppkey), 'kafka_to_datalake_raw',
          CAST(s_suppkey AS VARCHAR), s_name, CAST(s_nationkey AS VARCHAR) FROM supplier""",
 )

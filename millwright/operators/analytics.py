@@ -54,6 +54,11 @@ def machine_plants(production: DataFrame) -> DataFrame:
     return production.select("machine_id", "plant_id").distinct()
 
 
+def stored_bridge(production: DataFrame) -> DataFrame:
+    """``machine_plants``, worked out once for the figures that read it several times."""
+    return materialise(machine_plants(production), "machine-plants")
+
+
 # ---------------------------------------------------------------- all sites
 def sites_trs(production: DataFrame, plants: DataFrame) -> DataFrame:
     per_site = production.groupBy("plant_id").agg(mean("trs", 100).alias("_v"))
@@ -102,17 +107,18 @@ def energy_by_site(energy: DataFrame, production: DataFrame) -> DataFrame:
     A machine seen in two plants counts in both. The one row per site is stored, because
     both the comparison and the report read it.
     """
+    bridge = stored_bridge(production)
     per_machine = energy.groupBy("machine_id").agg(
         F.sum("energy_consumption_kwh").alias("_sum"), F.count("energy_consumption_kwh").alias("_n")
     )
     per_site = (
-        per_machine.join(machine_plants(production), "machine_id")
+        per_machine.join(bridge, "machine_id")
         .groupBy("plant_id")
         .agg(pooled_mean().alias("kwh"))
     )
     per_site = materialise(per_site, "site-energy")
     overall = F.coalesce(per_site.agg(F.avg("kwh")).scalar(), F.lit(0.0))
-    sites = production.select("plant_id").distinct()
+    sites = bridge.select("plant_id").distinct()
     return _same(sites, per_site, "plant_id").select(
         "plant_id",
         D.half_even("kwh", 0).alias("energy"),
@@ -121,14 +127,15 @@ def energy_by_site(energy: DataFrame, production: DataFrame) -> DataFrame:
 
 
 def alerts_by_site(alerts: DataFrame, production: DataFrame) -> DataFrame:
+    bridge = stored_bridge(production)
     per_machine = alerts.filter("is_active").groupBy("machine_id").agg(F.count(F.lit(1)).alias("_n"))
     per_site = (
-        per_machine.join(machine_plants(production), "machine_id").groupBy("plant_id").agg(F.sum("_n").alias("_n"))
+        per_machine.join(bridge, "machine_id").groupBy("plant_id").agg(F.sum("_n").alias("_n"))
     )
     per_site = materialise(per_site, "site-alerts")
     top = F.greatest(F.coalesce(per_site.agg(F.max("_n")).scalar(), F.lit(1)), F.lit(1))
     n = F.coalesce("_n", F.lit(0))
-    return _same(production.select("plant_id").distinct(), per_site, "plant_id").select(
+    return _same(bridge.select("plant_id").distinct(), per_site, "plant_id").select(
         "plant_id",
         n.alias("alerts"),
         F.when(n >= top * 0.8, "crit").when(n >= top * 0.4, "warn").otherwise("good").alias("status"),
@@ -156,7 +163,7 @@ def recent_alerts(
     Matching an alert to its plants only adds rows next to it, so the newest alerts are
     chosen before the join.
     """
-    bridge = machine_plants(production)
+    bridge = stored_bridge(production)
     newest = (
         alerts.filter("is_active")
         .join(bridge, "machine_id", "left_semi")

@@ -91,9 +91,15 @@ def energy_per_good_piece(energy: DataFrame, production: DataFrame) -> DataFrame
         .groupBy("date_id", "machine_id")
         .agg(F.min_by("good_qty", "bronze_event_id").alias("_good"))
     )
+    # Rows without a day or machine match nothing; each takes a key of its own, so that they
+    # do not meet in one task.
+    own = F.concat(F.lit("\0"), F.col("bronze_event_id").cast("string"))
+    known = F.col("date_id").isNotNull() & F.col("machine_id").isNotNull()
+    keyed = energy.withColumn("_key", F.when(known, F.concat_ws("\t", "date_id", "machine_id")).otherwise(own))
+    good = good.where("date_id IS NOT NULL AND machine_id IS NOT NULL").select(F.concat_ws("\t", "date_id", "machine_id").alias("_key"), "_good")
     rate = F.round(F.col("energy_consumption_kwh") / F.col("_good"), 4)
     return (
-        energy.join(good, ["date_id", "machine_id"], "left")
+        keyed.join(good, "_key", "left")
         .withColumn("energy_per_good_piece", rate.cast("decimal(18,6)"))
         .select(*energy.columns)
     )

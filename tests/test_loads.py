@@ -124,7 +124,7 @@ def test_row_numbers_over_many_splits(spark, tmp_path):
     (tmp_path / "gmao_business.csv").write_text("id,cost\n1,\n2,5\n")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
     try:
-        df = csv_folder.ingest_csv_dir(spark, [str(tmp_path)]).filter("source_system = 'mes'")
+        df = csv_folder.ingest_csv_dir(spark, [str(tmp_path)], multi_line=False).filter("source_system = 'mes'")
         assert df.count() == 4000
         assert df.filter(F.col("row_number") != F.col("payload")["id"].cast("long")).count() == 0
         other = csv_folder.ingest_csv_dir(spark, [str(tmp_path)], "gmao*.csv")
@@ -135,6 +135,26 @@ def test_row_numbers_over_many_splits(spark, tmp_path):
         csv_folder.ingest_csv_dir(spark, [str(tmp_path)], "*.tsv")
 
 
+def test_many_files_and_odd_records(spark, tmp_path):
+    import time
+
+    for i in range(1000):
+        (tmp_path / f"machine {i}+a_sale.csv").write_text(f'id,"no\nte"\n{i},"two\nlines, ""quoted"""\n{i + 1},\n')
+    (tmp_path / "été%20_business.csv").write_text("\ufeffid\n7\n")
+    (tmp_path / "none.csv").write_text("")
+    started = time.time()
+    df = csv_folder.ingest_csv_dir(spark, [str(tmp_path)])
+    assert time.time() - started < 60
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    # One scan for each of the two headers, on both sides of the join that numbers rows.
+    assert plan.count("Relation") == 4
+    rows = df.collect()
+    assert len(rows) == 2001 and {r.row_number for r in rows} == {1, 2}
+    by_file = {r.source_file: r.payload for r in rows if r.row_number == 1}
+    assert by_file["machine 3+a_sale.csv"] == {"id": "3", "no\nte": 'two\nlines, "quoted"'} and by_file["été%20_business.csv"] == {"id": "7"}
+    assert [r.payload for r in rows if r.source_file == "machine 9+a_sale.csv" and r.row_number == 2] == [{"id": "10", "no\nte": ""}]
+
+
 # ------------------------------------------------------------------ lake
 def write_lines(tmp_path, lines):
     (tmp_path / "a.jsonl").write_text("\n".join(lines) + "\n")
@@ -224,3 +244,20 @@ def test_readme_names_every_package_folder():
     text = open(os.path.join(root, "README.md"), encoding="utf-8").read()
     for folder in ("functions", "sources", "operators", "plans", "streaming", "ml", "catalog"):
         assert f"`{folder}/`" in text
+
+
+def test_business_tables_are_published_together(spark, tmp_path):
+    from millwright.plans import business as B
+    from millwright.sources.stored import Store
+
+    old, new = (spark.createDataFrame([(i, v) for i in range(5)], "id int, v string") for v in ("old", "new"))
+    store = Store(spark, str(tmp_path / "set"), 2)
+    B.publish(store, {"a": old, "b": old}, {})
+    reader = Store(spark, str(tmp_path / "set"), 2)
+    # A set that fails half-way is never seen.
+    broken = new.withColumn("v", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        B.publish(store, {"a": new, "b": broken}, {})
+    assert {r.v for n in "ab" for r in reader.read(n).collect()} == {"old"}
+    B.publish(Store(spark, str(tmp_path / "set"), 2), {"a": new, "b": new}, {})
+    assert {r.v for n in "ab" for r in reader.read(n).collect()} == {"new"}
