@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millwright.ml.features import onehot_stages, with_class_weight
-from millwright.operators.curves import classification_metrics, rank_models, regression_metrics
+from millwright.operators.curves import classification_metrics, rank_metrics, rank_models, regression_metrics
 
 SEED = 42
 #: Spark's deepest tree, for trees of unlimited depth.
@@ -210,10 +210,56 @@ def boosted_regressor(
     return booster.fit(df)
 
 
-def perceptron(train: DataFrame, hidden: tuple[int, ...] = (128, 64), rounds: int = 100):
-    """Dense network for two classes."""
+def balanced_rows(df: DataFrame) -> DataFrame:
+    """Rows of the rarer class repeated until both classes weigh the same, at most twice the rows.
+
+    Where the ratio is not whole, a share of its rows, told by a hash of their features, is
+    repeated once more.
+    """
+    counts = {r["label"]: r["n"] for r in df.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(counts) < 2:
+        return df
+    rare = min(counts, key=counts.get)
+    ratio = max(counts.values()) / counts[rare]
+    share = F.pmod(F.xxhash64(vector_to_array("features")), F.lit(1_000_000)) < int((ratio % 1) * 1_000_000)
+    times = F.when(F.col("label") == rare, F.lit(int(ratio)) + share.cast("int")).otherwise(F.lit(1))
+    return df.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times))).drop("_copy")
+
+
+def perceptron(
+    train: DataFrame, hidden: tuple[int, ...] = (128, 64), rounds: int = 100, validation: DataFrame | None = None,
+    step: int = 10, patience: int = 20, balanced: bool = False,
+):
+    """Dense network for two classes.
+
+    ``balanced`` weighs both classes alike. With ``validation`` the fit goes on from its own
+    weights ``step`` rounds at a time, until the PR-AUC there has not improved for
+    ``patience`` rounds; the weights of the best step are returned.
+    """
     width = len(train.select("features").first()[0])
-    return MultilayerPerceptronClassifier(layers=[width, *hidden, 2], maxIter=rounds, seed=SEED).fit(train)
+    known = (balanced_rows(train) if balanced else train).persist()
+    held = validation.persist() if validation is not None else None
+
+    def fit(n: int, before=None):
+        network = MultilayerPerceptronClassifier(layers=[width, *hidden, 2], maxIter=n, seed=SEED)
+        return (network.setInitialWeights(before.weights) if before else network).fit(known)
+
+    try:
+        if held is None:
+            return fit(rounds)
+        best, most, at, model = None, float("-inf"), 0, None
+        for done in range(step, rounds + step, step):
+            model = fit(min(step, rounds - done + step), model)
+            area = rank_metrics(risk_scores(model, held), "label", "risk_score").first()["pr_auc"] or 0.0
+            if area > most:
+                best, most, at = model, area, done
+            elif done - at >= patience:
+                break
+        return best
+    finally:
+        known.unpersist()
+        if held is not None:
+            held.unpersist()
 
 
 def risk_scores(model, df: DataFrame) -> DataFrame:

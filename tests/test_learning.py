@@ -115,3 +115,41 @@ def test_patience_watches_pr_auc(spark):
             break
     got = R.boosted_classifier(train, 20, 3, 0.5, held, patience=4, watch="pr_auc", rows=0.8)
     assert got.getNumTrees == best + 1
+
+
+def rare_of(spark, seed):
+    """One row in ten is positive, and the classes overlap."""
+    rng = np.random.default_rng(seed)
+    rows = [(float(rng.normal() + (1.2 if k % 10 == 0 else 0)), float(rng.normal()), float(k % 10 == 0)) for k in range(400)]
+    df = spark.createDataFrame(rows, "a double, b double, label double")
+    return VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+
+
+def test_balanced_rows_change_the_network(spark):
+    train = rare_of(spark, 3)
+    counts = {r["label"]: r["count"] for r in R.balanced_rows(train).groupBy("label").count().collect()}
+    assert counts == {0.0: 360, 1.0: 360}
+    odd = train.where("label = 0").limit(100).unionByName(train.where("label = 1"))
+    counts = {r["label"]: r["count"] for r in R.balanced_rows(odd).groupBy("label").count().collect()}
+    assert counts[0.0] == 100 and 80 <= counts[1.0] <= 120
+    assert R.balanced_rows(train.where("label = 0")).count() == 360
+    plain, even = (R.perceptron(train, (4,), 30, balanced=b) for b in (False, True))
+    found = [R.risk_scores(m, train).where("label = 1 AND risk_score >= 0.5").count() for m in (plain, even)]
+    assert found[1] > found[0] + 10
+
+
+def test_network_stops_on_validation(spark, monkeypatch):
+    train, held = rare_of(spark, 4), rare_of(spark, 5)
+    areas = iter([0.2, 0.5, 0.4, 0.45, 0.9])
+    seen = []
+
+    class Fixed:
+        def first(self):
+            return {"pr_auc": next(areas)}
+
+    monkeypatch.setattr(R, "rank_metrics", lambda df, *a: seen.append(df) or Fixed())
+    model = R.perceptron(train, (4,), 50, held, step=5, patience=10, balanced=True)
+    assert len(seen) == 4
+    # The second step's weights: five rounds from scratch, then five more from there.
+    one = R.perceptron(train, (4,), 5, balanced=True)
+    assert not np.allclose(model.weights.toArray(), one.weights.toArray())
