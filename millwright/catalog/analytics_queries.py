@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from millwright.catalog import oracle as Q
-from millwright.catalog.registry import query
+from millwright.catalog.registry import ORACLES, query
 from millwright.operators import analytics as A
 from millwright.plans import dashboards as B
 from millwright.session import materialise
@@ -301,14 +301,12 @@ def _fallback(t):
     return A.risk_machines(A.machine_stats(t.production(), t.alerts(), t.maintenance()))
 
 
-@query(
-    "maintenance_plan",
-    Q.sql(
-        f"""SELECT machine_id, state, {Q.whole('rul_days')} AS rul_whole_days,
-        strftime(DATE '2026-07-01' + CAST({Q.whole('rul_days')} AS INTEGER), '%d/%m/%Y') AS due, {Q.status_rul('rul_days')} AS status
-        FROM predictions WHERE rul_days IS NOT NULL"""
-    ),
-)
+PLAN = f"""SELECT machine_id, state, {Q.whole('rul_days')} AS rul_whole_days,
+  strftime(DATE '2026-07-01' + CAST({Q.whole('rul_days')} AS INTEGER), '%d/%m/%Y') AS due, {Q.status_rul('rul_days')} AS status
+FROM predictions WHERE rul_days IS NOT NULL"""
+
+
+@query("maintenance_plan", Q.sql(PLAN))
 def _plan(t):
     return A.maintenance_plan(t.predictions(), TODAY)
 
@@ -325,16 +323,13 @@ def _predictive(t):
     return A.predictive_alerts(t.predictions(), "AMERICA", "01/07/2026")
 
 
-@query(
-    "merged_alerts",
-    Q.sql(
-        f"""SELECT alert_id, title, severity, description, factory, date, status FROM (
-          SELECT *, 0 AS part, CASE severity WHEN 'critique' THEN 0 WHEN 'majeur' THEN 1 ELSE 2 END AS rank, NULL::INTEGER AS day, NULL::BIGINT AS n FROM predicted
-          UNION ALL SELECT {alert_view("'AMERICA'")}, 1, 0, date_id, bronze_event_id FROM recorded)
-        ORDER BY part, rank, day DESC NULLS FIRST, n, alert_id LIMIT 8""",
-        predicted=PREDICTED, recorded=SITE_ALERTS,
-    ),
-)
+MERGED = f"""SELECT alert_id, title, severity, description, factory, date, status FROM (
+  SELECT *, 0 AS part, CASE severity WHEN 'critique' THEN 0 WHEN 'majeur' THEN 1 ELSE 2 END AS rank, NULL::INTEGER AS day, NULL::BIGINT AS n FROM predicted
+  UNION ALL SELECT {alert_view("'AMERICA'")}, 1, 0, date_id, bronze_event_id FROM recorded)
+ORDER BY part, rank, day DESC NULLS FIRST, n, alert_id LIMIT 8"""
+
+
+@query("merged_alerts", Q.sql(MERGED, predicted=PREDICTED, recorded=SITE_ALERTS))
 def _merged(t):
     predicted = A.predictive_alerts(t.predictions(), "AMERICA", "01/07/2026")
     return A.merged_alerts(predicted, A.recent_site_alerts(t.alerts(), site(t), "AMERICA"))
@@ -354,26 +349,58 @@ def _latest(t):
 
 
 # ------------------------------------------------------------------ bundles
-@query("group_dashboard")
+def section(name, body, texts=(), numbers=()):
+    """One section of a dashboard as a row of the table that ``as_table`` gives."""
+    told = [f"CAST({texts[i]} AS VARCHAR) AS t{i}" if i < len(texts) else f"NULL::VARCHAR AS t{i}" for i in range(8)]
+    counted = [f"CAST({numbers[i]} AS DOUBLE) AS n{i}" if i < len(numbers) else f"NULL::DOUBLE AS n{i}" for i in range(6)]
+    return f"SELECT '{name}' AS section, {', '.join(told + counted)} FROM ({body})"
+
+
+def long_kpis(kpis, one_row):
+    return " UNION ALL ".join(f"SELECT '{k}' AS kpi, CAST({k} AS DOUBLE) AS value FROM ({one_row}) WHERE {k} IS NOT NULL" for k in kpis)
+
+
+ALERT_TEXTS = ("alert_id", "title", "severity", "description", "factory", "date", "status")
+GROUP_SQL = " UNION ALL ".join([
+    section("kpis", long_kpis(B.GROUP_KPIS, f"SELECT *, (SELECT count(*) FROM fact_alerts WHERE is_active) AS active_alerts FROM ({ORACLES['group_kpis']})"), ["kpi"], ["value"]),
+    section("rates_by_site", ORACLES["site_rates"], ["plant_id", "trs_status", "scrap_status"], ["trs", "scrap"]),
+    section("energy_by_site", ORACLES["energy_by_site"], ["plant_id", "status"], ["energy"]),
+    section("alerts_by_site", ORACLES["alerts_by_site"], ["plant_id", "status"], ["alerts"]),
+    section("alerts", ORACLES["recent_alerts"], ALERT_TEXTS),
+    section("site_count", ORACLES["group_kpis"], (), ["sites"]),
+])
+
+
+@query("group_dashboard", Q.sql(GROUP_SQL))
 def _group_bundle(t):
     gold = t.gold()
     for name in ("fact_production", "fact_alerts", "fact_energy"):
         gold[name] = materialise(gold[name], name)
-    return B.as_rows(B.group_dashboard(gold))
-
-
-@query("site_dashboard")
+    return B.as_table(B.group_dashboard(gold))
+
+
+ON_SITE = f"machine_id IN (SELECT machine_id FROM fact_production WHERE plant_id = '{SITE}')"
+HERE = {name: f"SELECT * FROM ({Q.CTES[name]}) WHERE {ON_SITE}" for name in ("predictions", "stats")}
+INDICATORS = ("at_risk_machines", "at_risk_tone", "mean_risk", "mean_risk_tone", "mean_rul", "mean_rul_tone")
+SITE_BUNDLE_SQL = " UNION ALL ".join([
+    section("factory", f"SELECT * FROM ({ORACLES['sites_trs']}) WHERE plant_id = '{SITE}'", ["plant_id", "plant_name", "country", "status"], ["trs"]),
+    section("kpis", long_kpis(B.SITE_KPIS, f"SELECT *, (SELECT count(*) FROM fact_alerts WHERE is_active AND {ON_SITE}) AS active_alerts FROM ({SITE_SQL}) WHERE plant_id = '{SITE}'"), ["kpi"], ["value"]),
+    section("trs_series", ORACLES["trs_series"], ["label"], ["date_id", "value"]),
+    section("energy_series", ORACLES["energy_series"], ["label"], ["date_id", "value"]),
+    section("lines", f"SELECT * FROM ({ORACLES['line_performance']}) WHERE plant_id = '{SITE}'", ["plant_id", "production_line_id", "status"], ["trs", "production", "target", "reach"]),
+    section("risk_machines", SCORED, ["machine_id", "last_intervention", "state"], ["incidents", "risk_score", "rul_days"]),
+    section("maintenance_plan", PLAN, ["machine_id", "state", "due", "status"], ["rul_whole_days"]),
+    section("alerts", MERGED, ALERT_TEXTS),
+    section("indicators", IND.format(risk=Q.whole("avg(risk_score) * 100"), rul=Q.whole("avg(rul_days)")), INDICATORS),
+])
+
+
+@query("site_dashboard", Q.sql(SITE_BUNDLE_SQL, predicted=PREDICTED, recorded=SITE_ALERTS, **HERE))
 def _site_bundle(t):
     gold = t.gold()
     for name in ("fact_production", "fact_alerts", "fact_energy", "fact_maintenance"):
         gold[name] = materialise(gold[name], name)
     silver = materialise(t.silver(), "silver")
-
-    def predict(readings):
-        p = F.col("error_codes_last_30_days") / 10
-        return readings.select(
-            "machine_id", F.when(p >= 0.5, "at_risk").otherwise("normal").alias("state"), p.alias("risk_score"),
-            (F.lit(365) - F.col("hydraulic_pressure_bar")).alias("rul_days"),
-        )
-
-    return B.as_rows(B.site_dashboard(gold, silver, SITE, TODAY, predict))
+    answers = materialise(t.predictions(), "predictions")
+    predict = lambda readings: answers.join(readings.select("machine_id"), "machine_id", "left_semi")
+    return B.as_table(B.site_dashboard(gold, silver, SITE, TODAY, predict))

@@ -185,7 +185,14 @@ def _log(t):
     return log.groupBy("machine_id", "action", "model_name", F.col("model_version").cast("string"), "state").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("write_model_comparison")
+CUT = """SELECT 'threshold_{c}' AS model, sum(CASE WHEN hit AND yes THEN 1 ELSE 0 END)::DOUBLE AS tp, sum(CASE WHEN hit AND NOT yes THEN 1 ELSE 0 END)::DOUBLE AS fp,
+  sum(CASE WHEN yes AND NOT hit THEN 1 ELSE 0 END)::DOUBLE AS fn, sum(CASE WHEN hit = yes THEN 1 ELSE 0 END)::DOUBLE AS ok, count(*) AS n
+  FROM (SELECT k / 100.0::DOUBLE >= {c} AS hit, event_type = 'error' AS yes FROM ev)"""
+COMPARED = f"""SELECT model, round(2 * tp / (2 * tp + fp + fn), 9) AS f1, round(tp / (tp + fp), 9) AS precision, round(tp / (tp + fn), 9) AS recall,
+  round(ok / n, 9) AS accuracy, 'f1' AS selection_metric FROM ({CUT.format(c=0.25)} UNION ALL {CUT.format(c=0.75)})"""
+
+
+@query("write_model_comparison", Q.sql(COMPARED))
 def _comparison(t):
     """Metrics of two thresholds, written as CSV with metadata and read back."""
     from millwright.operators.curves import threshold_metrics
@@ -194,7 +201,10 @@ def _comparison(t):
     rows = [threshold_metrics(df, "label", "score", c).select(F.lit(f"threshold_{c}").alias("model"), "*") for c in (0.25, 0.75)]
     path = scratch_path(t.spark, "comparison")
     sinks.write_model_comparison(rows[0].unionByName(rows[1]).orderBy(F.desc("f1")), path, selection_metric="f1")
-    return t.spark.read.option("header", True).option("inferSchema", True).csv(f"{path}/metrics")
+    back = t.spark.read.option("header", True).option("inferSchema", True).csv(f"{path}/metrics")
+    noted = t.spark.read.schema("metadata map<string,string>").json(f"{path}/metadata").select(F.col("metadata")["selection_metric"]).scalar()
+    measured = [F.round(c, 9).alias(c) for c in ("f1", "precision", "recall", "accuracy")]
+    return back.select("model", *measured, noted.alias("selection_metric"))
 
 
 # ------------------------------------------------------------------ gold tables

@@ -86,3 +86,18 @@ def as_rows(bundle: dict[str, DataFrame]) -> DataFrame:
         for section, df in bundle.items()
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+def as_table(bundle: dict[str, DataFrame], texts: int = 8, numbers: int = 6) -> DataFrame:
+    """The bundle as one table: section, then its text columns and its numbers in their order."""
+    parts = []
+    for section, df in bundle.items():
+        kinds = dict(df.dtypes)
+        told = [c for c in df.columns if kinds[c] in ("string", "date")]
+        counted = [c for c in df.columns if c not in told]
+        if len(told) > texts or len(counted) > numbers:
+            raise ValueError(f"{section} has more columns than the table")
+        columns = {f"t{i}": F.col(c).cast("string") for i, c in enumerate(told)} | {f"n{i}": F.col(c).cast("double") for i, c in enumerate(counted)}
+        empty = {f"t{i}": F.lit(None).cast("string") for i in range(texts)} | {f"n{i}": F.lit(None).cast("double") for i in range(numbers)}
+        parts.append(df.select(F.lit(section).alias("section"), *[(columns.get(n) if n in columns else e).alias(n) for n, e in empty.items()]))
+    return reduce(DataFrame.unionByName, parts)
