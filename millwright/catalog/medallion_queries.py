@@ -12,8 +12,11 @@ from millwright.catalog import oracle as Q
 from millwright.catalog.registry import ORACLES, query
 from millwright.operators import merge as G
 from millwright.plans import medallion as M
+from millwright.plans.business import publish
 from millwright.plans.incremental import Warehouse
 from millwright.session import materialise, scratch_path
+from millwright.sources import gold
+from millwright.sources.stored import Store
 
 SILVER_NAMES = [n for _, n, _ in S.SILVER_NUMBERS]
 SILVER_SQL = ", ".join(f"{Q.dbl('s_' + n)} AS {n}" for n in SILVER_NAMES)
@@ -363,3 +366,66 @@ _rule(
     """SELECT n_nationkey AS key, CASE WHEN n_regionkey = 0 THEN n_name WHEN n_regionkey <> 1 THEN lower(n_name) END AS a,
        CASE WHEN n_regionkey = 0 THEN n_regionkey ELSE n_regionkey + 10 END AS b FROM nation""",
 )
+
+
+# ------------------------------------------------------------------ lists and lookups
+def stored_gold(t, tables, keys):
+    """The tables as one published set, read back."""
+    store = Store(t.spark, scratch_path(t.spark, "gold"), 4)
+    publish(store, tables, keys)
+    return {name: store.read(name) for name in tables}
+
+
+def stored_dimensions(t):
+    return stored_gold(t, M.dimensions(M.staging(t.bronze())), {n: [k] for n, k in gold.DIM_KEYS.items()})
+
+
+@query("list_dimensions", ORACLES["dim_build"])
+def _list_dimensions(t):
+    """Every row of all seven stored dimensions."""
+    return dimension_text({name: gold.filter_table(name, df) for name, df in stored_dimensions(t).items()})
+
+
+WANTED = {
+    "dim_date": 19970528, "dim_plant": "PL2", "dim_line": "LN7", "dim_shift": "SHIFT_NUIT", "dim_product": "P42", "dim_machine": "S5",
+    "dim_defect": "no_defect_none_minor",
+}
+
+
+@query(
+    "lookup_dimensions",
+    Q.sql(f"SELECT * FROM ({DIM_SQL}) WHERE (dim, key) IN ({', '.join(f'''('{n}', '{k}')''' for n, k in WANTED.items())})", **STG),
+)
+def _lookup_dimensions(t):
+    """One row of each stored dimension by its key."""
+    return dimension_text({name: gold.lookup(name, df, WANTED[name]) for name, df in stored_dimensions(t).items()})
+
+
+MEASURES = {"fact_production": "trs", "fact_quality": "quality_score", "fact_maintenance": "maintenance_cost", "fact_energy": "energy_per_good_piece"}
+LISTED = " UNION ALL ".join(
+    [f"SELECT '{n}' AS fact, bronze_event_id, date_id, machine_id, {Q.dbl(m)} AS measure FROM {n}" for n, m in MEASURES.items()]
+    + ["SELECT 'fact_alerts', bronze_event_id, date_id, machine_id, NULL FROM fact_alerts"]
+)
+
+
+def listed_facts(t, **wanted):
+    facts = {**t.gold(), "fact_energy": G.energy_per_good_piece(t.energy(), t.production())}
+    stored = stored_gold(t, {n: facts[n] for n in M.FACTS}, {n: ["date_id"] for n in M.FACTS})
+    rows = []
+    for name, df in stored.items():
+        measure = F.col(MEASURES[name]) if name in MEASURES else F.lit(None)
+        found = gold.filter_table(name, df, **wanted)
+        rows.append(found.select(F.lit(name).alias("fact"), "bronze_event_id", "date_id", "machine_id", measure.cast("double").alias("measure")))
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query("list_facts", Q.sql(LISTED))
+def _list_facts(t):
+    """Every row of all five stored facts."""
+    return listed_facts(t)
+
+
+@query("filter_facts", Q.sql(f"SELECT * FROM ({LISTED}) WHERE machine_id = 'S7'"))
+def _filter_facts(t):
+    """The rows of one machine in all five stored facts."""
+    return listed_facts(t, machine_id="S7")
