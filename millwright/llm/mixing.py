@@ -58,9 +58,10 @@ def _same(a: str, b: str = "source") -> Column:
 def _stream(sized: DataFrame) -> DataFrame:
     """``sized`` with ``begin``: the words of the source before the document in its shuffled order.
 
-    The order is that of the MD5 of the id (of text and id where rows repeat an id).
+    The order is that of the MD5 of the id, or of the text's MD5 where there is no id, so that
+    rows without ids do not meet in one window; where rows agree in it, that of the text hash.
     """
-    order = sized.withColumn("mark", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    order = sized.withColumn("mark", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.col("digest"))))
     order = order.withColumn("bucket", F.substring("mark", 1, BUCKET_DIGITS))
     sums = order.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -68,7 +69,7 @@ def _stream(sized: DataFrame) -> DataFrame:
     inside = Window.partitionBy("source", "bucket").orderBy("mark", "doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, -1)
     order = order.withColumn("begin", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     order = order.join(sums, _same("s") & (F.col("b") == F.col("bucket")))
-    return order.withColumn("begin", F.col("begin") + F.col("skip")).drop("mark", "bucket", "s", "b", "skip")
+    return order.withColumn("begin", F.col("begin") + F.col("skip")).drop("mark", "digest", "bucket", "s", "b", "skip")
 
 
 def schedule(goals: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -125,6 +126,7 @@ def mix_sources(
     sized = docs.select(
         F.col(id).cast("long").alias("doc_id"), F.col(source).alias("source"), words_in(F.col(text)).alias("size"),
         F.xxhash64(F.col(text)).alias("row"),
+        F.when(F.col(id).isNull(), F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))).alias("digest"),
     )
     sized = materialise(sized, "sizes")
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from millwright.llm import chat
-from millwright.llm.secrets import BASE_RULES, RULES
+from millwright.llm.secrets import BASE_RULES, HEAD, KEY_LINES, LAST_LINE, NAMED, RULES, WHOLE_KEY
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -21,7 +21,7 @@ FROM s QUALIFY rank <= 10
 """
 
 MIXING = f"""
-WITH size AS (SELECT doc_id, source, len({WORDS}) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS mark FROM documents),
+WITH size AS (SELECT doc_id, source, len({WORDS}) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))) AS mark FROM documents),
 src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM size GROUP BY source),
 w AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight, 3 * source_size AS cap FROM src),
 lv AS (SELECT *, CAST(sum(source_size) OVER () - coalesce(sum(cap) OVER p, 0) AS DOUBLE)
@@ -86,26 +86,35 @@ FROM t LEFT JOIN kept ON t.doc_id = kept.doc_id
 """
 
 
-#: The rules the SQL spells: of private keys it knows version 1, the BEGIN line alone.
-SQL_RULES = [("private_key", 1, r"(-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----)", 1) if r[0] == "private_key" else r for r in RULES]
+def _private_key() -> str:
+    """The rule for an engine without look-ahead: whole key, key cut in its last line, cut key, BEGIN line alone.
+
+    Each alternative has its span as a group; what ends a short last line is matched after it.
+    """
+    plain = [x.replace("++", "+").replace("*+", "*").replace("}+", "}") for x in (HEAD, NAMED, WHOLE_KEY, KEY_LINES, LAST_LINE)]
+    head, named, whole, lines, last = plain
+    return rf"({head}{named}{whole})|({head}{named}{lines}{last})[\x20\t]*(?:[\r\n\\\"']|\z)|({head}{named}{lines})|({head})"
 
 
 def _secrets() -> str:
     """Matches have no positions in SQL: they follow from the lengths of the texts between them."""
     parts = []
-    for order, (kind, _, pattern, least) in enumerate(SQL_RULES):
-        text = pattern.replace("'", "''")
-        group = 2 if kind == "assign" else 1
+    for order, (kind, _, pattern, least) in enumerate(RULES):
+        text = (_private_key() if kind == "private_key" else pattern).replace("'", "''")
+        groups = [f"regexp_extract_all(t, '{text}', {k})" for k in ((1, 2, 3, 4) if kind == "private_key" else (2 if kind == "assign" else 1,))]
+        each = ", ".join(f"nullif({g}[i], '')" for g in groups)
+        found = f"list_transform(range(1, len({groups[0]}) + 1), lambda i: coalesce({each}, ''))"
+        whole = found if kind == "private_key" else f"regexp_extract_all(t, '{text}')"
         parts.append(
-            f"SELECT doc_id, '{kind}' AS kind, {order} AS o, {least} AS least, regexp_extract_all(t, '{text}') AS m, "
-            f"regexp_extract_all(t, '{text}', {group}) AS g, string_split_regex(t, '{text}') AS between FROM texts"
+            f"SELECT doc_id, '{kind}' AS kind, {order} AS o, {least} AS least, regexp_extract_all(t, '{text}') AS m, {found} AS g, "
+            f"{whole} AS s, string_split_regex(t, '{text}') AS between FROM texts"
         )
     base = ", ".join(f"'{r[0]}'" for r in BASE_RULES)
     spelled = "kind || ':' || low || ':' || high"
     return f"""
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), found AS ({" UNION ALL ".join(parts)}),
-each AS (SELECT doc_id, kind, o, least, unnest(range(1, len(m) + 1)) AS i, m, g, between FROM found),
-span AS (SELECT doc_id, kind, o, length(m[i]) AS n,
+each AS (SELECT doc_id, kind, o, least, unnest(range(1, len(m) + 1)) AS i, m, g, s, between FROM found),
+span AS (SELECT doc_id, kind, o, length(s[i]) AS n,
          CAST(list_sum(list_transform(between[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS low
          FROM each WHERE length(g[i]) >= least),
 row AS (SELECT *, low + n AS high FROM span),

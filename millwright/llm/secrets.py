@@ -29,7 +29,9 @@ GAP = r"(?:[\x20\t]|\r?\n|\r|\\[nr])"
 HEAD, FOOT = (r"-----%s [A-Z ]{0,40}PRIVATE KEY-----" % word for word in ("BEGIN", "END"))
 NAMED = rf"(?:{GAP}++[A-Za-z][A-Za-z0-9-]*+:[^\r\n\\]*+)*+"
 WHOLE_KEY = rf"(?:[A-Za-z0-9+/=]|{GAP})*+{FOOT}"
-CUT_KEY = rf"(?:{GAP}++[A-Za-z0-9+/=]{{16,}}+)++(?:(?:\r?\n|\r|\\[nr])[\x20\t]*+[A-Za-z0-9+/=]++(?=[\x20\t]*+(?:[\r\n\\\"']|\Z)))?"
+KEY_LINES = rf"(?:{GAP}++[A-Za-z0-9+/=]{{16,}}+)++"
+LAST_LINE = r"(?:\r?\n|\r|\\[nr])[\x20\t]*+[A-Za-z0-9+/=]++"
+CUT_KEY = rf"{KEY_LINES}(?:{LAST_LINE}(?=[\x20\t]*+(?:[\r\n\\\"']|\Z)))?"
 # ---- further rules of this operator; they only add spans
 ADDED_RULES = [
     ("private_key", 2, rf"({HEAD}(?:{NAMED}(?:{WHOLE_KEY}|{CUT_KEY}))?)", 1),

@@ -147,15 +147,16 @@ def _count(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Record
         yield out(_repeated(group, window))
 
 
-def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _strip(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for text, spans in zip(batch["text"].to_pylist(), batch["spans"].to_pylist()):
+        for text, spans, copied in zip(*(batch[c].to_pylist() for c in ("text", "spans", "copied"))):
             words = (text or "").encode().split()
-            keep = np.ones(len(words), dtype=bool)
+            # A copy of the row holds every window of it again.
+            keep = np.full(len(words), not (copied and len(words) >= window))
             for s in spans or ():
                 keep[s["low"] : s["high"]] = False
-            kept = b" ".join(x for x, k in zip(words, keep) if k) if spans else b" ".join(words)
+            kept = b" ".join(x for x, k in zip(words, keep) if k) if spans or copied else b" ".join(words)
             out.append((len(words), int(len(words) - keep.sum()), kept.decode(), hashlib.sha256(kept).hexdigest()))
         columns = list(zip(*out)) or [()] * 4
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
@@ -198,14 +199,20 @@ def drop_repeats(
     A word is removed when a window of ``window`` words that covers it also starts anywhere
     else in the input, in the same document too. Kept words are joined by one space. Null,
     empty and blank texts have no words; texts shorter than the window keep all of theirs.
-    Rows are told apart by id and text hash, so null and repeated ids are allowed; every row
-    counts as a place of its own, repeated rows too. Other columns are not read.
+    Every row counts as a place of its own, repeated rows too. Rows that agree in id and text
+    hash (null ids count as equal) are searched once and lose all words that a window covers.
+    Other columns are not read.
     """
     table = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     table = table.withColumn("h", F.xxhash64("text")).withColumn("doc_id", F.coalesce("id", "h"))
-    spans = repeated_spans(table.drop("id"), window, gram, hot)
+    # Rows that agree in id and text share a key: one of them stands for all.
+    copies = materialise(table.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "copies")
+    rows = table.drop("id")
+    single = rows.join(copies, KEY, "left_anti").unionByName(rows.join(copies, KEY, "left_semi").dropDuplicates(KEY))
+    spans = repeated_spans(single, window, gram, hot)
     spans = spans.groupBy(*KEY).agg(F.collect_set(F.struct("low", "high")).alias("spans"))
-    table = table.join(spans, KEY, "left").select(F.col("id").alias("doc_id"), "text", "spans")
+    table = table.join(spans, KEY, "left").join(copies.withColumn("copied", F.lit(True)), KEY, "left")
+    table = table.select(F.col("id").alias("doc_id"), "text", "spans", F.coalesce("copied", F.lit(False)).alias("copied"))
     return table.mapInArrow(
-        _strip, "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string"
+        partial(_strip, window=window), "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string"
     )
