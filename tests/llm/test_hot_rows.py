@@ -1,15 +1,23 @@
 """Many rows that agree in their keys, private keys beside the SQL, and the whole pipeline beside a plain one."""
 
+import math
+import os
 import random
+import re
+import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
-from conftest import DOCS
+import pytest
 from pyspark.sql import functions as F
 
-from millwright.llm import mixing, oracle, queries, secrets, substrings
+import corpus_pipeline
+from millwright.llm import language, mixing, oracle, queries, secrets, substrings
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
 def frame(spark, rows):
@@ -96,3 +104,101 @@ def test_private_keys_equal_sql_and_a_plain_parser(spark, tmp_path):
     for i in (0, 1, 4, 9, 10, 11):
         assert spans[i] == plain_key(KEYS[i]), i
     assert KEYS[2][slice(*spans[2][0])].endswith("short=") and KEYS[3][slice(*spans[3][0])].endswith(LINE)
+
+
+# ------------------------------------------------------------------ pipeline
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def plain_groups(rows):
+    """Smallest index of the rows that shared five-word shingles link to, of each row with words."""
+    sets = []
+    for r in rows:
+        w = words("".join(c.lower() if "A" <= c <= "Z" else c for c in r["text"] or ""))
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set()))
+    part = list(range(len(rows)))
+    for _ in range(len(rows)):
+        before = list(part)
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                if a and b and len(a & b) * 100 >= 80 * len(a | b):
+                    part[i] = part[j] = min(part[i], part[j])
+        if before == part:
+            break
+    return part, sets
+
+
+def plain_pipeline(spark, folder):
+    """Rows after the first four stages, each done without Spark but for the language model."""
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    judged = {r.doc_id: r for r in language.learn_and_identify(table).select("doc_id", "lang_pred", "score").collect()}
+    rows = [dict(r.asDict(), lang=judged[r.doc_id].lang_pred) for r in table.collect()]
+    rows = [r for r in rows if r["lang"] != "und" and judged[r["doc_id"]].score >= 0.5]
+    rows.sort(key=lambda r: r["doc_id"])
+    part, _ = plain_groups(rows)
+    rows = [r for i, r in enumerate(rows) if part[i] == i]
+    for r in rows:
+        spans = sorted(s for kind, _, pattern, least in secrets.RULES for s in secrets.find(r["text"] or "", re.compile(pattern, re.ASCII), least))
+        out, at = "", 0
+        for low, high in spans:
+            if low >= at:
+                out += r["text"][at:low] + "[secret]"
+            at = max(at, high)
+        if spans:
+            r["text"] = out + r["text"][at:]
+            r["n_chars"] = len(r["text"])
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()), ("n_chars", pa.int64())])
+    con = duckdb.connect()
+    con.register("documents", pa.Table.from_pylist(rows, schema))
+    taken = {i: (size, n) for i, size, n in con.execute(f"SELECT doc_id, size, taken FROM ({oracle.MIXING})").fetchall()}
+    return [r for r in rows for _ in range(math.floor(taken[r["doc_id"]][1] / taken[r["doc_id"]][0] + 0.5) if taken[r["doc_id"]][0] else 0)]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="test tables not present")
+def test_pipeline_equals_a_plain_one(spark):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    folder = "/root/testdata/sf0.001"
+    rows = plain_pipeline(spark, folder)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = Counter()
+    for r in rows:
+        ids = np.array([*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 1], dtype="<u4")
+        for k, low in enumerate(range(0, len(ids), 4096)):
+            want[r["doc_id"], k, low, len(ids[low : low + 4096]), zlib.crc32(ids[low : low + 4096].tobytes())] += 1
+    got = corpus_pipeline.run(spark, folder).collect()
+    assert len(rows) > 100 and Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
+    sequences = defaultdict(list)
+    for r in got:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    total = 0
+    for own in sequences.values():
+        upto = 0
+        for offset, length in sorted(own):
+            assert offset == upto
+            upto += length
+        assert upto <= 4096
+        total += upto
+    assert len(sequences) <= -(-total // 4096) + 2
+
+
+def test_extra_columns_pass_through_all_stages(spark, docs):
+    names = ["score", "lang_pred", "spans", "size", "taken", "_key", "_copy", "_row", "_hash", "_worded", "_extra0", "blob", "key", "mark", "kept"]
+    table = docs.select("*", *[F.concat(F.lit(f"{c}:"), F.col("n_chars").cast("string")).alias(c) for c in names])
+    kept = table
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain = stage(spark, kept.select(docs.columns), "")
+        kept = stage(spark, kept, "")
+        assert kept.columns == table.columns, name
+        assert Counter(map(tuple, kept.select(docs.columns).collect())) == Counter(map(tuple, plain.collect())), name
+    for r in kept.where("n_chars IS NOT NULL").collect():
+        assert all(r[c].startswith(f"{c}:") for c in names if r[c] is not None)
+    assert corpus_pipeline.STAGES[-1][1](spark, kept, "").count() >= kept.count()
+
+
+def test_unlike_rows_under_one_id(spark, docs):
+    rows = [(3, " ".join(f"{c}{i}" for i in range(40)), "en", "a", 1) for c in "abc"] + [(4, "", "en", "a", 0), (4, "", "en", "a", 0), (4, "", "en", "b", 0)]
+    kept = corpus_pipeline.STAGES[1][1](spark, spark.createDataFrame(rows, docs.schema), "").collect()
+    assert Counter(map(tuple, kept)) == Counter(set(rows))
