@@ -63,10 +63,14 @@ def _stamp(t):
     return lake.stamp_ingest_time(envelopes(t)).select("row_number", stamped.alias("stamped"))
 
 
-@query("kafka_sink", Q.sql("SELECT source_system AS key, count(*) AS n FROM scada_raw GROUP BY 1"))
+@query("kafka_sink", Q.sql("SELECT source_system AS key, source_file, bronze_event_id AS row_number, 'test' AS ingestion_mode, machine_txt AS machine, Rul AS rul FROM scada_raw"))
 def _sink(t):
-    records = kafka.encode(envelopes(t)).filter(F.get_json_object("value", "$.source_system") == F.col("key"))
-    return records.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    """Topic records: their key and the fields of their JSON value."""
+    field = lambda path: F.get_json_object("value", f"$.{path}")
+    return kafka.encode(envelopes(t)).select(
+        "key", field("source_file").alias("source_file"), field("row_number").cast("long").alias("row_number"), field("ingestion_mode").alias("ingestion_mode"),
+        field("payload.machine_id").alias("machine"), field("payload.Remaining_Useful_Life_days").alias("rul"),
+    )
 
 
 @query(

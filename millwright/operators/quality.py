@@ -101,30 +101,20 @@ def out_of_range(c: Column, low, high, low_included: bool = True) -> Column:
 
 
 def anomaly_counts(raw: dict[str, DataFrame], clean: dict[str, DataFrame], rules: dict | None = None) -> DataFrame:
-    """Out-of-range values per named rule before and after cleaning."""
-    rows = []
-    for label, (dataset, column, low, high, included) in (rules or S.ANOMALY_RULES).items():
-        sides = []
-        for side, tables in (("raw", raw), ("clean", clean)):
-            df = tables.get(dataset)
-            if df is None or column not in df.columns:
+    """Out-of-range values per named rule before and after cleaning; each table is read once."""
+    rules = rules or S.ANOMALY_RULES
+    found = []
+    for side, tables in (("raw", raw), ("clean", clean)):
+        for dataset, df in tables.items():
+            own = {label: r for label, r in rules.items() if r[0] == dataset and r[1] in df.columns}
+            if not own:
                 continue
-            bad = out_of_range(F.col(column).cast("double"), low, high, included)
-            sides.append(df.select(F.lit(side).alias("side"), bad.cast("long").alias("bad")))
-        if not sides:
-            continue
-        both = reduce(DataFrame.unionByName, sides)
-        counts = [
-            F.coalesce(F.sum(F.when(F.col("side") == s, F.col("bad"))), F.lit(0)).alias(f"{s}_anomalies")
-            for s in ("raw", "clean")
-        ]
-        rows.append(
-            both.agg(*counts).select(
-                F.lit(label).alias("anomaly_type"), F.lit(column).alias("column_name"),
-                "raw_anomalies", "clean_anomalies",
-            )
-        )
-    return reduce(DataFrame.unionByName, rows)
+            bad = [out_of_range(F.col(c).cast("double"), low, high, included) for _, c, low, high, included in own.values()]
+            counts = df.agg(*[F.count_if(b).alias(f"c{i}") for i, b in enumerate(bad)])
+            told = [F.struct(F.lit(label).alias("anomaly_type"), F.lit(r[1]).alias("column_name"), F.col(f"c{i}").alias("n")) for i, (label, r) in enumerate(own.items())]
+            found.append(counts.select(F.lit(side).alias("side"), F.inline(F.array(*told))))
+    sides = [F.coalesce(F.sum(F.when(F.col("side") == s, F.col("n"))), F.lit(0)).alias(f"{s}_anomalies") for s in ("raw", "clean")]
+    return reduce(DataFrame.unionByName, found).groupBy("anomaly_type", "column_name").agg(*sides)
 
 
 def production_kpis(df: DataFrame) -> DataFrame:

@@ -44,6 +44,14 @@ def silver_rejects(bronze: DataFrame) -> DataFrame:
     )
 
 
+def unread_numbers(bronze: DataFrame) -> DataFrame:
+    """Per source system, payload texts that are plain numbers but have more whole digits than a measure."""
+    number = F.regexp_extract(F.btrim(F.col("value")), S.NUMBER_PATTERN, 0)
+    lost = (number != "") & number.try_cast(S.MEASURE).isNull()
+    pairs = bronze.select("source_system", F.explode("payload").alias("key", "value"))
+    return pairs.where(lost).groupBy("source_system", "key").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---------------------------------------------------------------- health
 def health_measures() -> list[Column]:
     """Aggregates of one machine and day; a missing score counts as no risk."""
@@ -226,7 +234,8 @@ def _events(stg: DataFrame, system: str) -> DataFrame:
 
 
 def _num(key: str) -> str:
-    return P.number_sql(_raw(key))
+    """A measure: rounded to eight decimals, so that sums of the widest values have room."""
+    return f"try_cast({P.number_sql(_raw(key))} AS {S.MEASURE.simpleString()})"
 
 
 def _numbers(*keys: str) -> list[str]:
@@ -307,7 +316,7 @@ def alert_rows(events: DataFrame) -> DataFrame:
     """
     judged = events.select(
         "bronze_event_id", "date_id", "machine_id", P.active_flags("payload").alias("_flags"),
-        F.expr(f"coalesce({_num('predicted_failure_probability')}, 0) >= {S.HIGH_RISK} AS _high"),
+        F.expr(f"coalesce({P.number_sql(_raw('predicted_failure_probability'))}, 0) >= {S.HIGH_RISK} AS _high"),
     )
     alert = """array(named_struct('alert_type', 'sensor_health',
         'alert_severity', CASE WHEN _high THEN 'critical' ELSE 'warning' END,

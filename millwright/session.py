@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,9 +57,33 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Deletes the scratch paths made inside it when it ends.
+
+    For a job whose results are written or collected before its end: a DataFrame that still
+    reads a scratch table cannot be used afterwards.
+    """
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield paths
+    finally:
+        _scopes.remove(paths)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/millwright/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; the innermost ``scratch_scope`` deletes it."""
+    path = f"{shared_dir(spark).rstrip('/')}/millwright/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
