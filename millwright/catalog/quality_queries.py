@@ -211,7 +211,92 @@ def _prevalence(t):
 
 
 # ------------------------------------------------------------------ cleaning
-@query("clean_with_business_rules")
+UP, DOWN = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW", "ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING"
+
+
+def _windows(group):
+    part = f"PARTITION BY {', '.join(group)} " if group else ""
+    return f"WINDOW a AS ({part}ORDER BY event_id {UP}), b AS ({part}ORDER BY event_id {DOWN})"
+
+
+def _known(group, value):
+    return f"CASE WHEN {' AND '.join(f'{g} IS NOT NULL' for g in group)} THEN {value} END" if group else value
+
+
+def carried_sql(source, columns, group=()):
+    """The last value before, else the first after; rows without a group lose theirs."""
+    told = [f"{_known(group, f'coalesce(last_value({c} IGNORE NULLS) OVER a, first_value({c} IGNORE NULLS) OVER b)')} AS {c}" for c in columns]
+    return f"SELECT * REPLACE ({', '.join(told)}) FROM {source} {_windows(group)}"
+
+
+def between_sql(source, columns, group=()):
+    """On the line between the neighbours by row position, else the nearest value."""
+    part = f"PARTITION BY {', '.join(group)} " if group else ""
+    told = []
+    for c in columns:
+        p0, p1 = (f"{f}_value(CASE WHEN {c} IS NOT NULL THEN pos_ END IGNORE NULLS) OVER {w}" for f, w in (("last", "a"), ("first", "b")))
+        v0, v1 = f"last_value({c} IGNORE NULLS) OVER a", f"first_value({c} IGNORE NULLS) OVER b"
+        line = f"({v1} - {v0}) / CAST({p1} - {p0} AS DOUBLE) * CAST(pos_ - {p0} AS DOUBLE) + {v0}"
+        value = f"CASE WHEN {c} IS NOT NULL THEN {c} WHEN {p0} IS NOT NULL AND {p1} IS NOT NULL THEN {line} ELSE coalesce({v0}, {v1}) END"
+        told.append(f"{_known(group, value)} AS {c}")
+    placed = f"SELECT *, row_number() OVER ({part}ORDER BY event_id) AS pos_ FROM {source}"
+    return f"SELECT * EXCLUDE (pos_) REPLACE ({', '.join(told)}) FROM ({placed}) {_windows(group)}"
+
+
+def _gap(low, value):
+    return f"CASE WHEN NOT (k >= {low} AND k < {low + 5}) THEN {value} END"
+
+
+def _inside(low, high, value, above=">="):
+    return f"CASE WHEN {value} {above} {low} AND {value} <= {high} THEN {value} END"
+
+
+NUMBERS = ["actual_production_qty", "good_qty", "scrap_qty", "cycle_time_sec", "production_speed", "dimension_measurement", "tolerance_min",
+           "tolerance_max", "quality_score", "Temperature_C", "repair_time_minutes", "Failure_Within_7_Days"]
+WORDS = ["timestamp", "machine_id", "work_order_id", "batch_id", "product_id", "machine_status", "shift", "defect_type", "defect_category",
+         "defect_severity", "scrap_flag", "rework_required", "failure_type"]
+QUOTED = {c: f'"{c}"' for c in (*NUMBERS, *WORDS)}
+RAW_CLEANING = f"""SELECT event_id, CAST(epoch_us({_gap(0, "date_trunc('second', ts)")}) AS DOUBLE) AS "timestamp",
+  {_gap(5, "'M' || user_id")} AS machine_id, {_gap(10, "'WO' || user_id")} AS work_order_id, {_gap(15, "'B' || user_id")} AS batch_id,
+  {_gap(20, "'P' || user_id")} AS product_id, {_inside(0, 2500, f"CAST({_gap(25, 'floor(value) + 100')} AS DOUBLE)", '>')} AS actual_production_qty,
+  {_inside(0, 2500, f"CAST({_gap(30, 'floor(value) + 90')} AS DOUBLE)")} AS good_qty, {_inside(0, 500, f"CAST({_gap(35, 'k')} AS DOUBLE)")} AS scrap_qty,
+  {_inside(20, 120, f"CAST({_gap(40, 'k')} AS DOUBLE)")} AS cycle_time_sec, {_gap(45, 'value / 10')} AS production_speed, {_gap(50, 'event_type')} AS machine_status,
+  '?' AS shift, {_inside(8, 12, _gap(55, 'value / 20'))} AS dimension_measurement, CAST({_gap(60, '9.5')} AS DOUBLE) AS tolerance_min,
+  CAST({_gap(65, '10.5')} AS DOUBLE) AS tolerance_max, {_gap(70, "CASE WHEN k < 85 THEN 'rayure' ELSE 'fissure' END")} AS defect_type,
+  {_gap(72, "'visuel'")} AS defect_category, {_gap(74, "CASE WHEN k < 80 THEN 'major' ELSE 'minor' END")} AS defect_severity, NULL::BOOLEAN AS scrap_flag,
+  {_gap(76, 'TRUE')} AS rework_required, {_gap(80, 'value / 5')} AS quality_score, {_inside(0, 100, _gap(85, 'value'))} AS "Temperature_C",
+  {_inside(0, 500, _gap(90, 'value / 2'))} AS repair_time_minutes, {_gap(92, 'event_type')} AS failure_type,
+  CAST({_gap(95, 'CAST(k > 90 AS INTEGER)')} AS DOUBLE) AS "Failure_Within_7_Days" FROM ev"""
+MIDDLE = """SELECT failure_type AS ft, (l[(n + 1) // 2] + l[n // 2 + 1]) / 2 AS middle FROM (
+  SELECT failure_type, list(repair_time_minutes ORDER BY repair_time_minutes) AS l, count(*) AS n FROM c1 WHERE failure_type IS NOT NULL AND repair_time_minutes IS NOT NULL GROUP BY 1)"""
+CLEANING = {
+    "c0": RAW_CLEANING, "c1": between_sql("c0", ['"timestamp"']), "middles": MIDDLE,
+    "c2": "SELECT c1.* REPLACE (CASE WHEN failure_type IS NOT NULL THEN coalesce(repair_time_minutes, middle) END AS repair_time_minutes) FROM c1 LEFT JOIN middles ON failure_type = ft",
+    "c3": carried_sql("c2", ["machine_id", "machine_status", "tolerance_min", "tolerance_max", "defect_severity", '"Failure_Within_7_Days"', "failure_type"]),
+    "c4": carried_sql("c3", ["product_id"], ["work_order_id"]), "c5": carried_sql("c4", ["product_id"], ["batch_id"]),
+    "c6": carried_sql("c5", ["batch_id"], ["machine_id", "work_order_id"]), "c7": carried_sql("c6", ["product_id", "batch_id"]),
+    "c8": carried_sql("c7", ["work_order_id"], ["batch_id"]), "c9": carried_sql("c8", ["work_order_id"]),
+    "d0": between_sql("c9", ["cycle_time_sec", '"Temperature_C"'], ["machine_id"]),
+    "d1": between_sql("d0", ["actual_production_qty", "good_qty", "dimension_measurement", "repair_time_minutes"]),
+    "d2": "SELECT *, coalesce(good_qty, actual_production_qty - scrap_qty) AS g_ FROM d1",
+    "d3": "SELECT *, coalesce(scrap_qty, actual_production_qty - g_) AS s_ FROM d2",
+    "d4": "SELECT * REPLACE (CASE WHEN s_ < 0 THEN 0::DOUBLE ELSE s_ END AS s_) FROM d3",
+    "d5": """SELECT * EXCLUDE (g_, s_) REPLACE (CASE WHEN g_ > actual_production_qty THEN actual_production_qty - s_ ELSE g_ END AS good_qty, coalesce(s_, 0::DOUBLE) AS scrap_qty,
+      coalesce(production_speed, actual_production_qty / nullif(cycle_time_sec, 0)) AS production_speed, make_timestamp(CAST(floor("timestamp") AS BIGINT)) AS "timestamp") FROM d4""",
+    "d6": """SELECT * REPLACE (coalesce(CASE WHEN hour("timestamp") BETWEEN 6 AND 13 THEN 'matin' WHEN hour("timestamp") BETWEEN 14 AND 21 THEN 'apres_midi'
+      WHEN "timestamp" IS NOT NULL THEN 'nuit' END, shift) AS shift), coalesce(dimension_measurement BETWEEN tolerance_min AND tolerance_max, FALSE) AS ok_ FROM d5""",
+    "d7": "SELECT * REPLACE (CASE WHEN ok_ THEN 'no_defect' ELSE defect_type END AS defect_type) FROM d6", "d8": carried_sql("d7", ["defect_type"]),
+    "d9": """SELECT * REPLACE (coalesce(defect_category, CASE defect_type WHEN 'rayure' THEN 'esthetique' WHEN 'fissure' THEN 'fonctionnel' WHEN 'deformation' THEN 'dimensionnel'
+      WHEN 'no_defect' THEN 'none' END) AS defect_category) FROM d8""",
+    "e0": carried_sql("d9", ["defect_category"]),
+    "e1": """SELECT * EXCLUDE (ok_) REPLACE (NOT ok_ AS scrap_flag, coalesce(rework_required, coalesce(defect_severity IN ('major', 'critical'), FALSE)) AS rework_required,
+      coalesce(quality_score, CASE WHEN ok_ THEN 95.0::DOUBLE ELSE 70.0::DOUBLE END) AS quality_score) FROM e0""",
+    "e2": between_sql("e1", [QUOTED[c] for c in NUMBERS]), "e3": carried_sql("e2", [QUOTED[c] for c in WORDS]),
+}
+CLEANED = """SELECT * REPLACE (strftime("timestamp", '%Y-%m-%d %H:%M:%S.%f') AS "timestamp", CAST(coalesce("Failure_Within_7_Days", 0) AS INTEGER) AS "Failure_Within_7_Days") FROM e3"""
+
+
+@query("clean_with_business_rules", Q.sql(CLEANED, **CLEANING))
 def _clean(t):
     """A raw production source with gaps, markers and outliers, fully cleaned."""
     k = F.col("k")
