@@ -109,7 +109,9 @@ def _lake(t):
 def hashed(t):
     from millwright.functions.parse import payload_hash
 
-    return t.raw_events().withColumn("payload_hash", payload_hash(F.col("payload_json")))
+    # As the column of a generator the hash is made once; a filter on it would make it again.
+    raw = t.raw_events()
+    return raw.select("*", F.explode(F.array(payload_hash(F.col("payload_json")))).alias("payload_hash"))
 
 
 @query("bronze_insert_new", Q.sql("SELECT event_id AS bronze_event_id FROM ev WHERE event_type <> 'click'"))
