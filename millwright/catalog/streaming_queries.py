@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millwright.catalog import oracle as Q
-from millwright.catalog.bind import K
+from millwright.catalog.bind import K, dealt
 from millwright.catalog.medallion_queries import HEALTH_SQL
 from millwright.catalog.registry import query
 from millwright.catalog.source_queries import write_lake
@@ -32,15 +32,18 @@ def landed(t, name, order, cuts):
     return path
 
 
-def stream(t, name, path=None):
-    """The table as a stream, or its landed files, one in each micro-batch."""
+def stream(t, name, key, path=None):
+    """The table as a stream, or its landed files, one in each micro-batch.
+
+    One file is read by one or two tasks, so its rows are dealt to the cores as ``Tables.source`` does.
+    """
     if path is None:
-        return J.read_table(t.spark, t.folder, f"{name}.parquet", t.read(name).schema)
-    return J.read_table(t.spark, path, "*.parquet", t.read(name).schema, 1)
+        return dealt(J.read_table(t.spark, t.folder, f"{name}.parquet", t.read(name).schema), key)
+    return dealt(J.read_table(t.spark, path, "*.parquet", t.read(name).schema, 1), key)
 
 
 def raw_stream(t, path=None):
-    return t.as_raw(stream(t, "events", path).withColumn("k", F.expr(K)))
+    return t.as_raw(stream(t, "events", "event_id", path).withColumn("k", F.expr(K)))
 
 
 def bronze_stream(t, path=None):
@@ -99,7 +102,7 @@ def _dedup(t):
     from millwright.functions.parse import payload_hash
 
     path = landed_events(t)
-    events = stream(t, "events", path).select(
+    events = stream(t, "events", "event_id", path).select(
         F.col("ts").cast("timestamp").alias("ts"), "event_type", "user_id", F.expr(K).alias("k")
     )
     hashed = events.withColumn("payload_hash", payload_hash(F.to_json(F.struct("event_type", "user_id", "k"))))
@@ -175,7 +178,7 @@ def _upsert(t):
     )
     most = t.read("orders").agg(F.max("o_orderkey")).first()[0]
     path = landed(t, "orders", "o_orderkey", [most * k // 5 for k in range(1, 5)])
-    done(J.log_changes(stream(t, "orders", path), out, checkpoint, prepare=per_customer))
+    done(J.log_changes(stream(t, "orders", "o_orderkey", path), out, checkpoint, prepare=per_customer))
     store, keys = Store(t.spark, scratch_path(t.spark, "store"), 8), ["o_custkey"]
     J.compact_log(store, "customers", out, keys, ["last_order"], until=2)
     J.drop_compacted(store, "customers", out)

@@ -42,3 +42,11 @@ def test_parsing_is_done_after_dealing(spark):
     parsed = df.selectExpr("id", "regexp_extract(text, '[0-9]+', 0) AS n").where("n > '2'")
     assert "regexp_extract" not in below(plan_of(parsed))
     assert df.count() == 50
+
+
+def test_streamed_files_are_dealt(tables):
+    """A micro-batch's one file is parsed by all the cores."""
+    from millwright.catalog import streaming_queries as T
+
+    plan = T.bronze_stream(tables)._jdf.queryExecution().analyzed().toString()
+    assert "RepartitionByExpression" in plan
