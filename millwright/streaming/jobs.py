@@ -103,7 +103,8 @@ def store_new(stream: DataFrame, store: Store, name: str, keys: list[str], by: l
     """Each micro-batch adds the rows whose key the stored table lacks; a replayed batch adds none."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        store.append(name, batch, keys, by)
+        # An append reads its rows twice, which would run the stream's state twice.
+        store.append(name, materialise(batch, "incoming") if name in store else batch, keys, by)
         store.commit()
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
