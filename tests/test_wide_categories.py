@@ -38,3 +38,24 @@ def test_width_of_learners_grows_with_bits(spark, fit):
     model = fit(ready)
     assert model.numFeatures == 9
     assert model.transform(ready).select("prediction").where("prediction is null").count() == 0
+
+
+@pytest.mark.parametrize("fit", [R.forest_classifier, R.forest_regressor])
+def test_forests_keep_the_node_of_every_row(spark, fit):
+    train = rows_of(spark)
+    ready = L.preprocessor(train, ["level"], ["machine", "status"], onehot=8)(train)
+    assert fit(ready, 2, 3).getOrDefault("cacheNodeIds")
+
+
+def test_a_model_runs_once_for_all_metrics(spark):
+    runs = spark.sparkContext.accumulator(0)
+
+    def score(batches):
+        for batch in batches:
+            runs.add(len(batch))
+            yield batch
+
+    scored = spark.createDataFrame([(1.0, 0.9), (0.0, 0.2), (1.0, 0.4)], "label double, risk_score double")
+    once = R.scored_once(scored.mapInPandas(score, scored.schema), "risk_score")
+    assert R.classification_metrics(once, "label", "risk_score").first()["precision"] == 1.0
+    assert runs.value == 3
