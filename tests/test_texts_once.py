@@ -1,9 +1,10 @@
-"""Texts of an event are looked up once, in as many tasks as the table needs."""
+"""Texts of an event are looked up once, in as many tasks as the table needs, and facts that feed others are stored."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from millwright.catalog import bind
+from millwright.catalog import medallion_queries as Q
 from millwright.catalog.bind import Tables
 from millwright.plans import medallion as M
 
@@ -81,3 +82,13 @@ def test_a_large_source_is_dealt_to_more_tasks(tables, monkeypatch):
     cores = tables.spark.sparkContext.defaultParallelism
     assert tables.source("events", "event_id").rdd.getNumPartitions() == max(20, cores)
     assert tables.source("events", "event_id").count() == 20
+
+
+def test_listed_energy_reads_stored_production(tables, monkeypatch):
+    seen = []
+    real = Q.G.energy_per_good_piece
+    monkeypatch.setattr(Q.G, "energy_per_good_piece", lambda energy, production: seen.append(plan_of(production)) or real(energy, production))
+    listed = Q.listed_facts(tables)
+    assert "regexp" not in seen[0] and "Relation" in seen[0]
+    counts = {r["fact"]: r["count"] for r in listed.groupBy("fact").count().collect()}
+    assert counts["fact_production"] == counts["fact_quality"] == 20 and counts["fact_energy"] == 16 and counts["fact_maintenance"] == 4
